@@ -8,6 +8,7 @@ MODULES = (
     "mixing",
     "packing",
     "simhash_dedup",
+    "toxicity",
 )
 
 QUERIES: dict = {}
