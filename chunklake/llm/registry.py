@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
+    "line_dedup",
     "mixing",
     "packing",
     "simhash_dedup",
