@@ -6,6 +6,7 @@ import importlib
 
 MODULES = (
     "line_dedup",
+    "lz_fingerprint",
     "mixing",
     "packing",
     "simhash_dedup",
