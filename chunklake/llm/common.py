@@ -55,3 +55,15 @@ def drop_tables(spark: SparkSession) -> None:
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` and ``text`` (null: empty) and the columns ``more``, no others."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
+
+
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, which tells its rows apart and orders them.
+
+    It is the id where ids are unique and not null; otherwise rows are numbered
+    in the order of the table, and the numbers fixed by writing it.
+    """
+    n, ids, known = docs.agg(F.count("*"), F.count_distinct("doc_id"), F.count("doc_id")).first()
+    if n == ids == known:
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    return materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")

@@ -10,6 +10,7 @@ MODULES = (
     "mixing",
     "packing",
     "simhash_dedup",
+    "substring_dedup",
     "toxicity",
 )
 
