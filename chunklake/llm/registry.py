@@ -9,6 +9,7 @@ MODULES = (
     "lz_fingerprint",
     "mixing",
     "packing",
+    "pii",
     "simhash_dedup",
     "substring_dedup",
     "toxicity",
