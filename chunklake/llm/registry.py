@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
+    "hnsw",
     "line_dedup",
     "lz_fingerprint",
     "mixing",
