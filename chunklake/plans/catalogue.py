@@ -1,4 +1,309 @@
-"""Registered queries of the library's operators and their SQL."""
+"""Registered queries of the library's operators on the driver's tables, and their SQL.
+
+The tables hold no compounds, so each operator runs on a stand-in.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chunklake.functions.text import all_empty, message, number_in
+from chunklake.operators import chunking, merge, models, reconcile
+from chunklake.operators.columns import extract
+from chunklake.sources.shared import materialize
+from chunklake.streaming.incremental import pending
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+# Aliases of names, in lower case.
+ALIASES = {"fr": "FRANCE", "france": "FRANCE", "us": "UNITED STATES", "nation_1": "NATION ONE"}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _chunked(spark: SparkSession, d: str, size: int = 10) -> DataFrame:
+    return chunking.chunk(_t(spark, d, "orders").select("o_orderkey"), "o_orderkey", size=size)
+
+
+_C = "c AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) AS ordinal FROM orders), k AS (SELECT *, (ordinal // 10)::INT AS chunk_no, (ordinal % 10)::INT AS idx, format('{:03d}', ordinal // 10) AS chunk_label FROM c)"
+
+
+@_query("SELECT trim(p_name) AS smiles, p_partkey::VARCHAR AS collection_id FROM part WHERE trim(p_name) <> ''")
+def Q01_extract_rows(spark, d):
+    return extract(_t(spark, d, "part"), "p_name", "p_partkey")
+
+
+@_query("SELECT trim(p_name) AS smiles, '' AS collection_id FROM part WHERE trim(p_name) <> ''")
+def Q02_resolve_columns(spark, d):
+    return extract(_t(spark, d, "part"), "P_NAME", "missing_id")
+
+
+@_query(f"WITH {_C} SELECT o_orderkey, chunk_no, chunk_label, idx FROM k")
+def Q03_chunk_assign(spark, d):
+    return _chunked(spark, d).select("o_orderkey", "chunk_no", "chunk_label", "idx")
+
+
+@_query(f'WITH {_C} SELECT chunk_no, chunk_label, count(*) AS "rows" FROM k GROUP BY ALL')
+def Q04_chunk_manifest(spark, d):
+    return chunking.manifest(_chunked(spark, d))
+
+
+@_query("""SELECT library, count(*) AS total, ((count(*) + 9999) // 10000)::BIGINT AS chunks FROM (SELECT 'part' AS library FROM part
+UNION ALL SELECT 'customer' FROM customer UNION ALL SELECT 'supplier' FROM supplier UNION ALL SELECT 'orders' FROM orders) GROUP BY library""")
+def Q05_library_summary(spark, d):
+    return chunking.summary(merge.by_position([_t(spark, d, t).select(F.lit(t).alias("library")) for t in ("part", "customer", "supplier", "orders")]))
+
+
+@_query(f"WITH {_C}, m AS (SELECT DISTINCT chunk_no, chunk_label FROM k) SELECT chunk_no, chunk_label, row_number() OVER (ORDER BY chunk_label) - 1 AS place FROM m")
+def Q06_lexical_merge_order(spark, d):
+    m = chunking.manifest(_chunked(spark, d)).drop("rows")
+    return chunking.number(m, "chunk_label", name="place").select("chunk_no", "chunk_label", F.col("place").cast("bigint").alias("place"))
+
+
+@_query(f"""WITH {_C}, m AS (SELECT DISTINCT chunk_no, chunk_label FROM k), r AS (SELECT *, row_number() OVER (ORDER BY chunk_no) - 1 AS place,
+row_number() OVER (ORDER BY chunk_label) - 1 AS lexical FROM m) SELECT chunk_no, place, lexical - place AS displaced FROM r""")
+def Q07_numeric_merge_order(spark, d):
+    m = chunking.manifest(_chunked(spark, d)).drop("rows")
+    both = chunking.number(chunking.number(m, "chunk_no", name="place"), "chunk_label", name="lexical")
+    return both.select("chunk_no", F.col("place").cast("bigint").alias("place"), (F.col("lexical") - F.col("place")).cast("bigint").alias("displaced"))
+
+
+@_query(f"WITH {_C}, m AS (SELECT DISTINCT chunk_no::BIGINT AS position FROM k) SELECT position, (position // 1000)::BIGINT AS batch, (position % 1000)::INT AS task FROM m")
+def Q08_batch_lists(spark, d):
+    m = chunking.manifest(_chunked(spark, d)).select(F.col("chunk_no").cast("bigint").alias("position"))
+    return m.select("position", *chunking.batches())
+
+
+@_query(f"""WITH {_C}, f AS (SELECT DISTINCT 'orders_chunk_' || chunk_label || '.csv' AS name FROM k)
+SELECT name, regexp_extract(name, '(?:^|_)chunk_(\\d+)\\.csv$', 1)::INT AS chunk_no FROM f WHERE name LIKE '%\\_chunk\\_%' ESCAPE '\\' AND name LIKE '%.csv'""")
+def Q09_chunk_number_extract(spark, d):
+    m = chunking.manifest(_chunked(spark, d)).select(F.concat(F.lit("orders_chunk_"), "chunk_label", F.lit(".csv")).alias("name"))
+    return m.where(F.col("name").endswith(".csv") & F.col("name").contains("_chunk_")).select("name", number_in(F.col("name")).alias("chunk_no"))
+
+
+@_query("""SELECT archive, page_id AS member, size FROM (SELECT *, row_number() OVER (PARTITION BY archive ORDER BY size DESC, page_id) AS n FROM
+(SELECT page_id, regexp_extract(url, '://([^/]+)', 1) AS archive, length(html)::BIGINT AS size FROM pages)) WHERE n = 1""")
+def Q10_member_select(spark, d):
+    p = _t(spark, d, "pages").select("page_id", F.regexp_extract("url", "://([^/]+)", 1).alias("archive"), F.length("html").cast("bigint").alias("size"))
+    best = F.max(F.struct("size", (-F.col("page_id")).alias("m")))
+    return p.groupBy("archive").agg(best.alias("b")).select("archive", (-F.col("b.m")).alias("member"), "b.size")
+
+
+@_query("""SELECT n_nationkey, n_name, CASE lower(n_name) WHEN 'fr' THEN 'FRANCE' WHEN 'france' THEN 'FRANCE' WHEN 'us' THEN 'UNITED STATES'
+WHEN 'nation_1' THEN 'NATION ONE' ELSE n_name END AS library FROM nation""")
+def Q11_alias_resolve(spark, d):
+    names = F.create_map(*[F.lit(x) for kv in ALIASES.items() for x in kv])
+    return _t(spark, d, "nation").select("n_nationkey", "n_name", F.coalesce(F.try_element_at(names, F.lower("n_name")), "n_name").alias("library"))
+
+
+@_query("SELECT p_partkey, md5(p_name) AS key, p_name AS input FROM part")
+def Q12_result_key(spark, d):
+    return _t(spark, d, "part").select("p_partkey", F.md5("p_name").alias("key"), F.col("p_name").alias("input"))
+
+
+def _sets(spark, d):
+    e = _t(spark, d, "orders").where("o_totalprice > 300000").select(F.col("o_custkey").alias("k"))
+    return e, _t(spark, d, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("k"))
+
+
+_E, _A = "SELECT o_custkey AS k FROM orders WHERE o_totalprice > 300000", "SELECT c_custkey AS k FROM customer WHERE c_acctbal > 0"
+
+
+@_query(f"{_E} EXCEPT {_A}")
+def Q13_missing_chunks(spark, d):
+    e, a = _sets(spark, d)
+    return reconcile.missing(e, a, "k")
+
+
+@_query(f"{_A} EXCEPT {_E}")
+def Q14_extra_chunks(spark, d):
+    e, a = _sets(spark, d)
+    return reconcile.missing(a, e, "k")
+
+
+@_query(f"{_E} INTERSECT {_A}")
+def Q15_present_chunks(spark, d):
+    e, a = _sets(spark, d)
+    return reconcile.present(e, a, "k")
+
+
+@_query("""WITH e AS (SELECT DISTINCT c_nationkey AS n, c_custkey AS k FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 300000),
+a AS (SELECT c_nationkey AS n, c_custkey AS k FROM customer WHERE c_acctbal > 0),
+j AS (SELECT coalesce(e.n, a.n) AS nation, e.k AS e, a.k AS a FROM e FULL JOIN a ON e.n = a.n AND e.k = a.k),
+g AS (SELECT nation, count(e) AS expected, count(*) FILTER (e IS NOT NULL AND a IS NOT NULL) AS present, count(*) FILTER (a IS NULL) AS missing, count(*) FILTER (e IS NULL) AS extra FROM j GROUP BY nation)
+SELECT *, CASE WHEN expected = 0 THEN 'NO INPUT' WHEN present = 0 THEN 'NOT RUN' WHEN missing > 0 THEN 'INCOMPLETE' ELSE 'COMPLETE' END AS status FROM g""")
+def Q16_completeness_status(spark, d):
+    c = _t(spark, d, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("k"), "c_acctbal")
+    e = c.join(_sets(spark, d)[0].distinct(), "k", "left_semi")
+    return reconcile.completeness(e, c.where("c_acctbal > 0"), "k", "nation")
+
+
+@_query("""WITH i AS (SELECT doc_id // 4 AS chunk, count(*) AS rows_in FROM documents GROUP BY 1), o AS (SELECT doc_id // 4 AS chunk, count(*) AS rows_out FROM labels GROUP BY 1)
+SELECT chunk, rows_in, coalesce(rows_out, 0) AS rows_out, CASE WHEN rows_out IS NULL THEN 'MISSING' WHEN rows_out <> rows_in THEN 'MISMATCH' ELSE 'OK' END AS status FROM i LEFT JOIN o USING (chunk)""")
+def Q17_row_mismatch(spark, d):
+    chunk = F.expr("doc_id div 4").alias("chunk")
+    return reconcile.compare_counts(_t(spark, d, "documents").select(chunk), _t(spark, d, "labels").select(chunk), "chunk")
+
+
+def _labelled(spark, d):
+    return _t(spark, d, "documents").select("doc_id", "source").join(_t(spark, d, "labels"), "doc_id", "left")
+
+
+@_query("""SELECT source, count(*) AS total, count(*) FILTER (quality IS NULL AND toxic IS NULL) AS empty,
+count(*) FILTER (quality IS NULL AND toxic IS NULL) * 100.0::DOUBLE / count(*) AS empty_pct FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source""")
+def Q18_empty_results(spark, d):
+    empty = all_empty([F.col("quality").cast("string"), F.col("toxic").cast("string")])
+    g = _labelled(spark, d).groupBy("source").agg(F.count("*").alias("total"), F.count_if(empty).alias("empty"))
+    return g.withColumn("empty_pct", F.col("empty") * 100.0 / F.col("total"))
+
+
+_R = 'count(*) AS "input", count(quality) AS valid, count(*) - count(quality) AS empty, count(quality) / count(*) * 100 AS retention_pct FROM documents LEFT JOIN labels USING (doc_id)'
+
+
+@_query(f"SELECT source, {_R} GROUP BY source")
+def Q19_retention(spark, d):
+    return reconcile.retention(_labelled(spark, d), "source", F.col("quality").isNotNull())
+
+
+@_query(f"SELECT source, {_R} GROUP BY ROLLUP (source)")
+def Q20_retention_total(spark, d):
+    return reconcile.retention(_labelled(spark, d), "source", F.col("quality").isNotNull(), total=True)
+
+
+@_query("""SELECT source, array_to_string(list_sort(list(doc_id))[1:20], ',') AS items, greatest(count(*) - 20, 0)::BIGINT AS more
+FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY source""")
+def Q21_list_preview(spark, d):
+    rows = pending(_t(spark, d, "documents").select("doc_id", "source"), _t(spark, d, "labels"), "doc_id")
+    return reconcile.preview(rows, "source", "doc_id").withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
+
+
+@_query("""SELECT count(*) AS ran, count(*) FILTER (quality IS NOT NULL) AS done, bool_or(quality IS NULL) AS incomplete FROM documents LEFT JOIN labels USING (doc_id)""")
+def Q22_run_verdict(spark, d):
+    return _labelled(spark, d).agg(F.count("*").alias("ran"), F.count("quality").alias("done"), F.bool_or(F.col("quality").isNull()).alias("incomplete"))
+
+
+def _ranges(spark, d):
+    m = chunking.manifest(_chunked(spark, d, 700))
+    return chunking.split_ranges(m.select("chunk_no", F.lit(0).cast("bigint").alias("start"), (F.col("rows") - 1).alias("end")))
+
+
+_S = """n AS (SELECT ((row_number() OVER (ORDER BY o_orderkey) - 1) // 700)::INT AS chunk_no FROM orders), m AS (SELECT chunk_no, count(*) AS n FROM n GROUP BY 1),
+p AS (SELECT *, (n + least(n, 10) - 1) // least(n, 10) AS piece FROM m), s AS (SELECT chunk_no, n, i * piece AS start, least((i + 1) * piece, n) - 1 AS "end"
+FROM (SELECT *, unnest(range((n - 1) // piece + 1)) AS i FROM p))"""
+
+
+@_query(f'WITH {_S} SELECT chunk_no, start::BIGINT AS start, "end"::BIGINT AS "end" FROM s')
+def Q23_split_ranges(spark, d):
+    return _ranges(spark, d).select("chunk_no", "start", "end")
+
+
+@_query(f'WITH {_S}, x AS (SELECT chunk_no, unnest(range(start, "end" + 1)) AS idx FROM s) SELECT chunk_no, count(*) AS covered, count(DISTINCT idx) AS indices, max(idx)::BIGINT AS last FROM x GROUP BY 1')
+def Q24_range_to_index(spark, d):
+    x = _ranges(spark, d).select("chunk_no", F.explode(F.sequence("start", "end")).alias("idx"))
+    return x.groupBy("chunk_no").agg(F.count("*").alias("covered"), F.count_distinct("idx").alias("indices"), F.max("idx").alias("last"))
+
+
+@_query(f'WITH {_S} SELECT chunk_no, unnest(range(start, "end" + 1))::BIGINT AS idx FROM s WHERE start % 3 = 1')
+def Q25_coverage_gap(spark, d):
+    r = _ranges(spark, d)
+    every = r.select("chunk_no", F.explode(F.sequence("start", "end")).alias("idx"))
+    held = r.where("start % 3 <> 1").select("chunk_no", F.explode(F.sequence("start", "end")).alias("idx"))
+    return every.join(held, ["chunk_no", "idx"], "left_anti")
+
+
+@_query("SELECT doc_id, source, coalesce(quality::VARCHAR, '') AS quality, coalesce(toxic::VARCHAR, '') AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
+def Q26_pad_failures(spark, d):
+    return merge.pad(_t(spark, d, "documents").select("doc_id", "source"), _t(spark, d, "labels"), "doc_id")
+
+
+@_query("SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def Q27_resume_pending(spark, d):
+    return pending(_t(spark, d, "documents").select("doc_id"), _t(spark, d, "labels"), "doc_id")
+
+
+@_query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1)::VARCHAR AS success_key FROM documents JOIN labels USING (doc_id)")
+def Q28_success_index(spark, d):
+    done = _t(spark, d, "documents").select("doc_id").join(_t(spark, d, "labels"), "doc_id", "left_semi")
+    return chunking.number(done, "doc_id", name="k").select("doc_id", F.col("k").cast("string").alias("success_key"))
+
+
+@_query("""SELECT event_id, 'EXIT ' || (user_id % 7)::VARCHAR || ': ' || substr(replace(props, chr(10), ' | '), 1, 300) AS details FROM events WHERE event_type = 'error'""")
+def Q29_error_details(spark, d):
+    return _t(spark, d, "events").where("event_type = 'error'").select("event_id", message(F.expr("user_id % 7"), F.col("props")).alias("details"))
+
+
+@_query("SELECT label, count(*) AS n, max(len(embedding))::INT AS dim, count(*) FILTER (len(embedding) <> 64) AS wrong FROM embeddings GROUP BY label")
+def Q30_vector_check(spark, d):
+    size = F.size("embedding")
+    return _t(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"), F.max(size).alias("dim"), F.count_if(size != 64).alias("wrong"))
+
+
+@_query("SELECT p_name, p_brand, p_type FROM part UNION ALL SELECT p_name, '' AS p_brand, p_type FROM part")
+def Q31_merge_by_name(spark, d):
+    p = _t(spark, d, "part")
+    return merge.by_name([p.select("p_name", "p_brand", "p_type"), p.select("p_type", "p_name")])
+
+
+@_query("SELECT p_name AS a, p_brand AS b FROM part UNION ALL SELECT p_brand, p_name FROM part")
+def Q32_merge_by_position(spark, d):
+    p = _t(spark, d, "part")
+    return merge.by_position([p.select(F.col("p_name").alias("a"), F.col("p_brand").alias("b")), p.select("p_brand", "p_name")])
+
+
+# A row fails if it holds this, and is skipped if blank.
+_POISON = "&&&"
+
+
+def length_model(values: list[str]):
+    """A stand-in for a batch model: lengths and hashes; a row with the poison fails its batch."""
+    import hashlib
+
+    import pandas as pd
+
+    if any(_POISON in v for v in values):
+        raise ValueError("bad row")
+    return pd.DataFrame({"n": [str(len(v)) for v in values], "h": [hashlib.md5(v.encode()).hexdigest()[:8] for v in values]})
+
+
+def _scored(spark, d):
+    docs = chunking.chunk(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", size=100)
+    scored = models.score(docs, "text", length_model, ["n", "h"])
+    return scored.join(docs.select("chunk_no", "idx", "doc_id"), ["chunk_no", "idx"]).select("doc_id", "chunk_no", "idx", "n", "h", "status")
+
+
+_V = "SELECT doc_id, text, CASE WHEN trim(text) = '' THEN 'SKIP' WHEN contains(text, '&&&') THEN 'FAIL' ELSE 'OK' END AS status FROM documents"
+
+
+@_query(f"SELECT status, count(*) AS n FROM ({_V}) GROUP BY status")
+def Q33_failure_summary(spark, d):
+    return _scored(spark, d).groupBy("status").agg(F.count("*").alias("n"))
+
+
+@_query(f"SELECT doc_id FROM ({_V}) WHERE status = 'FAIL'")
+def Q34_isolate_poison(spark, d):
+    return _scored(spark, d).where(F.col("status") == models.FAIL).select("doc_id")
+
+
+@_query(f"SELECT doc_id, status, CASE status WHEN 'OK' THEN length(text)::VARCHAR ELSE '' END AS n, CASE status WHEN 'OK' THEN substr(md5(text), 1, 8) ELSE '' END AS h FROM ({_V})")
+def Q35_model_score(spark, d):
+    return _scored(spark, d).select("doc_id", "status", "n", "h")
+
+
+@_query(f'WITH {_C} SELECT chunk_no // 100 AS shard, count(*) AS "rows" FROM k GROUP BY 1')
+def Q36_shard_count(spark, d):
+    shards = materialize(_chunked(spark, d).select("o_orderkey", F.expr("chunk_no div 100").cast("int").alias("shard")), "shards")
+    return shards.groupBy("shard").agg(F.count("*").alias("rows"))
