@@ -6,6 +6,7 @@ import importlib
 
 MODULES = (
     "hnsw",
+    "license_scan",
     "line_dedup",
     "lz_fingerprint",
     "mixing",
