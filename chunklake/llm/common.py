@@ -2,47 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunklake.sources.shared import materialize, shared_dir
+
 #: A word is a run of bytes that are neither blank nor one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_fallback: dict[str, str] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is the session's ``spark.checkpoint.dir``.  Only where that is unset, as
-    in tests on one machine, a temporary folder of this process stands in.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        app = spark.sparkContext.applicationId
-        if app not in _fallback:
-            _fallback[app] = tempfile.mkdtemp(prefix="chunklake-")
-        found = f"file://{_fallback[app]}"
-    return found.rstrip("/")
-
-
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there.
-
-    The table survives the loss of executors, and values that depend on how
-    rows were dealt to tasks (partition and row numbers) are fixed by it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/chunklake/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["WORD", "drop_tables", "keyed_rows", "materialize", "shared_dir", "table", "texts"]
 
 
 def drop_tables(spark: SparkSession) -> None:
