@@ -12,7 +12,8 @@ mergesort.  A comparison takes prefix polynomial hashes and a binary search for
 the common extension, so a logarithm of steps; a found extension is compared
 byte by byte before it counts.  Sorted neighbours share the longest extensions
 to the right; the same search gives those to the left; together they say which
-starts are repeated.
+starts are repeated.  An anchor with more different regions than one task should
+hold is not sorted in one: its strings are counted start by start, over all tasks.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ GRAM = 100
 SLICE = 1 << 22
 #: Groups of more regions are sorted start by start.
 CROWD = 24
+#: Different regions at one anchor that one task sorts, at most: some 6 MB of text, and 100 MB while they are sorted.
+TOGETHER = 8192
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -210,6 +213,33 @@ def _crowd(group: list[_Region], marks: list[np.ndarray], width: int) -> None:
             marks[which[i]][a] = marks[which[j]][b] = True
 
 
+def _starts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """A row for each string of fetched regions: how far before the anchor it starts, and two hashes of it."""
+    names = ["anchor", "before", "code", "check", "_row", "start", "alone"]
+    for batch in batches:
+        for r in batch.to_pylist():
+            data, n = r["data"], r["hi"] - r["lo"] + 1
+            h = prefix_hashes(data)
+            codes = (h[width : width + n] - h[:n]) * _power(n)[1]
+            checks = np.fromiter((xxhash.xxh3_64_intdigest(data[i : i + width]) for i in range(n)), np.uint64, n)
+            start = np.arange(r["lo"], r["hi"] + 1)
+            cols = [np.full(n, r["anchor"]), r["at"] - start, codes.view(np.int64), checks.view(np.int64), np.full(n, r["_row"]), start, np.full(n, r["n"] == 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+
+
+def _counted(fetched: DataFrame, width: int) -> DataFrame:
+    """(_row, begin, end) for the strings of ``fetched`` regions that another of its anchor has.
+
+    Strings are equal if they are as far from equal anchors and both their
+    hashes are, the polynomial and another.  Equal strings are counted before
+    they are shuffled, and what marks them is a join that can be split.
+    """
+    found = materialize(fetched.mapInArrow(lambda it: _starts(it, width), "anchor long, before long, code long, check long, _row long, start long, alone boolean"), "starts")
+    same = ["anchor", "before", "code", "check"]
+    shared = found.groupBy(*same).count().where("count > 1").drop("count")
+    return found.where("alone").join(shared, same, "left_semi").select("_row", F.col("start").alias("begin"), (F.col("start") + width).alias("end"))
+
+
 def _sorted_groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Marks of groups; rows come sorted by anchor."""
     group: list[_Region] = []
@@ -239,8 +269,11 @@ def _sorted_groups(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa
     yield flush()
 
 
-def repeats(keyed: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(_row, begin, end): byte ranges covered by strings of ``width`` bytes that start elsewhere too."""
+def repeats(keyed: DataFrame, width: int = WIDTH, together: int = TOGETHER) -> DataFrame:
+    """(_row, begin, end): byte ranges covered by strings of ``width`` bytes that start elsewhere too.
+
+    Anchors with over ``together`` different regions are counted, others sorted; the ranges cover the same bytes.
+    """
     docs = keyed.select("_row", "text")
     found = materialize(docs.mapInArrow(lambda it: _anchors(it, width), "_row long, anchor long, lo long, hi long, at long, region long"), "anchors")
     same = found.groupBy("anchor", "region").agg(F.count("*").alias("n"), F.min(F.struct("_row", "lo", "hi", "at")).alias("one"))
@@ -249,8 +282,8 @@ def repeats(keyed: DataFrame, width: int = WIDTH) -> DataFrame:
     whole = found.join(same.where("n > 1").select("anchor", "region"), ["anchor", "region"], "left_semi")
     whole = whole.select("_row", F.col("lo").alias("begin"), (F.col("hi") + width).alias("end"))
     # One region of each content, where anchors are alike and contents differ.
-    wanted = same.where("kinds > 1 and least = 1").select("anchor", "n", "one.*")
-    wanted = wanted.groupBy("_row").agg(F.collect_list(F.struct("anchor", "n", "lo", "hi", "at")).alias("wanted"))
+    wanted = same.where("kinds > 1 and least = 1")
+    crowded = F.col("kinds") > together
 
     def fetch(batches):
         for batch in batches:
@@ -261,10 +294,14 @@ def repeats(keyed: DataFrame, width: int = WIDTH) -> DataFrame:
             cols = list(zip(*rows, strict=True)) or [()] * 7
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:6]), pa.array(cols[6], pa.binary())], ["anchor", "_row", "n", "lo", "hi", "at", "data"])
 
-    fetched = docs.join(wanted, "_row").select("_row", "text", "wanted").mapInArrow(fetch, "anchor long, _row long, n long, lo long, hi long, at long, data binary")
+    def fetched(chosen: DataFrame) -> DataFrame:
+        chosen = chosen.select("anchor", "n", "one.*").groupBy("_row").agg(F.collect_list(F.struct("anchor", "n", "lo", "hi", "at")).alias("wanted"))
+        return docs.join(chosen, "_row").select("_row", "text", "wanted").mapInArrow(fetch, "anchor long, _row long, n long, lo long, hi long, at long, data binary")
+
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    grouped = fetched.repartition(parts, "anchor").sortWithinPartitions("anchor")
-    return whole.union(grouped.mapInArrow(lambda it: _sorted_groups(it, width), "_row long, begin long, end long"))
+    grouped = fetched(wanted.where(~crowded)).repartition(parts, "anchor").sortWithinPartitions("anchor")
+    out = whole.union(grouped.mapInArrow(lambda it: _sorted_groups(it, width), "_row long, begin long, end long"))
+    return out if wanted.where(crowded).isEmpty() else out.union(_counted(fetched(wanted.where(crowded)), width))
 
 
 def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -278,7 +315,7 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def dedup(docs: DataFrame, width: int = WIDTH, together: int = TOGETHER) -> DataFrame:
     """(doc_id, n_bytes, kept, spans) for each row of ``docs``: the bytes left and the ranges removed.
 
     A null text is empty.  Each byte goes that a string of ``width`` bytes
@@ -286,7 +323,7 @@ def dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     are those of the input.  Repeated rows lose all their long strings.
     """
     keyed = keyed_rows(docs.select("doc_id", "text"))
-    ranges = materialize(repeats(keyed, width), "repeats")
+    ranges = materialize(repeats(keyed, width, together), "repeats")
     ranges = ranges.groupBy("_row").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
 
     def cut(batches):

@@ -291,8 +291,8 @@ def test_simhash_odd_rows(spark, docs, empty):
 # 7
 
 
-@pytest.mark.parametrize("crowd", [24, 1])
-def test_substrings(spark, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "together"), [(24, 8192), (1, 8192), (24, 1), (24, 8)])
+def test_substrings(spark, monkeypatch, crowd, together):
     monkeypatch.setattr(substring_dedup, "CROWD", crowd)
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
@@ -300,7 +300,7 @@ def test_substrings(spark, monkeypatch, crowd):
     texts_ = ["", None, "x" * 399, "x" * 900, shared[:399], shared[:400], text(700) + shared + text(700), shared[200:1200] + text(300) + shared[900:]]
     texts_ += [text(90) + shared[:700] + text(5) + shared[705:] for _ in range(30)] + ["ab" * 600, "ab" * 450] + [text(2000)] * 3
     rows = [(i, t) for i, t in enumerate(texts_)]
-    got = {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in substring_dedup.dedup(table(spark, rows)).collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_bytes - len(r.kept), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in substring_dedup.dedup(table(spark, rows), together=together).collect()}
     want = substring_dedup.brute_force([t or "" for t in texts_])
     assert [got[i] for i in range(len(rows))] == want
 
