@@ -5,15 +5,19 @@ suffixes: the rank of a suffix to depth 2d comes from its rank to depth d and
 that of the suffix d lines on.  Suffixes with one rank to depth d are an
 interval of the suffix array whose longest common prefix is d lines or more, so
 they are the places of one repeated run of lines; all places but the first are
-later copies, and their lines are deleted.  A longer run is covered by the
-intervals of its parts, so doubling ends at the depth that decides.
+later copies, and their lines are deleted.
+
+``op2_line_dedup`` and the pipeline, which SQL and tests fix, count the words of
+single lines and of pairs, and doubling ends there: a longer run whose lines and
+pairs have too few words stays.  ``op2_line_runs`` (``min_lines=None``) takes
+runs of any length and counts the words of the whole run.
 
 DataFrame operations only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunklake.llm.common import WORD, keyed_rows, materialize, table
@@ -50,16 +54,80 @@ def suffix_ranks(lines: DataFrame, depth: int) -> DataFrame:
     return now
 
 
+def _lines(docs: DataFrame) -> DataFrame:
+    """(_row, i, words, line) of ``docs`` with ``_row`` and ``text``."""
+    line = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "t")
+    lines = docs.select("_row", line)
+    lines = lines.select("_row", "i", F.regexp_count("t", F.lit(WORD)).alias("words"), F.unhex(F.md5("t")).alias("line"))
+    return materialize(lines, "lines")
+
+
+def _levels(lines: DataFrame, min_words: int) -> list[DataFrame]:
+    """For 1, 2, 4 ... lines, the suffixes whose first lines occur elsewhere, with
+    the ``rank`` and ``words`` of those lines; until no such run is repeated.
+
+    Runs that have ``min_words`` words without their first line and without
+    their last are left out, so one long run of prose is not doubled: each of its lines lies in
+    a shorter run that has the words.
+    """
+    shared = lines.groupBy("line").count().where("count > 1")
+    now = lines.join(_ranked(shared, ["line"]), "line").select("_row", "i", "rank", "words", F.col("words").alias("head"), F.col("words").alias("tail"))
+    out = []
+    while True:
+        out.append(now := materialize(now, "levels"))
+        step = 1 << (len(out) - 1)
+        ahead = now.select("_row", (F.col("i") - step).alias("i"), F.col("rank").alias("then"), F.col("words").alias("more"), F.col("tail").alias("end"))
+        both = now.join(ahead, ["_row", "i"]).select("_row", "i", F.col("rank").alias("first"), "then", (F.col("words") + F.col("more")).alias("words"), "head", F.col("end").alias("tail"))
+        both = both.where(F.col("words") - F.greatest("head", "tail") < min_words)
+        names = _ranked(both.groupBy("first", "then").count().where("count > 1"), ["first", "then"])
+        if names.isEmpty():
+            return out
+        now = both.join(names, ["first", "then"]).select("_row", "i", "rank", "words", "head", "tail")
+
+
+def repeated_runs(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(_row, i, depth, words): the longest run from line ``i`` on that occurs at an earlier place.
+
+    Runs are put together from those of :func:`_levels`, longest first.  A node
+    is the places of one run so far, named by its depth and first place.  Places
+    which are not the first of a longer run move to its node; the first stays,
+    for all of them, and is in the new node as well.
+    """
+    levels, deep, names = _levels(lines, min_words), None, ["depth", "at_row", "at_i", "rank"]
+    for k in reversed(range(len(levels))):
+        nothing = [F.lit(0).alias("depth"), F.lit(0).alias("sum"), F.lit(0).cast("long").alias("at_row"), F.lit(0).alias("at_i")]
+        tried = levels[k].select("_row", "i", *nothing, "rank", "words")
+        if deep is not None:
+            piece = levels[k].select("_row", F.col("i").alias("place"), "rank", "words")
+            moved = deep.where("at_row <> _row or at_i <> i").select("_row", "i")
+            on = deep.withColumn("place", F.col("i") + F.col("depth")).join(piece, ["_row", "place"], "left").select(tried.columns)
+            tried = tried.join(moved, ["_row", "i"], "left_anti").union(on)
+        first = tried.where("rank is not null").groupBy(*names).agg(F.min(F.struct("_row", "i")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+        # Written, so that the join below deals both sides anew and can split a hot run.
+        met = tried.join(materialize(first, "first-copies"), names, "left")
+        stay = F.struct("depth", "sum", "at_row", "at_i")
+        go = F.struct((F.col("depth") + (1 << k)).alias("depth"), (F.col("sum") + F.col("words")).alias("sum"), F.col("first._row").alias("at_row"), F.col("first.i").alias("at_i"))
+        nodes = F.when(F.col("first").isNull(), F.array(stay)).when(F.struct("_row", "i") == F.col("first"), F.array(stay, go)).otherwise(F.array(go))
+        deep = materialize(met.select("_row", "i", F.explode(nodes).alias("node")).select("_row", "i", "node.*").where("depth > 0"), "runs")
+    return deep.where("at_row <> _row or at_i <> i").select("_row", "i", "depth", F.col("sum").alias("words"))
+
+
+def run_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(_row, i) of the lines to delete: those in a run of any number of lines with
+    ``min_words`` words or more altogether that occurs at an earlier place."""
+    runs = repeated_runs(_lines(docs), min_words)
+    # Each line of such a run starts one itself.
+    end = F.max(F.when(F.col("words") >= min_words, F.col("i") + F.col("depth"))).over(Window.partitionBy("_row").orderBy("i"))
+    return runs.withColumn("end", end).where("end > i").select("_row", "i")
+
+
 def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """(_row, i) of the lines to delete, for ``docs`` with ``_row`` and ``text``.
 
     ``min_lines`` is a power of two.  A line goes if it lies in a copy of an
     earlier run of that many lines, or is a copy of one earlier line, that has ``min_words`` words or more.
     """
-    line = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("i", "t")
-    lines = docs.select("_row", line)
-    lines = lines.select("_row", "i", F.regexp_count("t", F.lit(WORD)).alias("words"), F.unhex(F.md5("t")).alias("line"))
-    lines = materialize(lines, "lines")
+    lines = _lines(docs)
     if min_lines < 1 or min_lines & (min_lines - 1):
         raise ValueError("min_lines must be a power of two")
     out = None
@@ -73,15 +141,17 @@ def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = M
     return out.distinct()
 
 
-def dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, min_lines: int | None = MIN_LINES, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with later copies of line runs deleted from ``text``, and ``n_lines``, ``n_removed``, ``n_runs``.
 
     Documents come in the order of doc_id (with repeated or null ids: of the
     table).  Lines end at \\n; a null text has one empty line and stays null.
-    A document that loses all lines stays, with an empty text.
+    A document that loses all lines stays, with an empty text.  Without
+    ``min_lines``, runs are as long as they are and count with all their words.
     """
     keyed = keyed_rows(docs.drop("n_lines", "n_removed", "n_runs"))
-    gone = later_copies(keyed, min_lines, min_words).groupBy("_row").agg(F.collect_list("i").alias("_gone"))
+    gone = run_copies(keyed, min_words) if min_lines is None else later_copies(keyed, min_lines, min_words)
+    gone = gone.groupBy("_row").agg(F.collect_list("i").alias("_gone"))
     joined = keyed.join(gone, "_row", "left")
     lines, none = F.split("text", "\n"), F.array().cast("array<int>")
     joined = joined.withColumn("_gone", F.coalesce("_gone", none)).withColumn("_lines", F.coalesce(lines, F.array(F.lit(""))))
@@ -93,11 +163,18 @@ def dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int = MIN_WORD
     return counted.withColumn("text", changed).drop("_row", "_gone", "_lines")
 
 
-def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = dedup(table(spark, sf_dir, "documents"))
+def _summary(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_runs", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(dedup(table(spark, sf_dir, "documents")))
+
+
+def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(dedup(table(spark, sf_dir, "documents"), min_lines=None))
+
+
 _SQL = r"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents),
 l AS (SELECT doc_id, i, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
@@ -112,5 +189,5 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM r GROUP BY doc_id
 """
 
-QUERIES = {"op2_line_dedup": op2_line_dedup}
+QUERIES = {"op2_line_dedup": op2_line_dedup, "op2_line_runs": op2_line_runs}
 ORACLE_SQL = {"op2_line_dedup": _SQL}

@@ -124,6 +124,37 @@ def test_deeper_line_runs(spark):
     assert got[0].n_removed == 0 and got[1].text.split("\n") == ["x", "y", *run[:3]]
 
 
+def _whole_runs(rows, min_words=5):
+    """The texts without later copies of whole runs, by brute force."""
+    docs, seen, out = [(t or "").split("\n") for t in rows], {}, []
+    for r, lines in enumerate(docs):
+        gone = set()
+        for a, x in enumerate(lines):
+            longest = 0
+            for q, b in seen.get(x, ()):
+                n = 0
+                while a + n < len(lines) and b + n < len(docs[q]) and lines[a + n] == docs[q][b + n]:
+                    n += 1
+                longest = max(longest, n)
+            seen.setdefault(x, []).append((r, a))
+            if longest and sum(len(re.findall(r"[^\x20\x09-\x0D]+", y)) for y in lines[a : a + longest]) >= min_words:
+                gone |= set(range(a, a + longest))
+        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
+    return out
+
+
+def test_whole_line_runs(spark, docs, empty):
+    rng = random.Random(12)
+    texts_ = ["a b e\n\nc\n\n\nd\nx", "y\na b e\n\nc\n\n\nd\nz", "a b e\n\nc", "five words are in here\n\n\n\nq", "r\nfive words are in here\n\n\n\nq", "\n" * 40 + "w", "k k\n" * 9]
+    texts_ += ["\n".join(rng.choice(["", "a", "b", "a b", "c d e", "f g h i j k"]) for _ in range(rng.randint(1, 14))) for _ in range(60)]
+    texts_ += [t for _, t in ODD]
+    got = {r.doc_id: r.text for r in line_dedup.dedup(table(spark, list(enumerate(texts_))), min_lines=None).collect()}
+    want = _whole_runs(texts_)
+    assert want[1] == "y\nz" and want[2] == "a b e\n\nc" and want[4] == "r"
+    assert [got[i] or "" for i in range(len(texts_))] == want
+    assert line_dedup.dedup(docs, min_lines=None).count() == len(ODD) and line_dedup.dedup(empty, min_lines=None).count() == 0
+
+
 # 3
 
 
