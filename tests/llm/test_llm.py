@@ -319,6 +319,13 @@ def test_simhash_odd_rows(spark, docs, empty):
     assert kept.columns == docs.columns
 
 
+def test_simhash_keeps_one_row_of_each_class(spark):
+    one, two, three = ("\n".join(f"{c}{i} {c}{i * i} {i}{c}" for i in range(60)) for c in "abc")
+    rows = [(1, one), (1, one), (None, two), (None, two), (2, two), (1, three), (None, "alone " * 9), (None, "alone " * 9)]
+    kept = simhash_dedup.dedup(table(spark, rows).repartition(3)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, one), (2, two), (1, three), (0, "alone " * 9)])
+
+
 # 7
 
 
