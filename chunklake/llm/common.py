@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["WORD", "drop_tables", "keyed_rows", "materialize", "shared_dir", "table", "texts"]
+__all__ = ["WORD", "drop_tables", "keyed_rows", "materialize", "shared_dir", "table", "texts", "whole_rows"]
 
 
 def drop_tables(spark: SparkSession) -> None:
@@ -30,6 +30,11 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)
 
 
+def whole_rows(docs: DataFrame, *names: str) -> DataFrame:
+    """``names``, and all columns of ``docs`` in ``whole``, so that none clashes with those made on the way."""
+    return docs.select(*names, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("whole"))
+
+
 def keyed_rows(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_row``, which tells its rows apart and orders them.
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.llm.common import keyed_rows, materialize, table, texts
+from chunklake.llm.common import keyed_rows, materialize, table, texts, whole_rows
 from chunklake.llm.graph import components
 
 SEED = 42
@@ -166,11 +166,11 @@ def classes(docs: DataFrame, shingle: int = 3, limit: int = 3) -> DataFrame:
 def dedup(docs: DataFrame, shingle: int = 3, limit: int = 3) -> DataFrame:
     """``docs`` with one row of each class: the one with the least id (null: the
     greatest), of rows that share it the first."""
-    keyed = keyed_rows(docs)
+    keyed = keyed_rows(whole_rows(docs, "doc_id", "text"))
     found = classes(keyed.withColumn("doc_id", F.col("_row")), shingle, limit).select(F.col("doc_id").alias("_row"), "component_id")
     order = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("least")
     kept = keyed.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(order).select("least._row")
-    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)
+    return keyed.join(kept, "_row", "left_semi").select("whole.*")
 
 
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from chunklake.llm import hnsw, license_scan, line_dedup, lz_fingerprint, mixing, packing, pii, registry, simhash_dedup, substring_dedup, toxicity
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank int, _x string"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank int, _x string, _row string, lines int, whole string"
 
 
 def table(spark, rows):
     """rows: (doc_id, text) or (doc_id, text, source); with columns whose names may clash."""
-    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or ""), 1, "x") for r in rows]
+    full = [(r[0], r[1], "en", r[2] if len(r) > 2 else "s", len(r[1] or ""), 1, "x", "own", 7, "w") for r in rows]
     return spark.createDataFrame(full, SCHEMA)
 
 
@@ -86,36 +86,25 @@ def test_hnsw_odd_rows(spark):
 # 2
 
 
-def _lines(rows, min_words=5):
-    """The texts after line dedup, by brute force."""
-    seen1, seen2, out = set(), set(), []
-    for text in rows:
-        lines = (text or "").split("\n")
-        words = [len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in lines]
-        gone = set()
-        for i, x in enumerate(lines):
-            if words[i] >= min_words and x in seen1:
-                gone.add(i)
-            seen1.add(x)
-            if i + 1 < len(lines):
-                pair = (x, lines[i + 1])
-                if words[i] + words[i + 1] >= min_words and pair in seen2:
-                    gone |= {i, i + 1}
-                seen2.add(pair)
-        out.append("\n".join(x for i, x in enumerate(lines) if i not in gone))
-    return out
-
-
 def test_lines(spark, docs, empty):
     unique = [(i, t) for i, (_, t) in enumerate(ODD)]
     got = {r.doc_id: r for r in line_dedup.dedup(table(spark, unique)).collect()}
-    want = _lines([t for _, t in unique])
+    want = _whole_runs([t for _, t in unique])
     assert [got[i].text if t is not None else "" for i, t in unique] == want
-    assert got[2].text is None and "rank" in got[2] and "_x" in got[2]
+    assert got[2].text is None and (got[2]["rank"], got[2]["_x"], got[2]["_row"], got[2]["lines"], got[2]["whole"]) == (1, "x", "own", 7, "w")
     assert line_dedup.dedup(docs).count() == len(ODD)
-    assert line_dedup.dedup(empty).count() == 0
-    with pytest.raises(ValueError):
-        line_dedup.dedup(docs, min_lines=3)
+    assert line_dedup.dedup(empty).count() == 0 and line_dedup.report(empty).count() == 0
+
+
+@pytest.mark.parametrize("n", [3, 100])
+def test_long_line_runs(spark, n):
+    """Runs whose lines have a word each, in texts of thousands of lines."""
+    run = [f"r{i}" for i in range(n)]
+    rows = [(i, "\n".join([f"a{i}_{k}" for k in range(2000)] + run + [f"b{i}_{k}" for k in range(500)] + (run[1:] if i == 2 else []))) for i in range(4)]
+    got = {r.doc_id: (r.n_removed, r.n_runs) for r in line_dedup.dedup(table(spark, rows)).collect()}
+    assert got == {0: (0, 0), 1: (n, 1), 2: (n + (n - 1), 2), 3: (n, 1)} if n > 5 else got[3] == ((n, 1) if n >= 5 else (0, 0))
+    found = {(r.doc_id, r.line, r.n_lines, r.copies) for r in line_dedup.report(table(spark, rows)).collect()}
+    assert found == ({(0, 2000, n, 3)} | ({(0, 2001, n - 1, 1)} if n > 5 else set()) if n >= 5 else set())
 
 
 def test_deeper_line_runs(spark):
@@ -148,11 +137,11 @@ def test_whole_line_runs(spark, docs, empty):
     texts_ = ["a b e\n\nc\n\n\nd\nx", "y\na b e\n\nc\n\n\nd\nz", "a b e\n\nc", "five words are in here\n\n\n\nq", "r\nfive words are in here\n\n\n\nq", "\n" * 40 + "w", "k k\n" * 9]
     texts_ += ["\n".join(rng.choice(["", "a", "b", "a b", "c d e", "f g h i j k"]) for _ in range(rng.randint(1, 14))) for _ in range(60)]
     texts_ += [t for _, t in ODD]
-    got = {r.doc_id: r.text for r in line_dedup.dedup(table(spark, list(enumerate(texts_))), min_lines=None).collect()}
+    got = {r.doc_id: r.text for r in line_dedup.dedup(table(spark, list(enumerate(texts_)))).collect()}
     want = _whole_runs(texts_)
     assert want[1] == "y\nz" and want[2] == "a b e\n\nc" and want[4] == "r"
     assert [got[i] or "" for i in range(len(texts_))] == want
-    assert line_dedup.dedup(docs, min_lines=None).count() == len(ODD) and line_dedup.dedup(empty, min_lines=None).count() == 0
+    assert line_dedup.dedup(docs).count() == len(ODD) and line_dedup.dedup(empty).count() == 0
 
 
 # 3
@@ -445,7 +434,7 @@ def test_pipeline(spark, sf_dir):
             assert {r.doc_id for r in at.collect()} == keep
         if name == "line_dedup":
             rows = sorted((r.doc_id, r.text) for r in before.collect())
-            assert [r.text for r in at.orderBy("doc_id").collect()] == _lines([t for _, t in rows])
+            assert [r.text for r in at.orderBy("doc_id").collect()] == _whole_runs([t for _, t in rows])
         if name == "simhash_dedup":
             rows = sorted((r.doc_id, r.text) for r in before.collect())
             label = _components([_slow_fingerprint(t) for _, t in rows])
