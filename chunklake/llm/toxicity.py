@@ -1,19 +1,26 @@
 """Toxicity by nearest labelled examples, exact TF-IDF cosine (operator 8).
 
-Features are words and their stems (their first four to six letters).  A
-bounded sample of labelled texts gives the vocabulary, the features most
-associated with a label, and the examples; how many documents hold a feature is
-counted over all documents.  The examples lie in an inverted index whose
-postings are cut into blocks, each with its largest weight.  For each document
-the blocks' bounds are summed, and blocks are scored in the order of their bound
-until no other block can hold one of the nearest: the neighbours are exact.
+Features are words and word starts (their first four to eight letters).  A bounded
+sample of labelled texts gives the examples and the vocabulary: the features
+whose share of toxic texts differs from the sample's, on either side, chosen so
+that of those kept one in a hundred is expected to be chance (the
+false-discovery rate of Benjamini and Hochberg over exact binomial tails).
+How many documents hold a feature is counted over all documents.
+
+The examples lie in an inverted index: a feature's postings are its examples
+and weights, cut into blocks of examples, each with its largest weight.  For a
+document the blocks' bounds are summed over its features' posting lists, and
+blocks are scored in the order of their bound until no other can hold one of the
+nearest: the neighbours are exact.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,32 +28,30 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.llm.common import materialize, table, texts
+from chunklake.llm.common import keyed_rows, materialize, table
 
 #: Labelled texts that are kept as examples, at most, half of them toxic.
 EXAMPLES = 4096
-#: Features in the vocabulary, at most.
-FEATURES = 4096
-#: Features are kept whose chi-squared statistic against the label is this high,
-#: so that of the many words hardly one is kept by chance.
-ASSOCIATION = 24.0
-#: ... and that are this much likelier in toxic texts.
-LIFT = 20.0
+#: Of the features kept, the share that is expected to be there by chance.
+CHANCE = 0.01
 NEAREST = 15
 BLOCK = 64
 #: Weight of the share of toxic examples beside the votes, in units of cosine.
 PRIOR = 0.5
 THRESHOLD = 0.3
 
+#: Letters of a word start.
+STARTS = (4, 5, 6, 7, 8)
+
 _WORDS = re.compile(r"\w+")
 
 
 def features(text: str) -> Counter:
-    """Words of the lower-cased text and their first 4, 5 and 6 letters, counted."""
+    """Words of the lower-cased text and their first letters, counted; a start is marked by a star."""
     words = Counter(_WORDS.findall(text.lower()))
-    out = Counter({w: n for w, n in words.items()})
+    out = Counter(words)
     for w, n in words.items():
-        for k in (4, 5, 6):
+        for k in STARTS:
             if len(w) > k:
                 out[f"{w[:k]}*"] += n
     return out
@@ -54,15 +59,41 @@ def features(text: str) -> Counter:
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, ys, texts_ = (batch.column(c).to_pylist() for c in ("doc_id", "toxic", "text"))
-        for i, y, t in zip(ids, ys, texts_, strict=True):
+        rows, ids, ys, texts_ = (batch.column(c).to_pylist() for c in ("_row", "doc_id", "toxic", "text"))
+        for r, i, y, t in zip(rows, ids, ys, texts_, strict=True):
             f = features(t)
-            if f:
-                # Near copies mostly share the least hash of five words, and count as one text.
-                words = _WORDS.findall(t.lower())
-                runs = (" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4)))
-                like = min(map(xxhash.xxh64_intdigest, runs)) - (1 << 63)
-                yield pa.RecordBatch.from_arrays([pa.array([i] * len(f)), pa.array([y] * len(f)), pa.array([like] * len(f)), pa.array(f.keys()), pa.array(f.values(), pa.int64())], ["doc_id", "toxic", "alike", "feature", "n"])
+            # Near copies mostly share the least hash of five words, and count as one text.
+            words = _WORDS.findall(t.lower())
+            runs = (" ".join(words[k : k + 5]) for k in range(max(1, len(words) - 4)))
+            like = min(map(xxhash.xxh64_intdigest, runs)) - (1 << 63)
+            cols = [pa.array([v] * len(f), pa.int64()) for v in (r, i, y, like)]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(f.keys(), pa.string()), pa.array(f.values(), pa.int64())], ["_row", "doc_id", "toxic", "alike", "feature", "n"])
+
+
+def telling(counts: dict[tuple[int, int], int], n1: int, n0: int, chance: float = CHANCE) -> set[tuple[int, int]]:
+    """Which (toxic, other) text counts set a feature apart.
+
+    ``counts`` says how many features have them; ``n1`` and ``n0`` are all texts
+    of either kind.  A feature without a tie to the label is as a coin of bias
+    n1 / (n1 + n0); p is twice its smaller tail.  The largest p is taken at which
+    chance features are at most ``chance`` of those kept.
+    """
+    if not (n1 and n0):
+        return set()
+    bias, p = n1 / (n1 + n0), {}
+    sums = {a + b for a, b in counts}
+    factorial = np.concatenate([[0.0], np.cumsum(np.log(np.arange(1, max(sums, default=0) + 1)))])
+    for n in sums:
+        k = np.arange(n + 1)
+        pmf = np.exp(factorial[n] - factorial[k] - factorial[n - k] + k * math.log(bias) + (n - k) * math.log(1 - bias))
+        below, above = np.cumsum(pmf), np.cumsum(pmf[::-1])[::-1]
+        p |= {(a, n - a): float(min(1, 2 * min(below[a], above[a]))) for a in range(n + 1) if (a, n - a) in counts}
+    total, seen, most = sum(counts.values()), 0, -1.0
+    for pair in sorted(p, key=p.get):
+        seen += counts[pair]
+        if p[pair] <= chance * seen / total:
+            most = p[pair]
+    return {pair for pair, x in p.items() if x <= most}
 
 
 class Index:
@@ -75,22 +106,30 @@ class Index:
         share = prior if share is None else share
         self.weight = np.array([(1 - prior) / max(1 - share, 1e-9), prior / max(share, 1e-9)])
         self.idf = np.log((1 + n_docs) / (1 + df)) + 1e-3
-        self.words = {}
-        for f, i in vocabulary.items():
-            self.words[f] = i
+        # Examples with no feature have no neighbours; their labels are the score of such texts.
+        bare = np.bincount([y for _, y, c in rows if not c], minlength=2)
+        votes = bare * self.weight
+        self.blank = float((votes[1] + prior) / (votes.sum() + 1))
         rows = [r for r in rows if r[2]]
         # Examples with the same label and like features share blocks: bounds get tighter.
         rows.sort(key=lambda r: (r[1], max(r[2], key=lambda f: (self.idf[f] * r[2][f], f)), r[0]))
         self.ids = np.array([r[0] for r in rows], np.int64)
         self.y = np.array([r[1] for r in rows], float)
         self.blocks = -(-len(rows) // BLOCK) or 1
-        self.weights = np.zeros((len(vocabulary), self.blocks * BLOCK), np.float32)
+        held: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
         for at, (_, _, counts) in enumerate(rows):
             for f, w in zip(*self.vector(counts), strict=True):
-                self.weights[f, at] = w
-        self.most = self.weights.reshape(len(vocabulary), self.blocks, BLOCK).max(axis=2)
-        # postings: for each feature, the blocks that hold it
-        self.weights = self.weights.reshape(len(vocabulary), self.blocks, BLOCK)
+                held[f].append((at, w))
+        #: For each feature: the blocks that hold it, their largest weights, and each block's examples and weights.
+        self.postings = []
+        for pairs in held:
+            at, w = np.array([a for a, _ in pairs], np.int64), np.array([x for _, x in pairs], float)
+            blocks, first = np.unique(at // BLOCK, return_index=True)
+            most = np.maximum.reduceat(w, first) if len(w) else w
+            parts = dict(zip(blocks.tolist(), zip(np.split(at % BLOCK, first[1:]), np.split(w, first[1:]), strict=True), strict=True))
+            self.postings.append((blocks, most, parts if len(at) else {}))
+        self.slope, self.shift = 1.0, 0.0
+        self._calibrate(rows)
 
     def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         f = np.fromiter(counts, np.int64, len(counts))
@@ -100,113 +139,186 @@ class Index:
     def nearest(self, counts: dict[int, int], k: int = NEAREST, skip: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the ``k`` nearest examples with a cosine above 0."""
         f, w = self.vector(counts)
-        bound = w @ self.most[f]
+        bound = np.zeros(self.blocks)
+        for i, x in zip(f, w, strict=True):
+            blocks, most, _ = self.postings[i]
+            bound[blocks] += x * most
         sims, at, least = np.empty(0), np.empty(0, np.int64), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= least or bound[b] <= 0:
+        for b in np.argsort(-bound, kind="stable").tolist():
+            if bound[b] < least - 1e-12 or bound[b] <= 0:
                 break
-            sims = np.concatenate([sims, w @ self.weights[f, b].astype(float)])
-            at = np.concatenate([at, np.arange(b * BLOCK, (b + 1) * BLOCK)])
-            keep = (sims > 1e-9) & (at < len(self.ids))
+            got = np.zeros(BLOCK)
+            for i, x in zip(f, w, strict=True):
+                if (part := self.postings[i][2].get(b)) is not None:
+                    got[part[0]] += x * part[1]
+            places = np.flatnonzero(got > 1e-9)
+            sims, at = np.concatenate([sims, got[places]]), np.concatenate([at, b * BLOCK + places])
             if skip is not None:
-                keep &= self.ids[np.minimum(at, len(self.ids) - 1)] != skip
-            sims, at = sims[keep], at[keep]
+                keep = self.ids[at] != skip
+                sims, at = sims[keep], at[keep]
             order = np.lexsort((at, -sims))[:k]
             sims, at = sims[order], at[order]
             least = sims[-1] if len(sims) == k else 0.0
         return at, sims
 
+    def _logit(self, at: np.ndarray, sims: np.ndarray) -> float:
+        """Log odds of toxic among these neighbours, weighted by cosine and shrunk to the base rate."""
+        votes = sims * self.weight[self.y[at].astype(int)]
+        toxic = votes @ self.y[at]
+        prior = min(max(self.prior, 1e-6), 1 - 1e-6)
+        return float(np.log((toxic + PRIOR * prior) / (votes.sum() - toxic + PRIOR * (1 - prior))))
+
+    def _calibrate(self, rows: list) -> None:
+        """Fit slope and shift of the log odds to the examples' labels, each scored without itself."""
+        if len({y for _, y, _ in rows}) < 2:
+            return
+        x = np.array([self._logit(*self.nearest(counts, skip=i)) for i, _, counts in rows])
+        w, p = self.weight[self.y.astype(int)], np.array([1.0, 0.0])
+        z = np.stack([x, np.ones_like(x)], 1)
+        for _ in range(30):  # Newton's method on the weighted logistic loss; a little ridge towards (1, 0)
+            q = 1 / (1 + np.exp(-np.clip(z @ p, -30, 30)))
+            gradient = z.T @ (w * (q - self.y)) + (p - [1, 0])
+            p = p - np.linalg.solve((z * (w * q * (1 - q))[:, None]).T @ z + np.eye(2), gradient)
+        if p[0] > 0:
+            self.slope, self.shift = float(p[0]), float(p[1])
+
     def score(self, counts: dict[int, int], skip: int | None = None) -> tuple[float, list[int]]:
-        """Share of toxic among the nearest, weighted by cosine, and the three nearest."""
+        """The nearest examples' votes, weighted by cosine and calibrated, and the three nearest."""
         if not counts or not len(self.ids):
-            return self.empty, []
+            return self.blank, []
         at, sims = self.nearest(counts, skip=skip)
-        votes = sims * self.weight[self.y[at].astype(int)]
-        return float((votes @ self.y[at] + PRIOR * self.prior) / (votes.sum() + PRIOR)), [int(i) for i in self.ids[at[:3]]]
+        odds = self.slope * self._logit(at, sims) + self.shift
+        return float(1 / (1 + np.exp(-np.clip(odds, -500, 500)))), [int(i) for i in self.ids[at[:3]]]
 
-    @property
-    def empty(self) -> float:
-        """Score of a text without a feature of the vocabulary."""
-        return self.blank
 
-    blank = 0.0
+@dataclass
+class Learned:
+    """What the labelled sample gives: its vocabulary, its examples (doc_id, label, counts), and the
+    share of toxic labels."""
 
+    vocabulary: dict[str, int]
+    rows: list[tuple[int, int, dict[int, int]]]
+    prior: float
+
+    def index(self, df: dict[int, int], n_docs: int) -> Index:
+        counts = np.array([df.get(i, 0) for i in range(len(self.vocabulary))], float)
+        share = sum(y for _, y, _ in self.rows) / max(1, len(self.rows))
+        return Index(self.vocabulary, counts, n_docs, self.rows, self.prior, share)
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index:
-    """Learn from ``labels`` (doc_id, toxic): rows with a null in either are left out.
 
-    The examples are, for either label, the ``examples`` / 2 rows with the least
-    hash of their id, so their texts, vocabulary and index have a bounded size.  Document counts of
-    the vocabulary's features are over all of ``docs``.
+def learn(keyed: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Learned:
+    """Learn from ``labels`` (doc_id, toxic) and the texts of ``keyed`` (_row, doc_id, text).
+
+    Labels with a null in either column are left out; of several for one id the
+    highest counts.  The examples are, for either label, the ``examples`` / 2 rows
+    with the least hash of id and row, so that their texts, vocabulary and index have
+    a bounded size; rows that share an id are examples of their own.
     """
-    spark = docs.sparkSession
-    chosen = labels.where("doc_id is not null and toxic is not null").select("doc_id", F.col("toxic").cast("long").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = chosen.withColumn("toxic", (F.col("toxic") == 1).cast("long"))
-    totals = dict(chosen.groupBy("toxic").count().collect())
+    spark = keyed.sparkSession
+    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") == 1).cast("long")).alias("toxic"))
+    totals = dict(known.groupBy("toxic").count().collect())
     prior = totals.get(1, 0) / max(1, sum(totals.values()))
-    half = [chosen.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples // 2) for y in (0, 1)]
-    chosen = half[0].union(half[1])
-    # At most ``examples`` rows of two numbers are broadcast.
-    sample = texts(docs).join(F.broadcast(chosen), "doc_id")
-    found = materialize(sample.mapInArrow(_examples, "doc_id long, toxic long, alike long, feature string, n long"), "examples")
-    sizes = {r.toxic: r for r in found.groupBy("toxic").agg(F.count_distinct("alike").alias("texts"), F.count_distinct("doc_id").alias("docs")).collect()}
-    n1, n0 = (sizes[y].texts if y in sizes else 0 for y in (1, 0))
-    by = found.groupBy("feature").agg(F.count_distinct(F.when(F.col("toxic") == 1, F.col("alike"))).alias("p"), F.count_distinct(F.when(F.col("toxic") == 0, F.col("alike"))).alias("q"))
-    n, seen = n1 + n0, F.col("p") + F.col("q")
-    expected = seen * (n1 / max(n, 1))
-    chi = (F.col("p") - expected) ** 2 * n / F.nullif(expected * (n - seen) * (n0 / max(n, 1)) / n, F.lit(0.0)) / n if n1 and n0 else F.lit(0.0)
-    top = by.withColumn("chi", chi).where((F.col("chi") >= ASSOCIATION) & (F.col("p") * n0 >= F.col("q") * n1 * LIFT)).orderBy(F.col("chi").desc(), "feature").limit(FEATURES)
-    vocabulary = {r.feature: i for i, r in enumerate(top.select("feature").collect())}
-    shared = spark.sparkContext.broadcast(vocabulary)
+    rows = keyed.select("_row", F.col("doc_id").cast("long").alias("doc_id")).join(known, "doc_id")
+    half = [rows.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id", "_row"), "_row").limit(examples // 2) for y in (0, 1)]
+    # At most ``examples`` rows of three numbers: collected, so that the choice is fixed, and broadcast.
+    chosen = [tuple(r) for h in half for r in h.select("_row", "doc_id", "toxic").collect()]
+    sample = keyed.select("_row", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(spark.createDataFrame(chosen, "_row long, doc_id long, toxic long")), "_row")
+    found = materialize(sample.select("_row", "doc_id", "toxic", "text").mapInArrow(_examples, "_row long, doc_id long, toxic long, alike long, feature string, n long"), "examples")
+    sizes = dict(found.groupBy("toxic").agg(F.count_distinct("alike")).collect())
+    by = found.groupBy("feature").agg(F.count_distinct(F.when(F.col("toxic") == 1, F.col("alike"))).cast("int").alias("p"), F.count_distinct(F.when(F.col("toxic") == 0, F.col("alike"))).cast("int").alias("q"))
+    by = materialize(by, "feature-counts")
+    pairs = {(r.p, r.q): r["count"] for r in by.groupBy("p", "q").count().collect()}
+    apart = spark.createDataFrame(sorted(telling(pairs, sizes.get(1, 0), sizes.get(0, 0))), "p int, q int")
+    # Features of at most ``examples`` texts.
+    vocabulary = {r.feature: i for i, r in enumerate(by.join(F.broadcast(apart), ["p", "q"]).select("feature").orderBy("feature").collect())}
+    counts: dict[int, dict[int, int]] = {r: {} for r, _, _ in chosen}
+    kept = found.join(F.broadcast(spark.createDataFrame([*vocabulary.items()], "feature string, f long")), "feature")
+    for r in kept.select("_row", "f", "n").orderBy("_row", "f").toLocalIterator():
+        counts[r["_row"]][r.f] = r.n
+    return Learned(vocabulary, [(i, y, counts[r]) for r, i, y in chosen], prior)
+
+
+def matches(keyed: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """(_row, f, n): how often each row's text has each feature of the vocabulary; written, so texts are read once."""
+    shared = keyed.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches):
-        df, n = np.zeros(len(shared.value), np.int64), 0
+        counts = counter(shared.value)
         for batch in batches:
-            for t in batch.column("text").to_pylist():
-                n += 1
-                for f in _counts(t, shared.value):
-                    df[f] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([*range(-1, len(df))]), pa.array([n, *df.tolist()])], ["f", "n"])
-
-    counted = dict(texts(docs).select("text").mapInArrow(count, "f long, n long").groupBy("f").agg(F.sum("n")).collect())
-    rows: dict[int, tuple[int, dict[int, int]]] = {}
-    kept = found.join(F.broadcast(spark.createDataFrame([*vocabulary.items()], "feature string, f long")), "feature")
-    for r in kept.groupBy("doc_id", "toxic", "f").agg(F.max("n").alias("n")).orderBy("doc_id", "f").toLocalIterator():
-        rows.setdefault(r.doc_id, (r.toxic, {}))[1][r.f] = r.n
-    d1, d0 = (sizes[y].docs if y in sizes else 0 for y in (1, 0))
-    index = Index(vocabulary, np.array([counted.get(i, 0) for i in range(len(vocabulary))], float), counted.get(-1, 0), [(i, y, c) for i, (y, c) in rows.items()], prior, d1 / max(1, d0 + d1))
-    # Labels of the examples that have no feature of the vocabulary.
-    bare = np.array([d0, d1]) - np.bincount([y for y, _ in rows.values()], minlength=2)
-    votes = np.maximum(bare, 0) * index.weight
-    index.blank = float((votes[1] + index.prior) / (votes.sum() + 1))
-    return index
-
-
-def _counts(text: str, vocabulary: dict[str, int]) -> dict[int, int]:
-    out: dict[int, int] = {}
-    get = vocabulary.get
-    for w, n in Counter(_WORDS.findall(text.lower())).items():
-        for g in (w, f"{w[:4]}*", f"{w[:5]}*", f"{w[:6]}*") if len(w) > 6 else (w, *(f"{w[:k]}*" for k in (4, 5, 6) if len(w) > k)):
-            if (f := get(g)) is not None:
-                out[f] = out.get(f, 0) + n
-    return out
+            rows, fs, ns = [], [], []
+            for row, text in zip(batch.column("_row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                found = counts(text or "")
+                rows += [row] * len(found)
+                fs += found.keys()
+                ns += found.values()
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rows, fs, ns)], ["_row", "f", "n"])
+
+    return materialize(keyed.select("_row", "text").mapInArrow(count, "_row long, f long, n long"), "matches")
+
+
+def counter(vocabulary: dict[str, int]):
+    """A function that counts a text's features of the vocabulary, as :func:`features` does."""
+    short = min(STARTS)
+    # Few words begin like a feature: the others are passed over.
+    heads = {f.rstrip("*")[:short] for f in vocabulary}
+
+    def count(text: str) -> dict[int, int]:
+        out: dict[int, int] = {}
+        for w, n in Counter(_WORDS.findall(text.lower())).items():
+            if w[:short] in heads:
+                for g in (w, *(f"{w[:k]}*" for k in STARTS if len(w) > k)):
+                    if (f := vocabulary.get(g)) is not None:
+                        out[f] = out.get(f, 0) + n
+        return out
+
+    return count
+
+
+def _scored(keyed: DataFrame, found: DataFrame, index: Index) -> DataFrame:
+    """(_row, doc_id, score, evidence) of each row of ``keyed``, from its matches."""
+    shared = keyed.sparkSession.sparkContext.broadcast(index)
+
+    def score(batches):
+        for batch in batches:
+            got = [shared.value.score({m["f"]: m["n"] for m in held}) for held in batch.column("held").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([s for s, _ in got], pa.float64()), pa.array([e for _, e in got], pa.list_(pa.int64()))], ["_row", "score", "evidence"])
+
+    # A row has at most as many matches as the vocabulary has features.
+    held = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("f", "n"))).alias("held"))
+    scores = held.mapInArrow(score, "_row long, score double, evidence array<long>")
+    none = F.array().cast("array<long>")
+    joined = keyed.select("_row", "doc_id").join(scores, "_row", "left")
+    return joined.select("_row", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("score", F.lit(index.blank)).alias("score"), F.coalesce("evidence", none).alias("evidence"))
+
+
+def _document_counts(found: DataFrame) -> dict[int, int]:
+    """In how many rows each feature is; one number for each feature of the vocabulary."""
+    return dict(found.groupBy("f").count().collect())
+
+
+def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Index:
+    """An index to score other tables with.  See :func:`learn`; document counts are over all rows of ``docs``."""
+    keyed = keyed_rows(docs.select("doc_id", "text"))
+    learned = learn(keyed, labels, examples)
+    return learned.index(_document_counts(matches(keyed, learned.vocabulary)), keyed.count())
 
 
 def score(docs: DataFrame, index: Index) -> DataFrame:
     """(doc_id, score, evidence) for each row: evidence lists the nearest examples' ids.
 
     Null texts are empty; texts without a known feature have the score of such
-    examples and no evidence.
+    examples and no evidence.  Repeated rows are scored each.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    keyed = keyed_rows(docs.select("doc_id", "text"))
+    return _scored(keyed, matches(keyed, index.vocabulary), index).drop("_row")
 
-    def scored(batches):
-        index = shared.value
-        for batch in batches:
-            found = [index.score(_counts(t, index.vocabulary)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), pa.array([e for _, e in found], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
-    return texts(docs).mapInArrow(scored, "doc_id long, score double, evidence array<long>")
+def fit_score(keyed: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
+    """:func:`fit` and :func:`score` of one table ``keyed`` (_row, doc_id, text), whose texts are
+    read once for both; with ``_row``."""
+    learned = learn(keyed, labels, examples)
+    found = matches(keyed, learned.vocabulary)
+    return _scored(keyed, found, learned.index(_document_counts(found), keyed.count()))
 
 
 def held_out():
@@ -214,9 +326,8 @@ def held_out():
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").where(~held_out())
-    scored = score(docs, fit(docs, labels))
+    keyed = keyed_rows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scored = fit_score(keyed, table(spark, sf_dir, "labels").where(~held_out()))
     return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence")
 
 

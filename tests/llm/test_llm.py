@@ -341,27 +341,81 @@ def test_substrings_odd_rows(docs, empty):
 # 8
 
 
+def _dense(index, rows, counts):
+    """Cosines with all examples, from their counts."""
+
+    def vector(c):
+        v = {f: (1 + np.log(n)) * index.idf[f] for f, n in c.items()}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {f: x / size for f, x in v.items()}
+
+    own = vector(counts)
+    return {i: sum(x * vector(c).get(f, 0) for f, x in own.items()) if c else 0.0 for i, _, c in rows}
+
+
 def test_block_max_search_is_exact():
     rng = np.random.default_rng(1)
-    rows = [(i, int(rng.random() < 0.2), {int(f): int(n) for f, n in zip(rng.choice(50, 5, replace=False), rng.integers(1, 4, 5), strict=True)}) for i in range(500)]
+    rows = [(i, int(rng.random() < 0.2), {int(f): int(n) for f, n in zip(rng.choice(50, 5, replace=False), rng.integers(1, 4, 5), strict=True)} if i % 9 else {}) for i in range(500)]
     index = toxicity.Index({f"f{i}": i for i in range(50)}, rng.integers(1, 400, 50).astype(float), 500, rows, 0.2)
     for _, _, counts in rows[:60]:
-        f, w = index.vector(counts)
-        all_ = (index.weights.reshape(50, -1)[f].astype(float) * w[:, None]).sum(0)[: len(index.ids)]
-        at, sims = index.nearest(counts)
-        assert np.allclose(sims, np.sort(all_)[::-1][: len(sims)])
+        if counts:
+            all_ = _dense(index, rows, counts)
+            at, sims = index.nearest(counts)
+            assert np.allclose(sims, sorted(all_.values(), reverse=True)[: len(sims)]) and len(sims) == toxicity.NEAREST
+            assert np.allclose(sims, [all_[i] for i in index.ids[at]])
+            got, evidence = index.score(counts)
+            assert got == pytest.approx(_vote(index, rows, counts)) and evidence == index.ids[at[:3]].tolist()
+    # No other slope or shift fits the examples, each scored without itself, better.
+    x = np.array([index._logit(*index.nearest(c, skip=i)) for i, _, c in rows if c])
+    y = np.array([t for _, t, c in rows if c])
+    loss = lambda a, b: (index.weight[y] * np.log1p(np.exp(-(2 * y - 1) * (a * x + b)))).sum() + ((a - 1) ** 2 + b * b) / 2
+    best = loss(index.slope, index.shift)
+    assert index.slope == 1 or all(best <= loss(index.slope + da, index.shift + db) for da in (-0.01, 0, 0.01) for db in (-0.01, 0, 0.01))
+
+
+def test_telling_features():
+    from fractions import Fraction
+    from math import comb
+
+    counts, n1, n0 = {(0, 1): 500, (1, 0): 200, (6, 0): 8, (0, 30): 3, (4, 1): 2, (30, 70): 1}, 40, 60
+
+    def p(a, b):
+        bias, n = Fraction(n1, n1 + n0), a + b
+        tail = lambda ks: sum(comb(n, k) * bias**k * (1 - bias) ** (n - k) for k in ks)
+        return min(1, 2 * min(tail(range(a, n + 1)), tail(range(a + 1))))
+
+    ps = sorted(p(*k) for k, n in counts.items() for _ in range(n))
+    most = max((x for i, x in enumerate(ps, 1) if x <= 0.2 * i / len(ps)), default=-1)
+    assert toxicity.telling(counts, n1, n0, 0.2) == {k for k in counts if p(*k) <= most} != set()
+    assert toxicity.telling({}, 3, 4) == set() and toxicity.telling(counts, 0, 5) == set()
+
+
+def test_counts_are_those_of_features():
+    rng = random.Random(2)
+    texts_ = [" ".join("".join(rng.choice("abAé") for _ in range(rng.randint(1, 10))) for _ in range(200)) for _ in range(20)]
+    every = sorted({f for t in texts_[:10] for f in toxicity.features(t)})
+    vocabulary = {f: i for i, f in enumerate(rng.sample(every, 60))}
+    count = toxicity.counter(vocabulary)
+    for t in texts_:
+        assert count(t) == {vocabulary[f]: n for f, n in toxicity.features(t).items() if f in vocabulary}
 
 
-def test_toxicity(spark, sf_dir, docs, empty):
+def test_toxicity(spark, docs, empty):
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("klmnop") for _ in range(4))
     rows = [(i, " ".join([word() for _ in range(30)] + (["scumbag"] * 2 if i % 5 == 0 else []))) for i in range(400)]
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)] + [(None, 1), (7, None), (3, 0)], "doc_id long, toxic int")
     index = toxicity.fit(table(spark, rows), labels)
+    assert index.idf.tolist() == pytest.approx([np.log(401 / (1 + sum(f in toxicity.features(t) for _, t in rows))) + 1e-3 for f in index.vocabulary])
     got = {r.doc_id: r for r in toxicity.score(table(spark, rows), index).collect()}
+    count = toxicity.counter(index.vocabulary)
+    assert all(got[i].score == pytest.approx(index.score(count(t))[0]) for i, t in rows)
     assert all((got[i].score >= toxicity.THRESHOLD) == (i % 5 == 0) for i in range(300, 400))
     assert got[305].evidence and all(e % 5 == 0 for e in got[305].evidence)
     assert toxicity.score(docs, index).where("score >= 0 and score <= 1").count() == len(ODD)
+    # A repeated id gives an example for each row, and no more than the bound.
+    twice = toxicity.fit(table(spark, rows + rows[:50]), labels, examples=100)
+    assert sum(y for _, y, _ in toxicity.learn(toxicity.keyed_rows(table(spark, rows + rows[:50])), labels, 100).rows) == 50 and twice.vocabulary
     nothing = toxicity.fit(empty, labels.where("false"))
     assert toxicity.score(empty, nothing).count() == 0 and toxicity.score(docs, nothing).count() == len(ODD)
 
@@ -420,6 +474,22 @@ def test_likeness_estimates_shared_phrases():
 # the pipeline
 
 
+def _labelled(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out() & F.col("toxic").isNotNull())
+    return [tuple(r) for r in labels.join(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id").select("doc_id", "toxic", "text").collect()]
+
+
+def _vote(index, rows, counts):
+    """The score by brute force over all examples (the table has fewer than the bound)."""
+    if not counts:
+        return index.blank
+    y = {i: v for i, v, _ in rows}
+    sims = sorted(((x, i) for i, x in _dense(index, rows, counts).items() if x > 1e-9), reverse=True)[: toxicity.NEAREST]
+    votes = [(x * index.weight[y[i]], y[i]) for x, i in sims]
+    toxic, clean = (sum(v for v, t in votes if t == k) + toxicity.PRIOR * p for k, p in ((1, index.prior), (0, 1 - index.prior)))
+    return 1 / (1 + (clean / toxic) ** index.slope * np.exp(-index.shift))
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -430,7 +500,10 @@ def test_pipeline(spark, sf_dir):
         seen.append(name)
         if name == "toxicity":
             index = toxicity.fit(before, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out()))
-            keep = {r.doc_id for r in before.collect() if index.score(toxicity._counts(r.text, index.vocabulary))[0] < toxicity.THRESHOLD}
+            rows = [(i, int(y), toxicity.features(t)) for i, y, t in _labelled(spark, sf_dir)]
+            known = [(i, y, {index.vocabulary[f]: n for f, n in c.items() if f in index.vocabulary}) for i, y, c in rows]
+            held = {r.doc_id: {index.vocabulary[f]: n for f, n in toxicity.features(r.text).items() if f in index.vocabulary} for r in before.collect()}
+            keep = {i for i, c in held.items() if _vote(index, known, c) < toxicity.THRESHOLD}
             assert {r.doc_id for r in at.collect()} == keep
         if name == "line_dedup":
             rows = sorted((r.doc_id, r.text) for r in before.collect())
