@@ -12,7 +12,6 @@ less chance, estimates the share of phrases two texts have in common.
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections.abc import Iterator
 
@@ -26,8 +25,6 @@ from pyspark.sql import functions as F
 from chunklake.llm.common import materialize, table, texts
 
 BINS = 128
-#: Characters of text in one sorted partition, about.
-PARTITION = 16_000_000
 
 _UNITS = re.compile(r"\s*\S{1,16}|\s+")
 
@@ -118,21 +115,25 @@ def _stitched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def compare(docs: DataFrame) -> DataFrame:
     """A row for each row of ``docs``: its fingerprint, its edited text's, and their likeness.
 
-    The next document is that with the next greater id (ties: by text; null ids
-    come last; after the last: the first).  Null texts are empty.  Documents are
-    sorted over all partitions and read as a stream; only the texts at the ends
-    of partitions meet in a second, small step.
+    The next document is that with the next greater id (ties: by a hash of the
+    text; null ids come last; after the last: the first).  Null texts are empty.
+    Documents are sorted over all partitions, rows that share an id or have none
+    as well, and read as a stream.  Only the ends of partitions meet in a second
+    step: which partition follows which is found on their numbers alone, and a
+    join then brings the two texts together.
     """
-    docs = texts(docs)
-    size = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    order = [F.col("doc_id").asc_nulls_last(), "text"]
-    run = docs.repartitionByRange(max(1, math.ceil(size / PARTITION)), F.col("doc_id").asc_nulls_last()).sortWithinPartitions(*order)
+    order = [F.col("doc_id").asc_nulls_last(), F.col("_hash"), F.col("_place")]
+    # _place only tells equal rows apart, so that they can be dealt to several partitions.
+    placed = texts(docs).withColumn("_hash", F.xxhash64("text")).withColumn("_place", F.monotonically_increasing_id())
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    run = placed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     run = materialize(run.mapInArrow(_sorted_run, _PENDING), "lz-runs")
-    ends = run.where("empty").select("doc_id", "part", "head", "tail")
-    # One row for each partition.
+    ends = run.where("empty")
     w = Window.orderBy("part")
-    ends = ends.withColumn("following", F.coalesce(F.lead("head").over(w), F.first("head").over(w)))
-    stitched = ends.select("doc_id", "tail", "following").mapInArrow(_stitched, _RESULT)
+    # One row of one number for each partition.
+    follows = ends.select("part").withColumn("next_part", F.coalesce(F.lead("part").over(w), F.first("part").over(w)))
+    heads = ends.select(F.col("part").alias("next_part"), F.col("head").alias("following"))
+    stitched = ends.select("doc_id", "part", "tail").join(follows, "part").join(heads, "next_part").select("doc_id", "tail", "following").mapInArrow(_stitched, _RESULT)
     names = [f.split()[0] for f in _RESULT.split(", ")]
     return run.where("not empty").select(*names).union(stitched)
 

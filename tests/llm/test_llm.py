@@ -83,6 +83,20 @@ def test_hnsw_odd_rows(spark):
     assert hnsw.nearest(df.where("false"), df.where("false")).count() == 0
 
 
+def test_hnsw_scores_doubles_as_they_are(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "QUERIES_TOGETHER", 7)
+    monkeypatch.setattr(hnsw, "QUERIES_A_COPY", 20)
+    rng = np.random.default_rng(6)
+    data = 1 + rng.normal(size=(300, 6)) * 1e-9  # alike as floats
+    data[200:] *= 1e18
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(data.tolist())], "vec_id long, embedding array<double>")
+    got = hnsw.nearest(df.where("vec_id % 3 = 0"), df, shard=120).toPandas()
+    assert got.query_id.nunique() == 100
+    for q, g in got.groupby("query_id"):
+        d = np.sqrt(((data - data[q]) ** 2).sum(1))
+        assert np.allclose(g.score, d[g.vec_id.to_numpy()], rtol=1e-12, atol=0) and len(g) == 10
+
+
 # 2
 
 
@@ -462,6 +476,22 @@ def test_lz(spark, docs, empty):
     assert one.near_next == 1.0
 
 
+def test_lz_with_many_equal_and_missing_ids(spark):
+    """Each text has one next text, and they go round."""
+    rng = random.Random(9)
+    texts_ = [" ".join(str(rng.randint(0, 99)) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    rows = [(None if i % 3 else 7, t) for i, t in enumerate(texts_)] + [(7, "same " * 20)] * 100
+    got = lz_fingerprint.compare(table(spark, rows).repartition(5)).collect()
+    assert len(got) == len(rows) and sum(r.doc_id == 7 for r in got) == 200
+    from collections import Counter
+
+    heads = lambda n: {t[:n] for _, t in rows}
+    sizes = Counter(len(t) for _, t in rows)
+    assert Counter(r.n_chars for r in got) == sizes
+    edits = {hashlib.sha256((t[: len(t) - len(t) // 4] + h).encode()).hexdigest() for _, t in rows for h in heads(len(t) // 4)}
+    assert all(r.edited_sha256 in edits for r in got)
+
+
 def test_likeness_estimates_shared_phrases():
     rng = random.Random(3)
     words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(1000)]
