@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from chunklake.llm.common import materialize, table
 
 SHARD = 8192
-QUERIES_TOGETHER = 1024
+#: Queries that walk a graph at once, and queries that meet one copy of a graph: their
+#: vectors take more bytes than the graph, so copies at most double what is shuffled.
+QUERIES_TOGETHER, QUERIES_A_COPY = 1024, 1 << 15
 LINKS = 16
 BUILD, BEAM = 48, 128
 
@@ -139,14 +141,25 @@ def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], que
     return nodes
 
 
-_GRAPH = "dim int, shard long, vectors binary, offsets binary, ids binary, sizes array<int>, nodes array<binary>, near array<binary>"
+_GRAPH = "dim int, shard long, width int, vectors binary, offsets binary, ids binary, sizes array<int>, nodes array<binary>, near array<binary>"
+
+
+def _walked(vectors: np.ndarray) -> np.ndarray:
+    """The vectors as graphs are built and walked with; scores are taken on the given ones."""
+    most = float(np.abs(vectors).max(initial=0))
+    # Squares of larger components would not fit.
+    return (vectors / most if most > 1e15 else vectors).astype(np.float32)
 
 
 def _build(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     """One shard: equal vectors are one node, with its k + 1 least ids."""
     frame = frame.sort_values("vec_id")
-    all_ = np.stack(frame["embedding"].to_numpy()).astype(np.float32) + np.float32(0)
-    _, first, node = np.unique(np.ascontiguousarray(all_).view(f"V{all_.shape[1] * 4}").ravel(), return_index=True, return_inverse=True)
+    all_ = np.stack(frame["embedding"].to_numpy()).astype(np.float64) + 0.0
+    # Vectors are kept as they are given: in 4 bytes a component where that is exact.
+    with np.errstate(over="ignore"):
+        kind = np.float32 if (all_.astype(np.float32) == all_).all() else np.float64
+    all_ = np.ascontiguousarray(all_.astype(kind))
+    _, first, node = np.unique(all_.view(f"V{all_.shape[1] * all_.itemsize}").ravel(), return_index=True, return_inverse=True)
     vectors = all_[first]
     order = np.argsort(node, kind="stable")
     place = np.arange(len(node)) - np.searchsorted(node[order], node[order])
@@ -158,9 +171,9 @@ def _build(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     ids = [frame["vec_id"].to_numpy()[order[offsets[i] : offsets[i + 1]]] for i in mix]
     u = np.random.default_rng(2).random(len(mix))
     levels = np.floor(-np.log(np.maximum(u, 1e-12)) / math.log(LINKS)).astype(int)
-    layers = build(vectors, levels)
+    layers = build(_walked(vectors), levels)
     return pd.DataFrame([{
-        "dim": vectors.shape[1], "shard": frame["shard"].iloc[0], "vectors": vectors.tobytes(),
+        "dim": vectors.shape[1], "shard": frame["shard"].iloc[0], "width": vectors.itemsize, "vectors": vectors.tobytes(),
         "offsets": np.cumsum([0, *map(len, ids)]).astype(np.int64).tobytes(), "ids": np.concatenate(ids).astype(np.int64).tobytes(),
         "sizes": [len(n) for n, _ in layers], "nodes": [n.tobytes() for n, _ in layers], "near": [m.tobytes() for _, m in layers],
     }])
@@ -170,22 +183,26 @@ def _search(queries: pd.DataFrame, graphs: pd.DataFrame, k: int) -> pd.DataFrame
     out = {"query_id": [], "vec_id": [], "score": []}
     if len(queries) and len(graphs):
         g = graphs.iloc[0]
-        vectors = np.frombuffer(g["vectors"], np.float32).reshape(-1, g["dim"])
+        vectors = np.frombuffer(g["vectors"], f"f{g['width']}").reshape(-1, g["dim"])
         offsets, ids = np.frombuffer(g["offsets"], np.int64), np.frombuffer(g["ids"], np.int64)
         layers = [(np.frombuffer(n, np.int32), np.frombuffer(m, np.int32).reshape(s, -1)) for s, n, m in zip(g["sizes"], g["nodes"], g["near"], strict=True)]
-        asked = np.stack(queries["embedding"].to_numpy())
-        found = search(vectors, layers, asked.astype(np.float32))[:, : 3 * k]
-        for own, q, nodes in zip(queries["query_id"].to_numpy(), asked.astype(float), found, strict=True):
-            nodes = nodes[nodes >= 0]
-            exact = np.sqrt(((vectors[nodes].astype(float) - q) ** 2).sum(1))
-            many = np.concatenate([ids[offsets[i] : offsets[i + 1]] for i in nodes])
-            exact = np.repeat(exact, offsets[nodes + 1] - offsets[nodes])
-            keep = many != own
-            many, exact = many[keep], exact[keep]
-            order = np.lexsort((many, exact))[:k]
-            out["query_id"] += [own] * len(order)
-            out["vec_id"] += many[order].tolist()
-            out["score"] += exact[order].tolist()
+        most = float(np.abs(vectors).max(initial=0))
+        walked, scale = _walked(vectors), most if most > 1e15 else 1.0
+        owns, all_asked = queries["query_id"].to_numpy(), queries["embedding"].to_numpy()
+        for at in range(0, len(queries), QUERIES_TOGETHER):
+            asked = np.stack(all_asked[at : at + QUERIES_TOGETHER]).astype(np.float64)
+            found = search(walked, layers, np.clip(asked / scale, -3e18, 3e18).astype(np.float32))[:, : 3 * k]
+            for own, q, nodes in zip(owns[at : at + QUERIES_TOGETHER], asked, found, strict=True):
+                nodes = nodes[nodes >= 0]
+                exact = np.sqrt(((vectors[nodes].astype(np.float64) - q) ** 2).sum(1))
+                many = np.concatenate([ids[offsets[i] : offsets[i + 1]] for i in nodes])
+                exact = np.repeat(exact, offsets[nodes + 1] - offsets[nodes])
+                keep = many != own
+                many, exact = many[keep], exact[keep]
+                order = np.lexsort((many, exact))[:k]
+                out["query_id"] += [own] * len(order)
+                out["vec_id"] += many[order].tolist()
+                out["score"] += exact[order].tolist()
     return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
 
@@ -208,11 +225,13 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, shard: int = SH
     found, by Euclidean distance, ties to the smaller id; rows with the query's id are not among them.
 
     Null, zero and non-finite vectors take no part.  Vectors meet queries of
-    their own dimension.
+    their own dimension.  Rows that share a vec_id are candidates each; of equal
+    vectors in a shard, the k + 1 least ids.  Scores are in double precision on
+    the vectors as given, float or double.
     """
     graphs, shards = index(vectors, shard, k)
     asked = usable(queries).withColumnRenamed("vec_id", "query_id")
-    blocks = max(1, math.ceil(asked.count() / QUERIES_TOGETHER))
+    blocks = max(1, math.ceil(asked.count() / QUERIES_A_COPY))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>")))
     graphs = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
     keys = ["dim", "shard", "block"]
