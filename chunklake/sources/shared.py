@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -11,9 +12,12 @@ _fallback: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; where it is unset, as in tests, a temporary folder."""
+    """The session's ``spark.checkpoint.dir``.  Where it is unset and all tasks run in this
+    process, as in tests, a temporary folder; elsewhere executors could not read one, so that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         app = spark.sparkContext.applicationId
         found = _fallback.setdefault(app, f"file://{tempfile.mkdtemp(prefix='chunklake-')}")
     return found.rstrip("/")
