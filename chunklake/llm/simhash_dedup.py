@@ -12,14 +12,19 @@ meets has its whole chain checked, and only then all 64 bits.
 Equal fingerprints are one node.  Within a key, nodes near the key's pivot
 (its node with most documents) are linked to the pivot and to each other
 through it, so that only the rest is compared; a group of near copies gives as
-many rows as it has nodes, not their square.
+many rows as it has nodes, not their square.  A key that still has many nodes is
+split by what further bits must be equal: one of the four segments outside the
+key, and then three of the six nibbles outside both, so that 52 of 64 bits are and a
+group has at most 4096 nodes however large the table is.  Each split has its own
+pivots.  No split drops a pair: only the plan depends on the numbers.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import islice
+from functools import reduce
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +38,7 @@ from chunklake.llm.graph import components
 SEED = 42
 SEGMENTS, BITS = 8, 8
 BLOCK = 1 << 16
-#: Keys with more nodes than this are thinned by pivots before nodes are paired.
+#: Groups with more nodes than this are split further before nodes are paired.
 CROWD = 32
 
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -123,25 +128,51 @@ def links(nodes: DataFrame, limit: int = 3) -> DataFrame:
     """
     if limit > 3:
         raise ValueError("the chain keys are complete up to three differing bits")
-    keyed = nodes.select("fp", "n", F.explode(_keys(F.col("fp"))).alias("key"))
-    stats = keyed.groupBy("key").agg(F.count("*").alias("size"), F.max(F.struct("n", "fp")).alias("p")).where("size > 1")
-    rows = keyed.join(stats, "key").select("key", "fp", "size", F.col("p.fp").alias("pivot"))
-    rows = materialize(rows.withColumn("reached", _near(F.col("fp"), F.col("pivot"), limit)), "chain-keys")
-    star = rows.where("reached and fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
-    # Two reached nodes are in one component already: one of a pair is not.
-    few, crowd = rows.where(F.col("size") <= CROWD), rows.where(F.col("size") > CROWD)
-    pairs = _pairs(few, ["key"], limit)
-    # In a crowd, one of the four segments outside the key is equal as well.
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt out first: each row becomes 24.
+    keyed = nodes.repartition(parts, "fp").select("fp", "n", F.explode(_keys(F.col("fp"))).alias("key"))
+    rows, out = _thinned(keyed, ["key"], limit), []
+    for split, names in ((_other_segment, ["key", "sub"]), (_other_nibbles, ["key", "sub", "nibbles"])):
+        few, crowd = rows.where(F.col("size") <= CROWD), rows.where(F.col("size") > CROWD)
+        out += [rows.where("reached and fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b")), _pairs(few, names[:-1], limit)]
+        # A group whose nodes are all reached has no pair left.
+        rows = _thinned(split(crowd.where("left > 0")).select(*names, "fp", "n"), names, limit)
+    out += [rows.where("reached and fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b")), _pairs(rows, names, limit)]
+    return reduce(DataFrame.union, out).distinct()
+
+
+def _thinned(rows: DataFrame, on: list[str], limit: int) -> DataFrame:
+    """``rows`` (on, fp, n) of groups of two or more, with ``size``, ``pivot``, ``reached`` and ``left``, those not reached.
+
+    Two reached nodes are in one component already, so of a pair one is not.
+    """
+    stats = rows.groupBy(*on).agg(F.count("*").alias("size"), F.max(F.struct("n", "fp")).alias("p")).where("size > 1")
+    met = rows.join(stats, on).select(*on, "fp", "n", "size", F.col("p.fp").alias("pivot"))
+    met = materialize(met.withColumn("reached", _near(F.col("fp"), F.col("pivot"), limit)), "chain-keys")
+    rest = met.where("not reached").groupBy(*on).agg(F.count("*").alias("left"))
+    return met.join(rest, on, "left").withColumn("left", F.coalesce("left", F.lit(0)))
+
+
+def _other_segment(rows: DataFrame) -> DataFrame:
+    """Outside the key are four segments; of at most three differing bits, one segment has none."""
+    coded = rows.selectExpr("*", "cast(shiftrightunsigned(key, 32) as int) as code").selectExpr("*", "code div 8 as start", "code % 8 as skip")
     sub = """explode(transform(array(skip, 5, 6, 7), s -> struct((start + s) % 8 as at,
         shiftrightunsigned(fp, ((start + s) % 8) * 8) & 255 as bits)))"""
-    crowd = crowd.selectExpr("*", "cast(shiftrightunsigned(key, 32) as int) as code")
-    crowd = crowd.selectExpr("*", "code div 8 as start", "code % 8 as skip").selectExpr("*", f"{sub} as sub")
-    return star.union(pairs).union(_pairs(crowd, ["key", "sub"], limit)).distinct()
+    return coded.selectExpr("*", f"{sub} as sub")
+
+
+def _other_nibbles(rows: DataFrame) -> DataFrame:
+    """Outside key and segment are six nibbles; three of them at least are equal."""
+    coded = rows.selectExpr("*", "cast(shiftrightunsigned(key, 32) as int) as code").selectExpr("*", "code div 8 as start", "code % 8 as skip")
+    free = "flatten(transform(filter(array(skip, 5, 6, 7), s -> (start + s) % 8 <> sub.at), s -> array(((start + s) % 8) * 8, ((start + s) % 8) * 8 + 4)))"
+    coded = coded.selectExpr("*", f"transform({free}, s -> shiftrightunsigned(fp, s) & 15) as free")
+    chosen = ", ".join(f"struct({n} as which, free[{a}] * 256 + free[{b}] * 16 + free[{c}] as bits)" for n, (a, b, c) in enumerate(combinations(range(6), 3)))
+    return coded.selectExpr("*", f"explode(array({chosen})) as nibbles")
 
 
 def _pairs(rows: DataFrame, on: list[str], limit: int) -> DataFrame:
     a = rows.where("not reached").select(*on, F.col("fp").alias("a"))
-    b = rows.select(*on, F.col("fp").alias("b"))
+    b = rows.where("left > 0").select(*on, F.col("fp").alias("b"))
     near = _chain(F.col("a"), F.col("b"), limit) & _near(F.col("a"), F.col("b"), limit)
     return a.join(b, on).where((F.col("a") != F.col("b")) & near).select("a", "b")
 

@@ -290,7 +290,10 @@ def test_fingerprints(monkeypatch):
         assert simhash_dedup.fingerprint((t or "")[:3000]) == _slow_fingerprint((t or "")[:3000])
 
 
-def test_links(spark):
+@pytest.mark.parametrize("crowd", [32, 2])
+def test_links(spark, monkeypatch, crowd):
+    """Small families, a hot one, and one of near copies 4 to 8 bits from their centre."""
+    monkeypatch.setattr(simhash_dedup, "CROWD", crowd)
     rng = random.Random(2)
     fps = set()
     for _ in range(12):
@@ -298,6 +301,8 @@ def test_links(spark):
         fps |= {centre ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 4))) for _ in range(8)}
     hot = rng.getrandbits(64)
     fps |= {hot ^ sum(1 << b for b in rng.sample(range(20), rng.randint(0, 5))) for _ in range(150)}
+    wide = rng.getrandbits(64)
+    fps |= {wide ^ sum(1 << b for b in rng.sample(range(14), rng.randint(4, 8))) for _ in range(150)}
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     from chunklake.llm.graph import components
