@@ -528,6 +528,37 @@ def test_licenses(spark, docs, empty):
     assert 0.9 < got.pop(2)["mit-notice"] < 1 and 3 not in got
     assert got == {6 + i: {"mit-notice": 1.0} for i in range(20)}
     assert license_scan.scan(docs).count() == 0 and license_scan.scan(empty).count() == 0
+    assert license_scan.scan(docs, {}).count() == 0
+    with pytest.raises(ValueError, match="fewer than 5 words"):
+        license_scan.scan(docs, {"short": ("three words only",)})
+
+
+def test_licenses_against_all_windows(spark):
+    """Every template with none to a fifth of its words changed, in one very long text and in many: found where
+    a window of a template's length holds 0.8 of its shingles, by brute force.  Recall here: all that are 0.8 and more."""
+    rng = random.Random(5)
+    words = lambda t: [w for w in re.split(r"[^0-9a-z]+", t.lower()) if w]
+    texts_, parts = [], []
+    for ts in license_scan.TEMPLATES.values():
+        for t in ts:
+            for share in (0, 0.02, 0.05, 0.2):
+                parts.append(" ".join("".join(rng.choices("xyz", k=5)) if rng.random() < share else w for w in words(t)))
+                texts_.append(f"some words before {parts[-1]} and after it")
+    texts_.append(" filler text of words ".join(parts * 3))
+    grams = lambda ws: [tuple(ws[i : i + 5]) for i in range(len(ws) - 4)]
+    known = [(n, set(grams(words(t)))) for n, ts in license_scan.TEMPLATES.items() for t in ts]
+    want, near = set(), set()
+    for d, text in enumerate(texts_):
+        g = grams(words(text))
+        for name, shingles in known:
+            n = len(shingles)
+            step = max(1, n // 8)
+            for w, out in ((n, want), (n if step == 1 else n + 2 * step, near)):
+                if any(len(shingles.intersection(g[i : i + w])) >= 0.8 * n for i in range(max(1, len(g) - w + 1))):
+                    out.add((d, name))
+    rows = table(spark, list(enumerate(texts_)))
+    got = {(r.doc_id, r.license): r for r in license_scan.scan(rows).collect()}
+    assert want <= got.keys() <= near and len(want) > 80
 
 
 # 10
