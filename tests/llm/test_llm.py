@@ -651,3 +651,30 @@ def test_pipeline(spark, sf_dir):
         if name != "packing":
             assert at.columns == columns
     assert at.agg(F.sum("length")).first()[0] > 0 and len(seen) == 5
+
+
+def test_pipeline_stages_on_odd_rows(spark, sf_dir, docs, empty):
+    """Nulls, repeated rows and ids, ties, clashing columns; then no rows."""
+    import corpus_pipeline
+
+    columns = corpus_pipeline.COLUMNS
+    at, none = docs, empty
+    for name, stage in corpus_pipeline.STAGES:
+        before = at.select(*columns).collect()
+        at, none = (corpus_pipeline.materialize(stage(spark, d, sf_dir), name) for d in (at, none))
+        assert none.count() == 0 and none.columns == at.columns
+        if name == "packing":
+            assert at.where("start = 0").count() == len(before)
+            break
+        assert at.columns == columns
+        after = at.collect()
+        if name == "toxicity":
+            assert sorted(map(repr, after)) == sorted(map(repr, before))  # none of them is toxic
+        elif name == "line_dedup":
+            assert sorted(map(repr, (r.doc_id for r in after))) == sorted(map(repr, (r.doc_id for r in before)))
+            assert all(r.n_chars == len(r.text or "") for r in after) and sum(r.text is None for r in after) == 2
+        elif name == "simhash_dedup":
+            label = _components([_slow_fingerprint(r.text) for r in before])
+            assert len(after) == len(set(label))
+            at = stage(spark, docs, sf_dir).union(docs.select(*columns))  # for the next stage: repeated rows again
+            at = corpus_pipeline.materialize(at, "odd")
