@@ -284,7 +284,9 @@ def _scored(keyed: DataFrame, found: DataFrame, index: Index) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array([s for s, _ in got], pa.float64()), pa.array([e for _, e in got], pa.list_(pa.int64()))], ["_row", "score", "evidence"])
 
     # A row has at most as many matches as the vocabulary has features.
-    held = found.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("f", "n"))).alias("held"))
+    parts = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Dealt out evenly: few bytes take long to score.
+    held = found.repartition(parts, "_row").groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("f", "n"))).alias("held"))
     scores = held.mapInArrow(score, "_row long, score double, evidence array<long>")
     none = F.array().cast("array<long>")
     joined = keyed.select("_row", "doc_id").join(scores, "_row", "left")
