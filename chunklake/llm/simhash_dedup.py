@@ -186,7 +186,7 @@ def classes(docs: DataFrame, shingle: int = 3, limit: int = 3) -> DataFrame:
     """
     marked = texts(docs).mapInArrow(lambda it: _fingerprints(it, shingle), "doc_id long, fp long")
     marked = materialize(marked, "fingerprints")
-    nodes = marked.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
+    nodes = materialize(marked.groupBy("fp").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")), "nodes")
     parts = components(links(nodes, limit))
     least = nodes.join(parts, nodes.fp == parts.node, "left").select("fp", F.coalesce("component", "fp").alias("part"), "least")
     first = least.groupBy("part").agg(F.min("least").alias("component_id"))
