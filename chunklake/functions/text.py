@@ -39,6 +39,17 @@ def message(code: Column, text: Column, most: int = 300) -> Column:
     return F.concat(F.lit("EXIT "), code.cast("string"), F.lit(": "), F.substring(line, 1, most))
 
 
+def shorten(value: Column, most: int = 60) -> Column:
+    """The value as a report shows it: its first characters."""
+    return F.substring(value, 1, most)
+
+
+def relative(path: Column, root: str) -> Column:
+    """A path below ``root``; others stay as they are."""
+    prefix = root.rstrip("/") + "/"
+    return F.when(F.startswith(path, F.lit(prefix)), F.substring(path, len(prefix) + 1, 1 << 20)).otherwise(path)
+
+
 def all_empty(columns: list[Column], stripped: bool = True, vacuous: bool = False) -> Column:
     """Every column is empty; with no column, ``vacuous``."""
     if not columns:

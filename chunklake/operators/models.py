@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import multiprocessing
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,26 +14,59 @@ Model = Callable[[list[str]], pd.DataFrame]
 OK, FAIL, SKIP, UNREPRODUCED = "OK", "FAIL", "SKIP", "UNREPRODUCED"
 
 
-def trial(model: Model, values: list[str]) -> tuple[pd.DataFrame | None, str]:
-    """The results, or why there are none: an exception, or another number of rows."""
+def _line(e: Exception) -> str:
+    return str(e).replace("\n", " | ")[:300] or type(e).__name__
+
+
+def _limited(model: Model, values: list[str], seconds: float) -> tuple[pd.DataFrame | None, str]:
+    """The model in a process of its own, which is ended after ``seconds``."""
+    context = multiprocessing.get_context("fork")
+    ours, theirs = context.Pipe(duplex=False)
+
+    def work():
+        try:
+            theirs.send((model(values), ""))
+        except Exception as e:
+            theirs.send((None, _line(e)))
+
+    process = context.Process(target=work)
+    process.start()
+    theirs.close()
     try:
-        out = model(values)
-    except Exception as e:
-        return None, str(e).replace("\n", " | ")[:300] or type(e).__name__
+        return ours.recv() if ours.poll(seconds) else (None, f"TIMEOUT after {seconds:g} s")
+    except EOFError:
+        return None, "the model ended without a result"
+    finally:
+        process.kill()
+        process.join()
+
+
+def trial(model: Model, values: list[str], seconds: float | None = None) -> tuple[pd.DataFrame | None, str]:
+    """The results, or why there are none: an exception, the time limit, or another number of rows."""
+    if seconds is not None:
+        out, why = _limited(model, values, seconds)
+        if out is None:
+            return None, why
+    else:
+        try:
+            out = model(values)
+        except Exception as e:
+            return None, _line(e)
     if len(out) != len(values):
         return None, f"{len(values)} rows in, {len(out)} out"
     return out.reset_index(drop=True), ""
 
 
-def isolate(model: Model, values: list[str], columns: list[str], fanout: int = 10) -> pd.DataFrame:
+def isolate(model: Model, values: list[str], columns: list[str], fanout: int = 10, seconds: float | None = None) -> pd.DataFrame:
     """A row for each value: results, ``status`` and ``details``; failing rows are padded.
 
     A batch that fails is split into ``fanout`` parts, again and again, to the rows
     that fail alone.  If it fails and each of its parts passes, they are UNREPRODUCED.
+    ``seconds`` limits each trial.
     """
 
     def run(at: int, end: int) -> Iterator[tuple[int, pd.DataFrame, str, str]]:
-        out, why = trial(model, values[at:end])
+        out, why = trial(model, values[at:end], seconds)
         if out is not None:
             yield at, out, OK, ""
         elif end - at == 1:
@@ -54,17 +88,17 @@ def isolate(model: Model, values: list[str], columns: list[str], fanout: int = 1
     return pd.concat(frames).sort_values("place").drop(columns="place").reset_index(drop=True).iloc[: len(everything)]
 
 
-def score(chunked: DataFrame, value: str, model: Model, columns: list[str], keys: tuple[str, ...] = ("chunk_no",), fanout: int = 10) -> DataFrame:
+def score(chunked: DataFrame, value: str, model: Model, columns: list[str], keys: tuple[str, ...] = ("chunk_no",), fanout: int = 10, seconds: float | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Run ``model`` once for each chunk, which has a bounded number of rows.
 
-    Returns ``keys``, ``idx``, ``value``, the model's ``columns`` as strings,
+    Returns ``keys``, ``idx``, ``value``, the columns ``carry`` as they are, the model's ``columns`` as strings,
     ``status`` and ``details``, in declared columns whatever the model returns.
     """
-    fields = [f for f in chunked.select(*keys, "idx", value).schema.fields]
+    fields = [f for f in chunked.select(*keys, "idx", value, *carry).schema.fields]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + "".join(f", `{c}` string" for c in (*columns, "status", "details"))
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("idx").reset_index(drop=True)
-        return pd.concat([frame, isolate(model, frame[value].fillna("").tolist(), columns, fanout)], axis=1)
+        return pd.concat([frame, isolate(model, frame[value].fillna("").tolist(), columns, fanout, seconds)], axis=1)
 
-    return chunked.select(*keys, "idx", value).groupBy(*keys).applyInPandas(one, schema)
+    return chunked.select(*keys, "idx", value, *carry).groupBy(*keys).applyInPandas(one, schema)

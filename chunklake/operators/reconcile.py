@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunklake.functions.text import percent
@@ -43,7 +43,35 @@ def retention(rows: DataFrame, by: str, valid: Column, total: bool = False) -> D
     return grouped.withColumn("empty", F.col("input") - F.col("valid")).withColumn("retention_pct", percent(F.col("valid"), F.col("input")))
 
 
+def report(inputs: DataFrame, outputs: DataFrame, by: str, chunk: str, filled: Column, total: bool = True) -> DataFrame:
+    """Per group ``by``: chunks, those missing, those whose number of rows differs, rows in and
+    out, and empty rows (not ``filled``); ``total`` adds the grand total, with no group."""
+    a = inputs.groupBy(by, chunk).agg(F.count("*").alias("rows_in"))
+    b = outputs.groupBy(by, chunk).agg(F.count("*").alias("rows_out"), F.count_if(~filled).alias("empty"))
+    both = a.join(b, [by, chunk], "left")
+    counts = [
+        F.count("*").alias("chunks"), F.count_if(F.col("rows_out").isNull()).alias("missing"), F.count_if(F.col("rows_out") != F.col("rows_in")).alias("mismatched"),
+        F.sum("rows_in").alias("rows_in"), F.coalesce(F.sum("rows_out"), F.lit(0)).alias("rows_out"), F.coalesce(F.sum("empty"), F.lit(0)).alias("empty"),
+    ]
+    return (both.rollup(by) if total else both.groupBy(by)).agg(*counts)
+
+
+def run_status(inputs: DataFrame, folders: DataFrame, results: DataFrame, by: str) -> DataFrame:
+    """(by, status) of each group of ``inputs``: NO_OUTPUT_DIR without a folder, NO_RESULTS without a
+    result in it, otherwise RUN."""
+    held = inputs.select(by).distinct()
+    held = held.join(folders.select(by).distinct().withColumn("_folder", F.lit(True)), by, "left").join(results.select(by).distinct().withColumn("_result", F.lit(True)), by, "left")
+    return held.select(by, F.when(F.col("_folder").isNull(), "NO_OUTPUT_DIR").when(F.col("_result").isNull(), "NO_RESULTS").otherwise("RUN").alias("status"))
+
+
 def preview(rows: DataFrame, by: str, item: str, first: int = 20) -> DataFrame:
-    """Per group the first items in order, and how many more there are."""
-    got = F.array_sort(F.collect_list(item))
-    return rows.groupBy(by).agg(F.slice(got, 1, first).alias("items"), F.greatest(F.count(item) - first, F.lit(0)).alias("more"))
+    """Per group the first items in order, and how many more there are.
+
+    Each task passes on the first few of each group only, so that no group has to be in one place.
+    """
+    place = F.row_number().over(Window.partitionBy(by).orderBy(item))
+    some = rows.where(F.col(item).isNotNull()).select(by, item).withColumn("_place", place).where(F.col("_place") <= first)
+    some = some.groupBy(by).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    counts = rows.groupBy(by).agg(F.greatest(F.count(item) - first, F.lit(0)).alias("more")).withColumnRenamed(by, "_by")
+    none = F.array().cast(some.schema["items"].dataType)
+    return counts.join(some, F.col("_by").eqNullSafe(some[by]), "left").select(F.col("_by").alias(by), F.coalesce("items", none).alias("items"), "more")

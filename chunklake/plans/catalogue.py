@@ -5,14 +5,24 @@ The tables hold no compounds, so each operator runs on a stand-in.
 
 from __future__ import annotations
 
+import bz2
+import gzip
+import io
+import uuid
+import zipfile
+
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.functions.text import all_empty, message, number_in
+from chunklake.functions.text import CHUNK_FILE, all_empty, message, number_in, relative, shorten
 from chunklake.operators import chunking, merge, models, reconcile
 from chunklake.operators.columns import extract
-from chunklake.sources.shared import materialize
-from chunklake.streaming.incremental import pending
+from chunklake.sources import text_files
+from chunklake.sources.archive import Layout, read_archive
+from chunklake.sources.catalog import Catalogue
+from chunklake.sources.shared import shared_dir
+from chunklake.streaming.incremental import checkpoint_rows, ingest, pending, until_complete
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,7 +54,9 @@ _C = "c AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) AS
 
 @_query("SELECT trim(p_name) AS smiles, p_partkey::VARCHAR AS collection_id FROM part WHERE trim(p_name) <> ''")
 def Q01_extract_rows(spark, d):
-    return extract(_t(spark, d, "part"), "p_name", "p_partkey")
+    # Blanks that SQL's trim leaves are stripped as well.
+    padded = _t(spark, d, "part").withColumn("p_name", F.concat(F.lit(" \t\u00a0"), "p_name", F.lit("\u2003 ")))
+    return extract(padded, "p_name", "p_partkey")
 
 
 @_query("SELECT trim(p_name) AS smiles, '' AS collection_id FROM part WHERE trim(p_name) <> ''")
@@ -95,19 +107,41 @@ def Q09_chunk_number_extract(spark, d):
     return m.where(F.col("name").endswith(".csv") & F.col("name").contains("_chunk_")).select("name", number_in(F.col("name")).alias("chunk_no"))
 
 
-@_query("""SELECT archive, page_id AS member, size FROM (SELECT *, row_number() OVER (PARTITION BY archive ORDER BY size DESC, page_id) AS n FROM
-(SELECT page_id, regexp_extract(url, '://([^/]+)', 1) AS archive, length(html)::BIGINT AS size FROM pages)) WHERE n = 1""")
+def _folder(spark) -> str:
+    """A new folder for the files that a query writes and reads back."""
+    return f"{shared_dir(spark)}/chunklake/{spark.sparkContext.applicationId}/files-{uuid.uuid4().hex}"
+
+
+def _write(uri: str, data: bytes) -> str:
+    store, path = FileSystem.from_uri(uri)
+    store.create_dir(path.rpartition("/")[0])
+    with store.open_output_stream(path, compression=None) as out:
+        out.write(data)
+    return uri
+
+
+def _nations(spark, d):
+    """The 25 nations as (region, name, key)."""
+    return [(r.n_regionkey, r.n_name, r.n_nationkey) for r in _t(spark, d, "nation").orderBy("n_nationkey").collect()]
+
+
+@_query("SELECT n_name AS smiles, n_nationkey::VARCHAR AS collection_id, 0 AS member FROM nation WHERE n_regionkey <= (SELECT max(n_regionkey) FROM nation)")
 def Q10_member_select(spark, d):
-    p = _t(spark, d, "pages").select("page_id", F.regexp_extract("url", "://([^/]+)", 1).alias("archive"), F.length("html").cast("bigint").alias("size"))
-    best = F.max(F.struct("size", (-F.col("page_id")).alias("m")))
-    return p.groupBy("archive").agg(best.alias("b")).select("archive", (-F.col("b.m")).alias("member"), "b.size")
+    """Member k of an archive has the nations of the regions up to k: the last is the largest."""
+    held, rows = io.BytesIO(), _nations(spark, d)
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("__MACOSX/big.csv", "x" * 100_000)
+        for k in sorted({r[0] for r in rows}, reverse=True):
+            z.writestr(f"part{k}.smiles", "sep=,\r\n Catalog ID,smiles\r\n" + "".join(f"{i},\" {n}\"\r\n" for r, n, i in rows if r <= k))
+    path = _write(f"{_folder(spark)}/a.zip", held.getvalue())
+    return read_archive(spark, path, Layout("largest", ",", "SMILES", "CATALOG ID")).select("smiles", "collection_id", "member")
 
 
 @_query("""SELECT n_nationkey, n_name, CASE lower(n_name) WHEN 'fr' THEN 'FRANCE' WHEN 'france' THEN 'FRANCE' WHEN 'us' THEN 'UNITED STATES'
 WHEN 'nation_1' THEN 'NATION ONE' ELSE n_name END AS library FROM nation""")
 def Q11_alias_resolve(spark, d):
-    names = F.create_map(*[F.lit(x) for kv in ALIASES.items() for x in kv])
-    return _t(spark, d, "nation").select("n_nationkey", "n_name", F.coalesce(F.try_element_at(names, F.lower("n_name")), "n_name").alias("library"))
+    known = Catalogue({}, {}, aliases=ALIASES)
+    return _t(spark, d, "nation").select("n_nationkey", "n_name", known.library_of(F.col("n_name")).alias("library"))
 
 
 @_query("SELECT p_partkey, md5(p_name) AS key, p_name AS input FROM part")
@@ -211,18 +245,17 @@ def Q23_split_ranges(spark, d):
     return _ranges(spark, d).select("chunk_no", "start", "end")
 
 
-@_query(f'WITH {_S}, x AS (SELECT chunk_no, unnest(range(start, "end" + 1)) AS idx FROM s) SELECT chunk_no, count(*) AS covered, count(DISTINCT idx) AS indices, max(idx)::BIGINT AS last FROM x GROUP BY 1')
+@_query(f'WITH {_S} SELECT chunk_no, sum("end" - start + 1)::BIGINT AS covered, min(start)::BIGINT AS first, max("end")::BIGINT AS last FROM s GROUP BY 1')
 def Q24_range_to_index(spark, d):
-    x = _ranges(spark, d).select("chunk_no", F.explode(F.sequence("start", "end")).alias("idx"))
-    return x.groupBy("chunk_no").agg(F.count("*").alias("covered"), F.count_distinct("idx").alias("indices"), F.max("idx").alias("last"))
+    """Ranges cover their chunk: told from their ends."""
+    return _ranges(spark, d).groupBy("chunk_no").agg(F.sum(F.expr("`end` - start + 1")).alias("covered"), F.min("start").alias("first"), F.max("end").alias("last"))
 
 
 @_query(f'WITH {_S} SELECT chunk_no, unnest(range(start, "end" + 1))::BIGINT AS idx FROM s WHERE start % 3 = 1')
 def Q25_coverage_gap(spark, d):
     r = _ranges(spark, d)
-    every = r.select("chunk_no", F.explode(F.sequence("start", "end")).alias("idx"))
-    held = r.where("start % 3 <> 1").select("chunk_no", F.explode(F.sequence("start", "end")).alias("idx"))
-    return every.join(held, ["chunk_no", "idx"], "left_anti")
+    sizes = r.groupBy("chunk_no").agg((F.max("end") + 1).alias("size"))
+    return merge.gaps(r.where("start % 3 <> 1"), sizes, "chunk_no").select("chunk_no", F.explode(F.sequence("start", "end")).alias("idx"))
 
 
 @_query("SELECT doc_id, source, coalesce(quality::VARCHAR, '') AS quality, coalesce(toxic::VARCHAR, '') AS toxic FROM documents LEFT JOIN labels USING (doc_id)")
@@ -269,7 +302,7 @@ _POISON = "&&&"
 
 
 def length_model(values: list[str]):
-    """A stand-in for a batch model: lengths and hashes; a row with the poison fails its batch."""
+    """A model in place of a real one: lengths and hashes; a row with the poison fails its batch."""
     import hashlib
 
     import pandas as pd
@@ -281,8 +314,7 @@ def length_model(values: list[str]):
 
 def _scored(spark, d):
     docs = chunking.chunk(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", size=100)
-    scored = models.score(docs, "text", length_model, ["n", "h"])
-    return scored.join(docs.select("chunk_no", "idx", "doc_id"), ["chunk_no", "idx"]).select("doc_id", "chunk_no", "idx", "n", "h", "status")
+    return models.score(docs, "text", length_model, ["n", "h"], carry=("doc_id",)).select("doc_id", "chunk_no", "idx", "n", "h", "status")
 
 
 _V = "SELECT doc_id, text, CASE WHEN trim(text) = '' THEN 'SKIP' WHEN contains(text, '&&&') THEN 'FAIL' ELSE 'OK' END AS status FROM documents"
@@ -305,5 +337,166 @@ def Q35_model_score(spark, d):
 
 @_query(f'WITH {_C} SELECT chunk_no // 100 AS shard, count(*) AS "rows" FROM k GROUP BY 1')
 def Q36_shard_count(spark, d):
-    shards = materialize(_chunked(spark, d).select("o_orderkey", F.expr("chunk_no div 100").cast("int").alias("shard")), "shards")
-    return shards.groupBy("shard").agg(F.count("*").alias("rows"))
+    return _chunked(spark, d).groupBy(F.expr("chunk_no div 100").cast("int").alias("shard")).agg(F.count("*").alias("rows"))
+
+
+_F = "n AS (SELECT p_partkey, p_name, p_brand, ((row_number() OVER (ORDER BY p_partkey) - 1) // 50)::INT AS chunk_no, ((row_number() OVER (ORDER BY p_partkey) - 1) % 50)::INT AS idx FROM part)"
+
+
+def _parts(spark, d):
+    """Parts in chunks of 50; the names have quotes, commas and backslashes."""
+    odd = F.concat(F.lit(' "'), "p_name", F.lit(', a\\b" '))
+    return chunking.chunk(_t(spark, d, "part").select("p_partkey", "p_brand", odd.alias("smiles")), "p_partkey", size=50)
+
+
+@_query(f"WITH {_F} SELECT chunk_no, count(*) AS lines FROM n GROUP BY 1 UNION ALL SELECT max(chunk_no) + 1, 0 FROM n")
+def Q37_chunk_lines(spark, d):
+    """Lines after the header in each file; an empty chunk has a file as well."""
+    path, parts = _folder(spark), _parts(spark, d)
+    labels = parts.select("chunk_no").union(parts.agg((F.max("chunk_no") + 1).alias("chunk_no")))
+    text_files.export_chunks(parts, path, "part", "smiles", labels=labels)
+    return text_files.physical_lines(spark, path).select(number_in(F.substring_index("path", "/", -1)).alias("chunk_no"), F.col("rows").alias("lines"))
+
+
+@_query("SELECT n_name AS smiles, n_nationkey::VARCHAR AS collection_id, n_regionkey AS member FROM nation")
+def Q38_archive_shards(spark, d):
+    """An archive of a gzip member for each region, in another order than their names."""
+    held, rows = io.BytesIO(), _nations(spark, d)
+    with zipfile.ZipFile(held, "w") as z:
+        for k in sorted({r[0] for r in rows}, reverse=True):
+            z.writestr(f"{k}.txt.gz", gzip.compress(("id\tx\tsmiles\n" + "".join(f"{i}\t\t{n}\n" for r, n, i in rows if r == k)).encode()))
+    path = _write(f"{_folder(spark)}/b.zip", held.getvalue())
+    return read_archive(spark, path, Layout("each", "\t", "smiles", "id", (".txt.gz",))).select("smiles", "collection_id", "member")
+
+
+@_query("SELECT n_name AS smiles, n_nationkey::VARCHAR AS collection_id, (row_number() OVER (ORDER BY n_nationkey) - 1) AS place FROM nation")
+def Q39_archive_bz2(spark, d):
+    data = bz2.compress(("smiles\tid\n" + "".join(f"{n}\t{i}\n" for _, n, i in _nations(spark, d))).encode())
+    found = read_archive(spark, _write(f"{_folder(spark)}/c.bz2", data), Layout("whole", "\t", "SMILES", "ID"))
+    return chunking.number(found, "row", name="place").select("smiles", "collection_id", F.col("place").cast("bigint").alias("place"))
+
+
+@_query("SELECT n_name AS smiles, n_nationkey::VARCHAR AS id, '' AS note FROM nation")
+def Q40_sep_line(spark, d):
+    """A file whose first line names its delimiter; rows may be short."""
+    data = "sep=;\r\nsmiles;id;note\r\n" + "".join(f"{n};{i}{';' * (i % 2)}\r\n" for _, n, i in _nations(spark, d))
+    return text_files.read_csv(spark, _write(f"{_folder(spark)}/d.csv", data.encode()))
+
+
+@_query(f"WITH {_F} SELECT chunk_no, min(idx // 10 * 10)::BIGINT AS start, p_brand, (idx)::BIGINT AS idx FROM n WHERE chunk_no = 0 GROUP BY ALL")
+def Q41_range_fragments(spark, d):
+    """Sub-results of ten rows, named by their range."""
+    path, rows = _folder(spark), _parts(spark, d).where("chunk_no = 0").orderBy("idx").limit(50).select("p_brand", "idx").collect()
+    for a in range(0, len(rows), 10):
+        some = rows[a : a + 10]
+        _write(f"{path}/result_{a}_{a + len(some) - 1}.csv", ("brand\n" + "".join(f"{r.p_brand}\n" for r in some)).encode())
+    _write(f"{path}/result_0_9.checkpoint.csv", b"brand\nno\n")
+    return text_files.read_ranges(spark, path).where(F.col("brand") != "no").select(F.lit(0).alias("chunk_no"), "start", F.col("brand").alias("p_brand"), "idx")
+
+
+@_query("""SELECT (user_id % 50)::INT AS __idx__, max_by(event_type, event_id) AS event_type FROM events WHERE event_id % 7 <> 3 GROUP BY 1""")
+def Q42_checkpoint_latest(spark, d):
+    """Checkpoint rows as text, some without a usable index; the later row counts."""
+    bad = F.when(F.col("event_id") % 7 == 3, F.when(F.col("event_id") % 2 == 0, "").otherwise("n/a"))
+    rows = _t(spark, d, "events").select(F.coalesce(bad, F.expr("cast(user_id % 50 AS string)")).alias("__idx__"), "event_type", "event_id")
+    return checkpoint_rows(rows, "event_id").select("__idx__", "event_type")
+
+
+@_query("SELECT 'region_' || r_regionkey::VARCHAR AS library, CASE r_regionkey % 3 WHEN 0 THEN 'RUN' WHEN 1 THEN 'NO_RESULTS' ELSE 'NO_OUTPUT_DIR' END AS status FROM region")
+def Q43_discovered_status(spark, d):
+    """Libraries are folders; some hold results of a model, some nothing of it, some no folder."""
+    root, regions = _folder(spark), [r.r_regionkey for r in _t(spark, d, "region").collect()]
+    for k in regions:
+        if k % 3 < 2:
+            _write(f"{root}/region_{k}/{'m' if k % 3 == 0 else 'other'}/m_results_000.csv", b"a\n1\n")
+    every = _t(spark, d, "region").select(F.concat(F.lit("region_"), "r_regionkey").alias("library"))
+    return reconcile.run_status(every, text_files.libraries(spark, root), text_files.libraries(spark, root, "m"), "library")
+
+
+@_query(f"WITH {_F} SELECT DISTINCT chunk_no FROM n UNION ALL SELECT chunk_no FROM n WHERE false")
+def Q44_chunk_listing(spark, d):
+    """Numbers of the files in a folder, and of a folder that is not there."""
+    path = _folder(spark)
+    text_files.export_chunks(_parts(spark, d), path, "part", "smiles")
+    return text_files.chunk_numbers(spark, path).union(text_files.chunk_numbers(spark, f"{path}-none"))
+
+
+@_query("""WITH i AS (SELECT source, doc_id // 4 AS c, count(*) AS a FROM documents GROUP BY ALL), o AS (SELECT d.source, l.doc_id // 4 AS c, count(*) AS b, count(*) FILTER (l.quality = 0) AS e FROM labels l JOIN documents d USING (doc_id) GROUP BY ALL)
+SELECT source, count(*) AS chunks, count(*) FILTER (b IS NULL) AS missing, count(*) FILTER (b <> a) AS mismatched, sum(a)::BIGINT AS rows_in, coalesce(sum(b), 0)::BIGINT AS rows_out, coalesce(sum(e), 0)::BIGINT AS empty
+FROM i LEFT JOIN o USING (source, c) GROUP BY ROLLUP (source)""")
+def Q45_library_report(spark, d):
+    docs = _t(spark, d, "documents").select("source", "doc_id", F.expr("doc_id div 4").alias("chunk"))
+    outputs = docs.join(_t(spark, d, "labels"), "doc_id")
+    return reconcile.report(docs, outputs, "source", "chunk", F.col("quality") != 0)
+
+
+@_query("""SELECT v.vec_id, p.p_partkey FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS n FROM embeddings) v
+JOIN (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) AS n FROM part) p USING (n)""")
+def Q46_positional_pair(spark, d):
+    return merge.pair(_t(spark, d, "embeddings").select("vec_id"), _t(spark, d, "part").select("p_partkey"), "vec_id", "p_partkey").select("vec_id", "p_partkey")
+
+
+@_query("SELECT c_custkey, c_custkey * 2 AS v, 0::BIGINT AS remain FROM customer")
+def Q47_retry_until_complete(spark, d):
+    """Each round finishes half of what is pending, until nothing is."""
+    rows, target = _t(spark, d, "customer").select("c_custkey"), _folder(spark)
+
+    def run(p):
+        n = p.count()
+        return p.where((F.xxhash64("c_custkey", F.lit(n)) % 2 == 0) | F.lit(n < 10)).withColumn("v", F.col("c_custkey") * 2)
+
+    rows.limit(0).withColumn("v", F.col("c_custkey") * 2).write.parquet(target)
+    left, _ = until_complete(rows, "c_custkey", run, target, most=60)
+    return spark.read.parquet(target).withColumn("remain", F.lit(left.count()).cast("bigint"))
+
+
+def slow_model(values: list[str]):
+    """Takes too long over batches with a large region."""
+    import time
+
+    import pandas as pd
+
+    if "SLOW" in values:
+        time.sleep(30)
+    return pd.DataFrame({"n": [str(len(v)) for v in values]})
+
+
+@_query("""SELECT n_nationkey, CASE WHEN n_nationkey = 7 THEN '' ELSE length(n_name)::VARCHAR END AS n, CASE WHEN n_nationkey = 7 THEN 'FAIL' ELSE 'OK' END AS status,
+CASE WHEN n_nationkey = 7 THEN 'TIMEOUT after 1 s' ELSE '' END AS details FROM nation""")
+def Q48_time_limit(spark, d):
+    """A row that takes too long is isolated, and its batch goes on without it."""
+    rows = _t(spark, d, "nation").select("n_nationkey", F.when(F.col("n_nationkey") == 7, "SLOW").otherwise(F.col("n_name")).alias("name"))
+    chunked = chunking.chunk(rows, "n_nationkey", size=10)
+    return models.score(chunked, "name", slow_model, ["n"], seconds=1, carry=("n_nationkey",)).select("n_nationkey", "n", "status", "details")
+
+
+@_query("SELECT o_orderkey, o_orderstatus || '!' AS s FROM orders")
+def Q49_incremental_ingest(spark, d):
+    """Two loads of new files through one checkpoint; each row comes once."""
+    root, rows = _folder(spark), _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for part in range(2):
+        rows.where(F.col("o_orderkey") % 2 == part).write.mode("append").parquet(f"{root}/in")
+        ingest(spark, f"{root}/in", "o_orderkey long, o_orderstatus string", f"{root}/out", f"{root}/checkpoint", lambda s: s.select("o_orderkey", F.concat("o_orderstatus", F.lit("!")).alias("s"))).awaitTermination()
+    return spark.read.schema("o_orderkey long, s string").parquet(f"{root}/out")
+
+
+@_query("SELECT doc_id, substr(text, 1, 50) AS shown, source || '/x.csv' AS relative FROM documents")
+def Q50_shown_text(spark, d):
+    return _t(spark, d, "documents").select("doc_id", shorten(F.col("text"), 50).alias("shown"), relative(F.concat(F.lit("/data/out/"), "source", F.lit("/x.csv")), "/data/out").alias("relative"))
+
+
+@_query("SELECT n_name AS smiles FROM nation")
+def Q51_first_column(spark, d):
+    """The first column of the first file by name, whatever its header."""
+    path = _folder(spark)
+    _write(f"{path}/x_chunk_001.csv", b"s\nno\n")
+    _write(f"{path}/x_chunk_000.csv", ("odd name,b\n" + "".join(f"{n},1\n" for _, n, _ in _nations(spark, d))).encode())
+    return text_files.first_column(text_files.read_csv(spark, text_files.first_file(spark, path)))
+
+
+@_query(f"WITH {_F} SELECT chunk_no, ' \"' || p_name || ', a\\b\" ' AS smiles, p_brand FROM n")
+def Q52_numbered_files(spark, d):
+    """Chunks written as numbered files, found by their names and read back."""
+    path = _folder(spark)
+    text_files.export_chunks(_parts(spark, d), path, "part", "smiles", "p_brand")
+    return text_files.read_chunks(spark, path, CHUNK_FILE).select("chunk_no", "smiles", "p_brand")

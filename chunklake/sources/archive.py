@@ -10,10 +10,13 @@ import zipfile
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from chunklake.operators.columns import resolve
+from chunklake.operators.columns import extract, resolve
+from chunklake.sources.text_files import read_csv
 
 LONGEST_FIELD = 10485760
 
@@ -23,14 +26,14 @@ class Layout:
     """How an archive holds its rows.
 
     members: 'largest' (the largest file with a suffix of ``suffixes``), 'each'
-    (all of them, by name, each with its header) or 'whole' (one bz2 or gzip file).
+    (all of them, by name, each with its header) or 'whole' (one file, plain, bz2 or gzip).
     """
 
     members: str
     delimiter: str
     structure: str
     identifier: str
-    suffixes: tuple[str, ...] = (".csv", ".tsv", ".txt", ".smi")
+    suffixes: tuple[str, ...] = (".csv", ".tsv", ".txt", ".smi", ".smiles")
 
 
 @dataclass
@@ -44,13 +47,20 @@ def candidates(infos: list, suffixes: tuple[str, ...]) -> list:
     return [i for i in infos if not i.is_dir() and not i.filename.startswith("__MACOSX") and i.filename.lower().endswith(suffixes)]
 
 
+def _file(path: str):
+    """A seekable file, local or behind a URI that Arrow knows."""
+    if "://" not in path:
+        return open(path, "rb")
+    store, inner = FileSystem.from_uri(path)
+    return store.open_input_file(inner)
+
+
 def _open(part: _Member) -> Iterator[str]:
-    if part.path.endswith(".bz2"):
-        raw = bz2.open(part.path)
-    elif part.path.endswith(".gz"):
-        raw = gzip.open(part.path)
+    file = _file(part.path)
+    if not part.name:
+        raw = bz2.open(file) if part.path.endswith(".bz2") else gzip.open(file) if part.path.endswith(".gz") else file
     else:
-        raw = zipfile.ZipFile(part.path).open(part.name)
+        raw = zipfile.ZipFile(file).open(part.name)
         raw = gzip.open(raw) if part.name.endswith(".gz") else raw
     return io.TextIOWrapper(raw, "utf-8-sig", errors="replace", newline="")
 
@@ -71,7 +81,7 @@ class ArchiveReader(DataSourceReader):
         path = self.o["path"]
         if self.layout.members == "whole":
             return [_Member(path, "", 0)]
-        with zipfile.ZipFile(path) as z:
+        with _file(path) as file, zipfile.ZipFile(file) as z:
             found = candidates(z.infolist(), self.layout.suffixes)
         if self.layout.members == "largest":
             found = [max(found, key=lambda i: i.file_size)] if found else []
@@ -110,7 +120,12 @@ class ArchiveSource(DataSource):
 
 
 def read_archive(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
-    """Rows with a structure, stripped; one task for each member.  ``path`` is on a shared mount."""
+    """Rows with a structure, stripped; one task for each member.  ``path`` is local to all
+    machines or a URI that Arrow opens.  A bz2 file that stands alone is read by Spark in
+    blocks, in as many tasks as it has splits; there ``row`` ascends in the file's order, with gaps."""
+    if layout.members == "whole" and path.endswith(".bz2"):
+        lines = read_csv(spark, path, layout.delimiter, multiLine=False)
+        return extract(lines, layout.structure, layout.identifier, F.lit(0).alias("member"), F.monotonically_increasing_id().alias("row"))
     spark.dataSource.register(ArchiveSource)
     options = {"members": layout.members, "delimiter": layout.delimiter, "structure": layout.structure, "identifier": layout.identifier, "suffixes": "|".join(layout.suffixes)}
     return spark.read.format("archive").options(**options).option("path", path).load()

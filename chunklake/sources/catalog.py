@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.sources.archive import Layout, read_archive
@@ -32,6 +32,12 @@ class Catalogue:
         """The library an alias stands for, in any case; other names are themselves."""
         return {k.lower(): v for k, v in self.aliases.items()}.get(name.lower(), name)
 
+    def library_of(self, name: Column) -> Column:
+        """:meth:`library` of a column; the few aliases are in the expression."""
+        known = {k.lower(): v for k, v in self.aliases.items()}
+        names = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
+        return F.coalesce(F.try_element_at(names, F.lower(name)), name) if known else name
+
     def select(self, names: list[str] | None = None) -> list[str]:
         """The known files among ``names`` (all by default); each unknown one is warned of."""
         for name in names or ():

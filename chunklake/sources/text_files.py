@@ -2,28 +2,77 @@
 
 from __future__ import annotations
 
+import csv
+import re
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chunklake.functions.text import RESULT_FILE, number_in
+from chunklake.functions.text import CHUNK_FILE, RANGE_FILE, RESULT_FILE, number_in
 
 # Doubled quotes, a backslash is data, fields of up to 10 MB.
 OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "maxCharsPerColumn": 10485760, "enforceSchema": False}
 
 
 def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
-    """All columns as strings, '' where a field is empty or missing."""
-    return spark.read.options(**(OPTIONS | {"sep": sep} | options)).csv(path).fillna("")
+    """All columns as strings, '' where a field is empty or missing.
+
+    A first line ``sep=`` names the delimiter and is no header; the line after it is.
+    """
+    first = [r.value for r in spark.read.text(path).head(2)]
+    mark = first[0].lstrip("\ufeff").strip() if first else ""
+    if not mark.lower().startswith("sep="):
+        return spark.read.options(**(OPTIONS | {"sep": sep} | options)).csv(path).fillna("")
+    sep = mark[4:] or sep
+    names = next(csv.reader(first[1:], delimiter=sep), [])
+    schema = ", ".join(f"`{n}` string" for n in names)
+    rows = spark.read.options(**(OPTIONS | {"sep": sep, "header": False} | options)).schema(schema).csv(path).fillna("")
+    header = reduce(lambda a, b: a & b, [F.col(f"`{n}`") == n for n in names])
+    return rows.where(~(F.lower(F.trim(F.col(f"`{names[0]}`"))).startswith("sep=") | header))
+
+
+def first_column(df: DataFrame, name: str = "smiles") -> DataFrame:
+    """The first column of a file, whatever its header says."""
+    return df.select(F.col(f"`{df.columns[0]}`").alias(name))
 
 
-def list_files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    """(path, length) of the files below ``path`` whose name matches; contents are not read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+def list_files(spark: SparkSession, path: str, pattern: str, missing_ok: bool = False) -> DataFrame:
+    """(path, length) of the files below ``path`` whose name matches; contents are not read.
+
+    A folder that is not there is an error, or with ``missing_ok`` has no files.
+    """
+    try:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    except AnalysisException as e:
+        if not missing_ok or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length long")
     return found.where(F.regexp_extract(F.substring_index("path", "/", -1), pattern, 0) != "")
 
 
+def chunk_numbers(spark: SparkSession, path: str, pattern: str = CHUNK_FILE) -> DataFrame:
+    """(chunk_no) of the numbered files below ``path``; none if there is no such folder."""
+    files = list_files(spark, path, pattern, missing_ok=True)
+    return files.select(number_in(F.substring_index("path", "/", -1), pattern).alias("chunk_no")).where("chunk_no is not null").distinct()
+
+
+def first_file(spark: SparkSession, path: str, pattern: str = CHUNK_FILE) -> str | None:
+    """The first matching file by name."""
+    return list_files(spark, path, pattern, missing_ok=True).agg(F.min("path")).first()[0]
+
+
+def libraries(spark: SparkSession, root: str, model: str | None = None) -> DataFrame:
+    """(library), sorted: the folders right below ``root`` that hold files, or files in a folder ``model``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path")
+    inner = F.split(F.element_at(F.split("path", re.escape(root.rstrip("/").split("://")[-1].lstrip("/")) + "/", 2), 2), "/")
+    held = files.select(inner.alias("p")).where(F.size("p") > 1)
+    held = held if model is None else held.where((F.size("p") > 2) & (F.get("p", F.lit(1)) == model))
+    return held.select(F.get("p", F.lit(0)).alias("library")).distinct().orderBy("library")
+
+
 def read_chunks(spark: SparkSession, path: str, pattern: str = RESULT_FILE) -> DataFrame:
     """Numbered files under one schema, with ``chunk_no``.
 
@@ -31,26 +80,65 @@ def read_chunks(spark: SparkSession, path: str, pattern: str = RESULT_FILE) -> D
     so that another order of columns does not swap them.
     """
     files = [r.path for r in list_files(spark, path, pattern).select("path").orderBy("path").toLocalIterator()]
-    lines = spark.read.text(files, wholetext=False).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), "value") if files else None
-    if lines is None:
+    if not files:
         return spark.createDataFrame([], "chunk_no int")
     heads: dict[str, list[str]] = {}
-    for r in lines.where("b = 0").groupBy("f").agg(F.first("value").alias("h")).orderBy("f").collect():  # one row for each file
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), "value").where("b = 0")
+    for r in lines.groupBy("f").agg(F.first("value").alias("h")).orderBy("f").collect():  # one row for each file
         heads.setdefault(r.h, []).append(r.f)
     parts = [read_csv(spark, fs).withColumn("chunk_no", number_in(F.col("_metadata.file_name"), pattern)) for fs in heads.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).fillna("")
 
 
-def write_chunks(chunked: DataFrame, path: str, *columns: str) -> None:
+def write_chunks(chunked: DataFrame, path: str, *columns: str, **options) -> None:
     """One file for each chunk below library= and chunk_no=, rows in order."""
     keys = [c for c in ("library", "chunk_no") if c in chunked.columns]
     placed = chunked.repartition(*keys).sortWithinPartitions(*keys, "idx").select(*keys, *columns)
-    writer = placed.write.partitionBy(*keys).mode("overwrite").options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    writer = placed.write.partitionBy(*keys).mode("overwrite").options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **options)
     if len(columns) > 1:  # alone in its line, an empty value has to be quoted
         writer = writer.option("emptyValue", "")
     writer.csv(path)
 
 
+def export_chunks(chunked: DataFrame, path: str, library: str, *columns: str, labels: DataFrame | None = None) -> None:
+    """Files ``<library>_chunk_NNN.csv`` in ``path``, as the csv module writes them: CRLF, an
+    empty value quoted where it stands alone.
+
+    Spark writes the chunks; the files then get their names.  Chunks of ``labels``
+    (chunk_no) without rows get a file with the header alone.
+    """
+    spark = chunked.sparkSession
+    temporary = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    write_chunks(chunked.drop("library"), temporary, *columns, lineSep="\r\n")
+    path_, store = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, None
+    store = path_(temporary).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    written = set()
+    for status in store.globStatus(path_(f"{temporary}/chunk_no=*/part-*")):  # names, not rows
+        number = int(status.getPath().getParent().getName().partition("=")[2])
+        written.add(number)
+        target = path_(f"{path}/{library}_chunk_{number:03d}.csv")
+        store.delete(target, False)
+        store.rename(status.getPath(), target)
+    for r in labels.select("chunk_no").distinct().collect() if labels is not None else ():
+        if r.chunk_no not in written:
+            out = store.create(path_(f"{path}/{library}_chunk_{r.chunk_no:03d}.csv"), True)
+            out.write(bytearray((",".join(columns) + "\r\n").encode()))
+            out.close()
+    store.delete(path_(temporary), True)
+
+
+def read_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """Fragments ``result_START_END.csv`` under one schema, with ``start``, ``end`` and ``idx``,
+    the row's place in the chunk: START and its place in the file."""
+    name = F.col("_metadata.file_name")
+    number = lambda group: F.regexp_extract(name, RANGE_FILE, group).try_cast("bigint")
+    rows = read_csv(spark, path, pathGlobFilter="result_*_*.csv")
+    rows = rows.select("*", name.alias("_file"), number(1).alias("start"), number(2).alias("end"), F.monotonically_increasing_id().alias("_at")).where("start is not null")
+    # A fragment is as long as a sub-chunk at most.
+    place = F.row_number().over(Window.partitionBy("_file").orderBy("_at")) - 1
+    return rows.withColumn("idx", F.col("start") + place).drop("_file", "_at")
+
+
 def physical_lines(spark: SparkSession, path: str) -> DataFrame:
     """Per file the lines after the first, however records are broken over lines."""
     lines = spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("path")).count()

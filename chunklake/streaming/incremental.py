@@ -34,6 +34,25 @@ def resume(rows: DataFrame, done: DataFrame, on: str, run: Callable[[DataFrame],
     return pending(rows, rows.sparkSession.read.parquet(target), on)
 
 
+def until_complete(rows: DataFrame, on: str, run: Callable[[DataFrame], DataFrame], target: str, most: int = 5) -> tuple[DataFrame, int]:
+    """Resume until nothing is pending, a round gets nothing done, or ``most`` rounds are over.
+
+    ``target`` is a table that exists.  Returns the rows that remain and the rounds taken.
+    """
+    spark, left, turns = rows.sparkSession, None, 0
+    while turns < most and (now := pending(rows, spark.read.parquet(target), on).count()) not in (0, left):
+        resume(rows, spark.read.parquet(target), on, run, target)
+        left, turns = now, turns + 1
+    return pending(rows, spark.read.parquet(target), on), turns
+
+
+def checkpoint_rows(rows: DataFrame, order: str, index: str = "__idx__") -> DataFrame:
+    """The last row for each index of a checkpoint that was read as strings; rows whose
+    index is missing or not a number are left out."""
+    known = rows.withColumn(index, F.expr(f"try_cast(trim(`{index}`) AS int)")).where(F.col(index).isNotNull())
+    return latest(known, index, order)
+
+
 def latest(events: DataFrame, on: str, order: str) -> DataFrame:
     """The last row of each key: of checkpoint rows with one index, the later counts."""
     value = F.max_by(F.struct("*"), F.col(order))

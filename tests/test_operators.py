@@ -167,3 +167,77 @@ def test_resume_equals_one_run(spark, tmp_path):
     left = incremental.resume(rows, spark.read.parquet(target), "idx", lambda p: p.withColumn("v", F.col("idx") * 2), target)
     assert left.count() == 0
     assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(i, 2 * i) for i in range(10)]
+
+
+def test_gaps_and_uncovered(spark):
+    ranges = spark.createDataFrame([("a", 2, 4), ("a", 3, 3), ("a", 8, 9), ("b", 0, 9)], "k string, start long, end long")
+    sizes = spark.createDataFrame([("a", 12), ("b", 10), ("c", 3), ("d", 0)], "k string, size long")
+    assert sorted(tuple(r) for r in merge.gaps(ranges, sizes, "k").collect()) == [("a", 0, 1), ("a", 5, 7), ("a", 10, 11), ("c", 0, 2)]
+    rows = spark.range(6).withColumnRenamed("id", "idx")
+    assert sorted(r.idx for r in merge.uncovered(rows, ranges.where("k = 'a'"), 12).collect()) == [0, 1, 5]
+
+
+def test_preview_counts_nulls_apart(spark):
+    rows = spark.createDataFrame([("a", i) for i in range(30)] + [("b", None), (None, 5)], "g string, i int")
+    got = {r.g: (r["items"], r.more) for r in reconcile.preview(rows, "g", "i").collect()}
+    assert got == {"a": (list(range(20)), 10), "b": ([], 0), None: ([5], 0)}
+
+
+def test_report_and_status(spark):
+    inputs = spark.createDataFrame([("L", 0), ("L", 0), ("L", 1), ("M", 0)], "lib string, chunk int")
+    outputs = spark.createDataFrame([("L", 0, "x"), ("M", 0, "")], "lib string, chunk int, v string")
+    got = {r.lib: tuple(r)[1:] for r in reconcile.report(inputs, outputs, "lib", "chunk", F.col("v") != "").collect()}
+    assert got == {"L": (2, 1, 1, 3, 1, 0), "M": (1, 0, 0, 1, 1, 1), None: (3, 1, 1, 4, 2, 1)}
+    status = reconcile.run_status(inputs, inputs.where("lib = 'L'"), outputs.limit(0), "lib")
+    assert {r.lib: r.status for r in status.collect()} == {"L": "NO_RESULTS", "M": "NO_OUTPUT_DIR"}
+
+
+def test_time_limits():
+    import time
+
+    def model(values):
+        if "slow" in values:
+            time.sleep(20)
+        if "die" in values:
+            raise ValueError("no\nway")
+        return pd.DataFrame({"n": values})
+
+    got = models.isolate(model, ["a", "slow", "b", "die"], ["n"], seconds=0.5)
+    assert got["status"].tolist() == ["OK", "FAIL", "OK", "FAIL"] and got["details"].tolist() == ["", "TIMEOUT after 0.5 s", "", "no | way"]
+
+
+def test_sep_lines_and_ragged_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b"\xef\xbb\xbfSEP=;\r\nsmiles;id;x\r\nC;1\r\n\r\n;2;y\r\nN;3;z;more\r\n")
+    assert [tuple(r) for r in text_files.read_csv(spark, f"file://{tmp_path}/a.csv").collect()] == [("C", "1", ""), ("", "2", "y"), ("N", "3", "z")]
+    (tmp_path / "b.csv").write_text("smiles,id\nC\n")
+    assert [tuple(r) for r in text_files.first_column(text_files.read_csv(spark, f"file://{tmp_path}/b.csv"), "s").collect()] == [("C",)]
+
+
+def test_exported_chunks_are_those_of_the_csv_module(spark, tmp_path):
+    rows = spark.createDataFrame([(0, 0, ' a"b'), (0, 1, ""), (1000, 0, "F/C=C\\F")], "chunk_no int, idx int, smiles string")
+    text_files.export_chunks(rows, f"file://{tmp_path}", "lib", "smiles", labels=spark.createDataFrame([(0,), (7,)], "chunk_no int"))
+    for name, values in (("000", [' a"b', ""]), ("007", []), ("1000", ["F/C=C\\F"])):
+        with io.StringIO(newline="") as want:
+            writer = csv.writer(want)
+            writer.writerows([["smiles"], *([v] for v in values)])
+            assert (tmp_path / f"lib_chunk_{name}.csv").read_bytes() == want.getvalue().encode()
+    assert sorted(p.name for p in tmp_path.glob("*.csv")) == ["lib_chunk_000.csv", "lib_chunk_007.csv", "lib_chunk_1000.csv"]
+    assert {r.chunk_no for r in text_files.chunk_numbers(spark, f"file://{tmp_path}").collect()} == {0, 7, 1000}
+    assert text_files.first_file(spark, f"file://{tmp_path}").endswith("lib_chunk_000.csv") and text_files.first_file(spark, f"file://{tmp_path}/none") is None
+
+
+def test_archives_behind_a_uri_and_other_suffixes(spark, tmp_path):
+    _zip(tmp_path / "a.zip", [("x.smiles", "SMILES,Catalog ID\nC,1\n")])
+    layout = Layout("largest", ",", "SMILES", "Catalog ID")
+    assert read_archive(spark, f"file://{tmp_path}/a.zip", layout).first()[:2] == ("C", "1")
+    (tmp_path / "b.csv").write_text("sep=,\nSMILES,Catalog ID\nN,2\n")
+    assert read_archive(spark, f"file://{tmp_path}/b.csv", Layout("whole", ",", "SMILES", "Catalog ID")).first()[:2] == ("N", "2")
+
+
+def test_checkpoint_rows_and_retries(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "a", 0), (" 1 ", "b", 1), ("x", "c", 2), (None, "d", 3), ("2", "e", 4)], "__idx__ string, v string, at int")
+    assert sorted((r["__idx__"], r.v) for r in incremental.checkpoint_rows(rows, "at").collect()) == [(1, "b"), (2, "e")]
+    work, target = spark.range(5).withColumnRenamed("id", "k"), f"file://{tmp_path}/t"
+    work.limit(0).write.parquet(target)
+    left, turns = incremental.until_complete(work, "k", lambda p: p.where("k <> 3"), target)
+    assert [r.k for r in left.collect()] == [3] and turns == 2
