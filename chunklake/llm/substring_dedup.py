@@ -11,7 +11,7 @@ for each content is fetched, and the suffixes at equal anchors are sorted by
 mergesort.  A comparison takes prefix polynomial hashes and a binary search for
 the common extension, so a logarithm of steps; a found extension is compared
 byte by byte before it counts.  Sorted neighbours share the longest extensions
-to the right; the same search gives those to the left; together they say which
+to the right; a second sort gives those to the left; together they say which
 starts are repeated.  An anchor with more different regions than one task should
 hold is not sorted in one: its strings are counted start by start, over all tasks.
 """
@@ -19,6 +19,7 @@ hold is not sorted in one: its strings are counted start by start, over all task
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect
 from collections.abc import Iterator
 from functools import cmp_to_key
 
@@ -34,8 +35,6 @@ WIDTH = 400
 GRAM = 100
 #: Bytes that are hashed together.
 SLICE = 1 << 22
-#: Groups of more regions are sorted start by start.
-CROWD = 24
 #: Different regions at one anchor that one task sorts, at most: some 6 MB of text, and 100 MB while they are sorted.
 TOGETHER = 8192
 
@@ -157,60 +156,59 @@ def extension(x: _Region, y: _Region, up: list[int], right: bool) -> int:
     return low
 
 
-def repeated(group: list[_Region], width: int = WIDTH) -> list[np.ndarray]:
-    """For each region, which of its starts begin a string that another region has."""
-    marks = [np.zeros(r.starts, bool) for r in group]
-    if len(group) > CROWD:
-        _crowd(group, marks, width)
-        return marks
-    up = _power(4 * width)[0].tolist() if max(len(r.data) for r in group) < 4 * width else _power(max(len(r.data) for r in group) + 1)[0].tolist()
+def _order(group: list[_Region], up: list[int], right: bool) -> list[int]:
+    """The regions by their suffixes at the anchor, or by what lies before it, read backwards: a mergesort by hashes."""
 
     def compare(i: int, j: int) -> int:
         x, y = group[i], group[j]
-        n = extension(x, y, up, True)
-        a, b = x.data[x.at + n : x.at + n + 1], y.data[y.at + n : y.at + n + 1]
-        return (a > b) - (a < b)
+        n = extension(x, y, up, right)
+        a, b = (x.at + n, y.at + n) if right else (x.at - n - 1, y.at - n - 1)
+        # Past its end a string has nothing, which comes first.
+        one, two = x.data[a : a + 1] if a >= 0 else b"", y.data[b : b + 1] if b >= 0 else b""
+        return (one > two) - (one < two)
 
-    order = sorted(range(len(group)), key=cmp_to_key(compare))
-    shared = [extension(group[i], group[j], up, True) for i, j in zip(order, order[1:], strict=False)]
-    for k, i in enumerate(order):
-        x = group[i]
-        if not x.alone:
-            continue
-        for step in (-1, 1):
-            right, j = 1 << 30, k
-            while 0 <= j + step < len(order):
-                right = min(right, shared[j - 1 if step < 0 else j])
-                if right < width - x.at:
-                    break
-                j += step
-                left = extension(x, group[order[j]], up, False)
-                # starts l bytes before the anchor: l <= left and width - l <= right
-                marks[i][max(0, x.at - left) : max(0, x.at - max(0, width - right) + 1)] = True
-    return marks
+    return sorted(range(len(group)), key=cmp_to_key(compare))
 
 
-def _crowd(group: list[_Region], marks: list[np.ndarray], width: int) -> None:
-    """Sorts the suffixes at each distance from the anchor by their hash; neighbours
-    with one hash are compared byte by byte."""
-    up, down = _power(max(len(r.data) for r in group) + 1)
-    n = np.array([r.starts for r in group])
-    which = np.repeat(np.arange(len(group)), n)
-    start = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-    codes = np.empty(len(which), np.uint64)
-    begin = 0
-    for r in group:
-        h = prefix_hashes(r.data)
-        codes[begin : begin + r.starts] = (h[width : width + r.starts] - h[: r.starts]) * down[: r.starts]
-        begin += r.starts
-    before = np.array([r.at for r in group])[which] - start
-    order = np.lexsort((which, codes, before))
-    same = (before[order[1:]] == before[order[:-1]]) & (codes[order[1:]] == codes[order[:-1]])
-    for k in np.flatnonzero(same).tolist():
-        i, j = order[k], order[k + 1]
-        x, y, a, b = group[which[i]], group[which[j]], start[i], start[j]
-        if (x.alone and not marks[which[i]][a] or y.alone and not marks[which[j]][b]) and x.data[a : a + width] == y.data[b : b + width]:
-            marks[which[i]][a] = marks[which[j]][b] = True
+def repeated(group: list[_Region], width: int = WIDTH) -> list[np.ndarray]:
+    """For each region, which of its starts begin a string that another region has.
+
+    A start l bytes before the anchor is repeated if another region has l bytes
+    before it in common, and width - l from it on.  In the order of suffixes, regions with
+    r bytes in common are intervals, which grow as r falls; each keeps its regions
+    in the order of what lies before the anchor, where the longest common part is
+    that with a neighbour.  The smaller of two intervals that meet is put into the
+    larger, so that n regions take some n log n comparisons, however alike they are.
+    """
+    marks = [np.zeros(r.starts, bool) for r in group]
+    most = max(len(r.data) for r in group)
+    up = _power(max(4 * width, most + 1))[0].tolist()
+    order = _order(group, up, True)
+    place = [0] * len(group)
+    for n, i in enumerate(_order(group, up, False)):
+        place[i] = n
+    who = sorted(range(len(group)), key=place.__getitem__)
+    shared = [extension(group[i], group[j], up, True) for i, j in zip(order, order[1:], strict=False)]
+    # Of each interval, under its first and last member: the places of its regions, sorted.
+    held: dict[int, list[int]] = {n: [place[i]] for n, i in enumerate(order)}
+    ends = {n: n for n in range(len(order))}
+    starts = dict(ends)
+    for k in sorted(range(len(shared)), key=lambda k: -shared[k]):
+        r, first, last = shared[k], starts[k], ends[k + 1]
+        one, two = held.pop(first), held.pop(k + 1)
+        small, large = (one, two) if len(one) < len(two) else (two, one)
+        for p in small:
+            at = bisect(large, p)
+            for q in large[max(0, at - 1) : at + 1]:
+                x, y = group[who[p]], group[who[q]]
+                left = extension(x, y, up, False)
+                if left + r >= width:
+                    for z, i in ((x, who[p]), (y, who[q])):
+                        marks[i][max(0, z.at - left) : max(0, z.at - max(0, width - r) + 1)] = True
+            large.insert(at, p)
+        held[first] = large
+        starts[last], ends[first] = first, last
+    return marks
 
 
 def _starts(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:

@@ -404,9 +404,47 @@ def test_simhash_keeps_one_row_of_each_class(spark):
 # 7
 
 
-@pytest.mark.parametrize(("crowd", "together"), [(24, 8192), (1, 8192), (24, 1), (24, 8)])
-def test_substrings(spark, monkeypatch, crowd, together):
-    monkeypatch.setattr(substring_dedup, "CROWD", crowd)
+@pytest.mark.parametrize("seed", range(6))
+def test_repeated_starts_are_those_of_brute_force(seed):
+    """Groups of up to 300 regions with long common parts on either side of the anchor, also with every hash in collision."""
+    rng = random.Random(seed)
+    width, anchor = 40, b"ANCHORANCHOR"
+    n = (2, 3, 9, 40, 120, 300)[seed]
+    left = [bytes(rng.choice(b"ab") for _ in range(28)) for _ in range(4)]
+    right = [bytes(rng.choice(b"ab") for _ in range(28)) for _ in range(4)]
+
+    def side(choices, back):
+        cut = rng.randint(0, 28)
+        new = bytes(rng.choice(b"ab") for _ in range(28 - cut))
+        old = rng.choice(choices)
+        return new + old[28 - cut :] if back else old[:cut] + new
+
+    group = []
+    for i in range(n):
+        a, b = rng.randint(0, 28), rng.randint(0, 28)
+        before, after = side(left, True)[28 - a :], side(right, False)[:b]
+        if a + b + len(anchor) >= width:
+            data = before + anchor + after
+            group.append(substring_dedup._Region(i, 0, len(data) - width, a, 1, data))
+    if len(group) > 1:
+        want = []
+        for x in group:
+            others = {(y.at - s, y.data[s : s + width]) for y in group if y is not x for s in range(y.starts)}
+            want.append([(x.at - s, x.data[s : s + width]) in others for s in range(x.starts)])
+        assert [m.tolist() for m in substring_dedup.repeated(group, width)] == want
+        real = substring_dedup._equal
+        try:  # hashes that agree now and then where bytes do not
+            substring_dedup._equal = lambda x, a, y, b, k, up: real(x, a, y, b, k, up) or (a * 7 + b * 3 + k) % 5 == 0
+            for x in group[:12]:
+                for y in group[:12]:
+                    got = substring_dedup.extension(x, y, substring_dedup._power(200)[0].tolist(), True)
+                    assert x.data[x.at : x.at + got] == y.data[y.at : y.at + got]
+        finally:
+            substring_dedup._equal = real
+
+
+@pytest.mark.parametrize("together", [8192, 1, 8])
+def test_substrings(spark, together):
     rng = random.Random(4)
     text = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
     shared = text(1500)
