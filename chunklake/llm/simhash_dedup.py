@@ -131,13 +131,18 @@ def links(nodes: DataFrame, limit: int = 3) -> DataFrame:
     parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Dealt out first: each row becomes 24.
     keyed = nodes.repartition(parts, "fp").select("fp", "n", F.explode(_keys(F.col("fp"))).alias("key"))
-    rows, out = _thinned(keyed, ["key"], limit), []
-    for split, names in ((_other_segment, ["key", "sub"]), (_other_nibbles, ["key", "sub", "nibbles"])):
-        few, crowd = rows.where(F.col("size") <= CROWD), rows.where(F.col("size") > CROWD)
-        out += [rows.where("reached and fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b")), _pairs(few, names[:-1], limit)]
+    rows, names, out = _thinned(keyed, ["key"], limit), ["key"], []
+    for split, more in ((_other_segment, "sub"), (_other_nibbles, "nibbles"), (None, None)):
+        few = rows.where(F.col("size") <= CROWD) if split else rows
+        stars = rows.where("reached and fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
+        # Written for each split: one plan over all of them would fill the driver's memory.
+        out.append(materialize(stars.union(_pairs(few, names, limit)).distinct(), "links"))
         # A group whose nodes are all reached has no pair left.
-        rows = _thinned(split(crowd.where("left > 0")).select(*names, "fp", "n"), names, limit)
-    out += [rows.where("reached and fp <> pivot").select(F.col("pivot").alias("a"), F.col("fp").alias("b")), _pairs(rows, names, limit)]
+        crowd = rows.where((F.col("size") > CROWD) & (F.col("left") > 0))
+        if split is None or crowd.isEmpty():
+            break
+        names = [*names, more]
+        rows = _thinned(split(crowd).select(*names, "fp", "n"), names, limit)
     return reduce(DataFrame.union, out).distinct()
 
 
