@@ -401,6 +401,69 @@ def test_simhash_keeps_one_row_of_each_class(spark):
     assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, one), (2, two), (1, three), (0, "alone " * 9)])
 
 
+def _five_words(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub(r"[A-Z]", lambda m: m.group().lower(), text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(len(words) - 4)} or ({" ".join(words)} if words else set())
+
+
+def _similar(texts_):
+    """The least index of each text's class, all pairs compared by whole shingle sets."""
+    sets = [_five_words(t) for t in texts_]
+    label = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or len(a & b) / len(a | b) >= 0.8:
+                old, new = sorted((label[i], label[j]), reverse=True)
+                label = [new if x == old else x for x in label]
+    return label
+
+
+@pytest.mark.parametrize("crowd", [32, 2])
+def test_similar_classes(spark, monkeypatch, crowd):
+    """Families of edited texts from under 0.5 to 1, a hot one of exact and near copies, short texts, repeats within a text."""
+    monkeypatch.setattr(simhash_dedup, "CROWD", crowd)
+    rng = random.Random(9)
+
+    def words(n):
+        return [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    rows = [None, "", " \n", "One two", "one TWO", "a b c d e", "a b c d e f", "a b c d e f g", "x y z w v " * 9, "x y z w v " * 90]
+    for _ in range(25):
+        base = words(rng.choice((30, 120, 400)))
+        for _ in range(6):
+            text = list(base)
+            for at in rng.sample(range(len(text)), len(text) * rng.randint(0, 8) // 100):
+                text[at] = words(1)[0]
+            rows.append(" ".join(text))
+    hot = words(200)
+    rows += [" ".join(hot)] * 40 + [" ".join(hot[: 200 - k] + words(k)) for k in range(0, 60)] + [" ".join(hot[:130] + words(70)) for _ in range(20)]
+    long = words(20_000)
+    rows += [" ".join(long), " ".join(long[:-2000] + words(2000)), " ".join(long[:-9000] + words(9000))]
+    want = _similar(rows)
+    found = simhash_dedup.similar_classes(table(spark, list(enumerate(rows))).repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(want))
+    assert 30 < len(set(want)) < len(rows) - 60
+
+
+def test_similar_prunes_no_pair():
+    """Sets of a similarity of 0.8 and more stay within the pruning filter and share a band."""
+    rng = np.random.default_rng(1)
+    for n in (20, 200, 2000):
+        for _ in range(60):
+            own = n // 10
+            both = rng.integers(0, 1 << 64, n - own, np.uint64)
+            one, two = (np.concatenate([both, rng.integers(0, 1 << 64, own, np.uint64)]) for _ in range(2))
+            a, b = (simhash_dedup._fingerprint([x]) for x in (one, two))
+            assert bin(a ^ b).count("1") <= simhash_dedup.allowance(0.8)
+            assert (simhash_dedup.band_keys(one) == simhash_dedup.band_keys(two)).any()
+
+
+def test_similar_keeps_one_row_of_each_class(spark, docs, empty):
+    kept = simhash_dedup.dedup_similar(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(_similar([r.text for r in docs.collect()])))
+    assert simhash_dedup.dedup_similar(empty).count() == 0
+
+
 # 7
 
 
@@ -681,7 +744,7 @@ def test_pipeline(spark, sf_dir):
             assert [r.text for r in at.orderBy("doc_id").collect()] == _whole_runs([t for _, t in rows])
         if name == "simhash_dedup":
             rows = sorted((r.doc_id, r.text) for r in before.collect())
-            label = _components([_slow_fingerprint(t) for _, t in rows])
+            label = _similar([t for _, t in rows])
             assert {r.doc_id for r in at.collect()} == {rows[i][0] for i in set(label)}
         if name == "mixing":
             copies = {r.doc_id: r.copies for r in mixing.mix(before).where("copies > 0").collect()}
@@ -712,7 +775,7 @@ def test_pipeline_stages_on_odd_rows(spark, sf_dir, docs, empty):
             assert sorted(map(repr, (r.doc_id for r in after))) == sorted(map(repr, (r.doc_id for r in before)))
             assert all(r.n_chars == len(r.text or "") for r in after) and sum(r.text is None for r in after) == 2
         elif name == "simhash_dedup":
-            label = _components([_slow_fingerprint(r.text) for r in before])
+            label = _similar([r.text for r in before])
             assert len(after) == len(set(label))
             at = stage(spark, docs, sf_dir).union(docs.select(*columns))  # for the next stage: repeated rows again
             at = corpus_pipeline.materialize(at, "odd")
