@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = (
+    "filter_audit",
     "hnsw",
     "license_scan",
     "line_dedup",
@@ -15,6 +16,8 @@ MODULES = (
     "simhash_dedup",
     "substring_dedup",
     "toxicity",
+    "url_filter",
+    "vector_codes",
 )
 
 QUERIES: dict = {}

@@ -1,0 +1,221 @@
+"""Operators 11 to 13: against SQL, brute force and held-out accuracy, on odd rows and on none."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chunklake.llm import filter_audit, url_filter, vector_codes
+
+# 11
+
+URLS = [
+    "https://WWW.Example.com/en/1", "http://example.com/en/", "http://example.com/en", "http://a.example.com/en/x?y=1", "http://notexample.com/en/a", "http://com/x", "http://com", "http://a.b.net/es/1#t",
+    "http://net/fr/?q", "http://net/FR/", "http://x.net:80/es/", "ftp://u@h.net/es/", "http://a.example.org/en/1", "//example.com/en/", "http:///en/", "x://y://com/", "mailto:a@b.com", "", None,
+    "http://example.com?x=/en/", "http://ÄA.COM/en/ü", "http://a.com/" + "9" * 50_000, "http://a.com/en/x\ny?z\n#\n", "http://example.com/en/\U0001f600", "http://q.net/es/1#t", "http://q.net/es/1#t",
+]
+
+
+def by_rule(url, rules=url_filter.RULES):
+    rest = (url or "").partition("://")[2] if "://" in (url or "") else ""
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fits = [(h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return host, path, *max(fits, key=lambda r: len(r[0]), default=(None, None))
+
+
+def test_rules_and_odd_urls(spark):
+    urls = spark.createDataFrame([(i, u, "x", 1) for i, u in enumerate(URLS)], "page_id long, url string, host string, score int").repartition(3)
+    got = url_filter.judge(urls).select("row.*", F.col("host").alias("found"), "path", "rule", "verdict", F.col("score").alias("s")).collect()
+    assert sorted(r.page_id for r in got) == list(range(len(URLS)))
+    for r in got:
+        host, path, rule, verdict = by_rule(r.url)
+        assert (r.found, r.path, r.rule) == (host, path, rule), r
+        assert r.verdict == verdict if rule else (r.verdict in ("allow", "block") and 0 <= r.s <= 1)
+    assert url_filter.judge(urls.limit(0)).count() == 0
+    alone = url_filter.judge(urls.where("url is null")).collect()
+    assert [(r.host, r.path, r.rule, r.verdict) for r in alone] == [("", "", None, "allow")]
+
+
+def test_pages_by_rules_and_by_trees(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    got = url_filter.op11_url_filter(spark, sf_dir).join(pages.select("page_id", "url"), "page_id").collect()
+    again = {r.page_id: r.score for r in url_filter.op11_url_filter(spark, sf_dir).collect()}
+    assert len(got) == pages.count()
+    for r in got:
+        host, path, rule, verdict = by_rule(r.url)
+        assert (r.host, r.path, r.rule) == (host, path, rule) and r.score == again[r.page_id]
+        assert r.verdict == (verdict or ("block" if r.score >= 0.5 else "allow"))
+
+
+def _labelled(rng, n):
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    good = [f"https://{word()}.example/{word()}/{word()}" for _ in range(n)]
+    bad = [f"http://{word()}.{rng.choice(['example', 'top'])}/{word()}{rng.randint(10**5, 10**9)}?{word()}={rng.randint(1, 999)}&{word()}={word()}" for _ in range(n)]
+    return [(u, False) for u in good] + [(u, True) for u in bad]
+
+
+def test_trees_tell_held_out_urls(spark):
+    rng = random.Random(1)
+    known = spark.createDataFrame(_labelled(rng, 600), "url string, blocked boolean")
+    others = _labelled(rng, 200)
+    got = url_filter.judge(spark.createDataFrame(others, "url string, truth boolean"), rules=(("none.invalid", "/", "allow"),), labelled=known)
+    right = [(r.verdict == "block") == r.row.truth for r in got.collect()]
+    assert sum(right) / len(right) >= 0.97
+
+
+def test_expression_is_the_fitted_model(spark):
+    """The SQL expression of the trees agrees with the library's own scores."""
+    known = spark.createDataFrame(_labelled(random.Random(2), 300), "url string, blocked boolean")
+    named = known.withColumns({"host": url_filter.host(F.col("url")), "path": url_filter.path(F.col("url"))})
+    seen = {}
+
+    class Spy(url_filter.GBTClassifier):
+        def fit(self, data):
+            seen["model"] = super().fit(data)
+            return seen["model"]
+
+    real, url_filter.GBTClassifier = url_filter.GBTClassifier, Spy
+    try:
+        model = url_filter.fit(named)
+    finally:
+        url_filter.GBTClassifier = real
+    rows = url_filter.VectorAssembler(inputCols=list(url_filter.FEATURES), outputCol="features").transform(model.features(named).withColumn("score", model.score))
+    for r in seen["model"].transform(rows).select("score", "probability").collect():
+        assert r.score == pytest.approx(r.probability[1], abs=1e-12)
+
+
+def test_features(spark):
+    url = "http://a.b.example/x1//y22?p=1&q=2#z"
+    rows = spark.createDataFrame([(url,), ("",), (None,)], "url string")
+    rows = rows.withColumns({"host": url_filter.host(F.col("url")), "path": url_filter.path(F.col("url"))})
+    got = [r.asDict() for r in url_filter.lexical(rows).collect()]
+    counts = Counter(url)
+    bits = -sum(n / len(url) * np.log2(n / len(url)) for n in counts.values())
+    want = {"url_length": len(url), "host_length": 11, "host_labels": 3, "depth": 2, "digit_ratio": 5 / len(url), "entropy": bits, "parameters": 2}
+    assert {k: got[0][k] for k in want} == pytest.approx(want)
+    assert all(got[i][k] == 0 for i in (1, 2) for k in want)
+
+
+# 12
+
+
+def brute_codes(rows, parts, entries, rounds):
+    """By the definition, all distances in Python's integers."""
+    ints = sorted((i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows if v)
+    width = len(ints[0][1]) // parts
+    cut = lambda v, p: v[p * width : (p + 1) * width]
+    books = [[cut(v, p) for _, v in ints[:entries]] for p in range(parts)]
+    near = lambda x, b: min((sum((s - t) ** 2 for s, t in zip(x, e, strict=True)), k) for k, e in enumerate(b))
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = {}
+            for _, v in ints:
+                groups.setdefault(near(cut(v, p), books[p])[1], []).append(cut(v, p))
+            books[p] = [[sum(c) // len(c) for c in zip(*groups[k], strict=True)] if k in groups else e for k, e in enumerate(books[p])]
+    codes = {i: [near(cut(v, p), books[p]) for p in range(parts)] for i, v in ints}
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return {i: ([k for _, k in c], sum(d for d, _ in c)) for i, c in codes.items()}, digest
+
+
+@pytest.mark.parametrize(("n", "width", "entries"), [(300, 8, 16), (40, 12, 64), (200, 4, 7)])
+def test_codes_are_those_of_the_definition(spark, n, width, entries):
+    rng = np.random.default_rng(n)
+    data = rng.normal(size=(n, width)).round(2 if n > 100 else 6)
+    data[5:9] = data[5]
+    rows = [(i, data[i].tolist()) for i in range(n)]
+    df = spark.createDataFrame([(i, v, i % 3, 1) for i, v in rows], "vec_id long, embedding array<double>, label int, code int").repartition(4)
+    coded, books = vector_codes.compress(df, 4, entries, 3)
+    want, digest = brute_codes(rows, 4, entries, 3)
+    got = coded.collect()
+    assert {r.vec_id: (r.code, r.error) for r in got} == want and vector_codes.fingerprint(books) == digest
+    assert all(r.compared >= 4 for r in got)
+
+
+@pytest.mark.parametrize(("k", "bits", "spread"), [(256, 6, 900), (256, 2, 3), (5, 6, 50), (1, 4, 10), (256, 4, 1 << 24)])
+def test_bounds_lose_no_nearest_entry(k, bits, spread):
+    rng = np.random.default_rng(k + bits)
+    entries, queries = rng.integers(-spread, spread, (k, 16)), rng.integers(-spread, spread + 1, (700, 16))
+    cells = vector_codes.Cells(entries, bits)
+    exact = ((queries[:, None].astype(np.int64) - entries[None]) ** 2).sum(2)
+    lower, upper = cells._bounds(queries)
+    assert (lower <= exact).all() and (exact <= upper).all()
+    found, error, pairs = cells.nearest(queries)
+    assert (found == exact.argmin(1)).all() and (error == exact.min(1)).all()
+    assert len(queries) <= pairs <= len(queries) * k
+
+
+def test_filtering_leaves_few_entries():
+    rng = np.random.default_rng(0)
+    entries, queries = rng.integers(-600, 600, (256, 16)), rng.integers(-600, 600, (500, 16))
+    assert vector_codes.Cells(entries).nearest(queries)[2] < 500 * 256 / 20
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(3, [1.0, 2.0, 3.0, 4.0], 1), (1, [0.0, 0.0, 0.0, -0.0001], None), (None, [5.0, 5.0, 5.0, 5.0], None), (4, None, 1), (5, [], 1), (6, [nan, 1.0, 1.0, 1.0], 1), (7, [1.0, inf, 1.0, 1.0], 1), (8, [1.0, None, 1.0, 1.0], 1), (9, [1.0, 2.0], 1), (3, [1.0, 2.0, 3.0, 4.0], 1), (10, [1e30, -1e30, 0.0, 0.0], 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    coded, books = vector_codes.compress(df)
+    got = vector_codes.label_errors(coded).collect()
+    assert sorted((r.vec_id is None, r.vec_id or 0, r.error, r.label_error) for r in got) == [(False, 1, 0, 0), (False, 3, 0, 0), (False, 3, 0, 0), (False, 10, 0, 0), (True, 0, 0, 0)]
+    assert [b.ravel().tolist() for b in books][3] == [-1, 4096, 4096, 0, 5120] and books[0].max() == 1 << 24
+    coded, books = vector_codes.compress(df.limit(0))
+    assert vector_codes.label_errors(coded).count() == 0 and books == []
+
+
+# 13
+
+
+def brute_audit(docs, labels):
+    """Each order applied to the rows, one after another."""
+    word, first = re.compile(r"[^\x20\x09-\x0D]+"), {}
+    for i, t, _ in docs:
+        key = (i is None, i or 0)
+        first[t or ""] = min(first.get(t or "", key), key)
+    rows = []
+    for i, t, s in docs:
+        t, w = t or "", word.findall(t or "")
+        fails = {"A": len(w) < 50, "B": 100 * len(set(w)) < 65 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 5 * len(t), "D": bool(re.search(r"[#$%&*|]", t)), "E": (i is None, i or 0) > first[t]}
+        rows.append((s or "", {f for f, x in fails.items() if x}, any(a == i and q == 1 for a, q, _ in labels if a is not None), any(a == i and x == 1 for a, _, x in labels if a is not None)))
+    out = {}
+    for part in {r[0] for r in rows}:
+        mine, shares = [r for r in rows if r[0] == part], Counter()
+        for order in permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                shares[f] += len(gone)
+                out[part, "".join(order), step] = [len(left), len(gone), sum(f in r[1] for r in mine) - len(gone) - sum(f in r[1] for r in left), sum(r[1] == {f} for r in mine), sum(r[2] for r in gone), sum(r[3] for r in gone)]
+        for (p, order, step), row in out.items():
+            if p == part:
+                row.append(shares[order[step - 1]])
+    return out
+
+
+def test_audit_is_that_of_all_orders_applied(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    good = " ".join(word() for _ in range(60))
+    many = [good, good, "", None, "one two", "ÄB C" * 3, "same " * 80, good + " #", good.upper(), good.upper() + "|", "\x0b\x0c", " ".join(["a$"] * 60), "x" * 300_000, "é" * 19 + "A", "é" * 20 + "A"]
+    docs = [(i, t, rng.choice(["a", "b", None, ""])) for i, t in enumerate(many * 3)] + [(None, good, "a"), (None, good, "b"), (None, "alone", "b"), (2, "alone too", "a"), (2, "alone too", "a"), (7, "alone too", "c")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(0, 40, 2)] + [(4, 1, 0), (4, 0, 1), (None, 1, 1), (999, 1, 1)]
+    frame = spark.createDataFrame([(*d, 1, "m") for d in docs], "doc_id long, text string, source string, mask int, part string").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {(r[0], r[1], r[2]): list(r[3:]) for r in filter_audit.audit(filter_audit.masks(frame, marks)).collect()}
+    assert got == brute_audit(docs, labels)
+    assert filter_audit.audit(filter_audit.masks(frame.limit(0), marks)).count() == 0
+    assert filter_audit.audit(filter_audit.masks(frame, marks.limit(0))).agg(F.sum("good_lost")).first()[0] == 0
+
+
+def test_audit_of_other_filters_and_orders(spark):
+    rows = spark.createDataFrame([("p", m, m % 2, 1) for m in (0, 1, 1, 2, 3, 3)], "part string, mask int, good long, toxic long")
+    got = {(r.filter_order, r.step): (r.kept, r.removed, r.redundant, r.unique_fails, r.shapley) for r in filter_audit.audit(rows, "XY").collect()}
+    assert got == {("XY", 1): (2, 4, 0, 2, 6), ("XY", 2): (1, 1, 2, 1, 4), ("YX", 1): (3, 3, 0, 1, 4), ("YX", 2): (1, 2, 2, 2, 6)}
+    assert {r.filter_order for r in filter_audit.audit(rows, "XY", orders=["YX"]).collect()} == {"YX"}
