@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunklake.functions.text import strip
@@ -31,15 +31,16 @@ def result_columns(columns: list[str], inputs: tuple[str, ...] = INPUT_COLUMNS)
     return [c for c in columns if c.strip().lower() not in inputs]
 
 
-def extract(df: DataFrame, structure: str, identifier: str | None, *keep: str) -> DataFrame:
+def extract(df: DataFrame, structure: str, identifier: str | None, *keep: str | Column) -> DataFrame:
     """(smiles, collection_id): both stripped, rows without a structure dropped.
 
-    A missing identifier column gives ''; a missing structure column no row.
+    Columns and expressions ``keep`` follow.  A missing identifier column gives ''; a missing structure
+    column no row, with the same columns.
     """
     s = resolve(df.columns, structure)
     i = resolve(df.columns, identifier) if identifier else None
     if s is None:
-        return df.sparkSession.createDataFrame([], "smiles string, collection_id string")
+        return df.where(F.lit(False)).select(F.lit("").alias("smiles"), F.lit("").alias("collection_id"), *keep)
     value = strip(F.col(f"`{s}`").cast("string"))
     other = strip(F.col(f"`{i}`").cast("string")) if i else F.lit("")
-    return df.select(value.alias("smiles"), other.alias("collection_id"), *keep).where("smiles <> ''")
+    return df.where(value != "").select(value.alias("smiles"), other.alias("collection_id"), *keep)

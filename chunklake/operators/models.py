@@ -1,60 +1,29 @@
-"""Batch models over chunks, with failing rows isolated."""
+"""Batch models over chunks, with failing rows isolated in a chunk's task or over the cluster."""
 
 from __future__ import annotations
 
-import multiprocessing
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-#: A model takes a chunk's values and returns a frame of as many rows.
-Model = Callable[[list[str]], pd.DataFrame]
+from chunklake.functions.text import strip
+from chunklake.operators.runners import Model, Trial, trials
+from chunklake.sources.shared import materialize
 
 OK, FAIL, SKIP, UNREPRODUCED = "OK", "FAIL", "SKIP", "UNREPRODUCED"
+#: A range of several rows that failed and is split in the next round.
+SPLIT = "SPLIT"
+#: Tasks of a round at most.
+TASKS = 10_000
 
 
-def _line(e: Exception) -> str:
-    return str(e).replace("\n", " | ")[:300] or type(e).__name__
-
-
-def _limited(model: Model, values: list[str], seconds: float) -> tuple[pd.DataFrame | None, str]:
-    """The model in a process of its own, which is ended after ``seconds``."""
-    context = multiprocessing.get_context("fork")
-    ours, theirs = context.Pipe(duplex=False)
-
-    def work():
-        try:
-            theirs.send((model(values), ""))
-        except Exception as e:
-            theirs.send((None, _line(e)))
-
-    process = context.Process(target=work)
-    process.start()
-    theirs.close()
-    try:
-        return ours.recv() if ours.poll(seconds) else (None, f"TIMEOUT after {seconds:g} s")
-    except EOFError:
-        return None, "the model ended without a result"
-    finally:
-        process.kill()
-        process.join()
-
-
-def trial(model: Model, values: list[str], seconds: float | None = None) -> tuple[pd.DataFrame | None, str]:
-    """The results, or why there are none: an exception, the time limit, or another number of rows."""
-    if seconds is not None:
-        out, why = _limited(model, values, seconds)
-        if out is None:
-            return None, why
-    else:
-        try:
-            out = model(values)
-        except Exception as e:
-            return None, _line(e)
-    if len(out) != len(values):
-        return None, f"{len(values)} rows in, {len(out)} out"
-    return out.reset_index(drop=True), ""
+def as_text(out: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
+    """A model's results in the declared columns, as strings; what is missing is ''."""
+    return out.reindex(columns=columns).astype(object).where(lambda f: f.notna(), "").astype(str)
 
 
 def isolate(model: Model, values: list[str], columns: list[str], fanout: int = 10, seconds: float | None = None) -> pd.DataFrame:
@@ -65,22 +34,23 @@ def isolate(model: Model, values: list[str], columns: list[str], fanout: int = 1
     ``seconds`` limits each trial.
     """
 
-    def run(at: int, end: int) -> Iterator[tuple[int, pd.DataFrame, str, str]]:
-        out, why = trial(model, values[at:end], seconds)
+    def run(trial: Trial, at: int, end: int) -> Iterator[tuple[int, pd.DataFrame, str, str]]:
+        out, why = trial(values[at:end])
         if out is not None:
             yield at, out, OK, ""
         elif end - at == 1:
             yield at, pd.DataFrame([dict.fromkeys(columns, "")]), FAIL, why
         else:
             step = -(-(end - at) // min(fanout, end - at))
-            parts = [p for i in range(at, end, step) for p in run(i, min(i + step, end))]
+            parts = [p for i in range(at, end, step) for p in run(trial, i, min(i + step, end))]
             alone = all(p[2] == OK for p in parts)
             yield from ((i, o, UNREPRODUCED if alone else s, why if alone else w) for i, o, s, w in parts)
 
     blank = [i for i, v in enumerate(values) if not (v or "").strip()]
     live = [i for i, v in enumerate(values) if (v or "").strip()]
     everything, values = values, [values[i] for i in live]
-    frames = [o.reindex(columns=columns).astype(object).where(lambda f: f.notna(), "").astype(str).assign(status=s, details=w, place=live[i : i + len(o)]) for i, o, s, w in (run(0, len(values)) if values else ())]
+    with trials(model, seconds) as trial:
+        frames = [as_text(o, columns).assign(status=s, details=w, place=live[i : i + len(o)]) for i, o, s, w in (run(trial, 0, len(values)) if values else ())]
     if blank:
         frames.append(pd.DataFrame([dict.fromkeys(columns, "")] * len(blank)).assign(status=SKIP, details="empty", place=blank))
     if not frames:
@@ -88,17 +58,91 @@ def isolate(model: Model, values: list[str], columns: list[str], fanout: int = 1
     return pd.concat(frames).sort_values("place").drop(columns="place").reset_index(drop=True).iloc[: len(everything)]
 
 
+def _schema(df: DataFrame, *more: str) -> str:
+    return ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + list(more))
+
+
 def score(chunked: DataFrame, value: str, model: Model, columns: list[str], keys: tuple[str, ...] = ("chunk_no",), fanout: int = 10, seconds: float | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Run ``model`` once for each chunk, which has a bounded number of rows.
 
     Returns ``keys``, ``idx``, ``value``, the columns ``carry`` as they are, the model's ``columns`` as strings,
-    ``status`` and ``details``, in declared columns whatever the model returns.
+    ``status`` and ``details``, in declared columns whatever the model returns.  A chunk's failing
+    rows are isolated in its task: :func:`score_spread` does that over all tasks.
     """
-    fields = [f for f in chunked.select(*keys, "idx", value, *carry).schema.fields]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + "".join(f", `{c}` string" for c in (*columns, "status", "details"))
+    rows = chunked.select(*keys, "idx", value, *carry)
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("idx").reset_index(drop=True)
         return pd.concat([frame, isolate(model, frame[value].fillna("").tolist(), columns, fanout, seconds)], axis=1)
 
-    return chunked.select(*keys, "idx", value, *carry).groupBy(*keys).applyInPandas(one, schema)
+    return rows.groupBy(*keys).applyInPandas(one, _schema(rows, *[f"`{c}` string" for c in (*columns, "status", "details")]))
+
+
+def _try_ranges(work: DataFrame, ranges: int, value: str, model: Model, columns: list[str], keys: tuple[str, ...], seconds: float | None) -> DataFrame:
+    """Each range of ``work`` (keys, _start, _end) run once, in as many tasks as there are ranges."""
+    spark = work.sparkSession
+
+    def one(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("_pos").reset_index(drop=True)
+        with trials(model, seconds) as trial:
+            out, why = trial(frame[value].fillna("").tolist())
+        verdict = OK if out is not None else FAIL if len(frame) == 1 else SPLIT
+        got = as_text(pd.DataFrame(index=frame.index) if out is None else out, columns)
+        return pd.concat([frame, got], axis=1).assign(_verdict=verdict, _why=why, _task=TaskContext.get().partitionId())
+
+    tasks = max(1, min(TASKS, max(spark.sparkContext.defaultParallelism, ranges)))
+    # A given number of partitions: ranges are few bytes and much work, and are not to be put together.
+    dealt = work.repartition(tasks, *keys, "_start")
+    return dealt.groupBy(*keys, "_start", "_end").applyInPandas(one, _schema(work, *[f"`{c}` string" for c in columns], "_verdict string", "_why string", "_task int"))
+
+
+def _pieces(fanout: int) -> tuple[Column, Column]:
+    """Start and end of the part of a failed range that a row at ``_pos`` is in."""
+    n = F.col("_end") - F.col("_start") + 1
+    step = F.ceil(n / F.least(n, F.lit(fanout)))
+    start = F.col("_start") + F.floor((F.col("_pos") - F.col("_start")) / step) * step
+    return start, F.least(start + step - 1, F.col("_end"))
+
+
+def score_spread(
+    chunked: DataFrame, value: str, model: Model, columns: list[str], keys: tuple[str, ...] = ("chunk_no",), fanout: int = 10, seconds: float | None = None, carry: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`score` with failing rows isolated over the cluster, and the log of the trials.
+
+    Work goes on in rounds.  A round runs all open ranges of all chunks, each in a group of its
+    own; those that pass and single rows that fail are done, the others are split into
+    ``fanout`` parts for the next round.  After a few rounds, by the logarithm of a chunk's rows, none is open.
+    Each round is written, so that a lost executor costs trials of its round only.
+    A range that failed while each of its parts passes leaves them UNREPRODUCED, with its details.  ``keys`` are not null.
+
+    The log has a row for each trial: ``keys``, ``start`` and ``end`` among the chunk's rows that are
+    not blank, ``round``, ``rows``, ``outcome`` (OK, FAIL or SPLIT), ``details`` and ``task``, its partition in the round.
+    """
+    wanted = [*keys, "idx", value, *carry]
+    rows = chunked.select(*wanted).withColumn("_blank", strip(F.col(value).cast("string")) == "")
+    place = Window.partitionBy(*keys)
+    live = rows.where(~F.col("_blank")).drop("_blank")
+    live = live.withColumn("_pos", F.row_number().over(place.orderBy("idx")) - 1).withColumn("_end", F.count("*").over(place).cast("int") - 1)
+    work = materialize(live.withColumns({"_start": F.lit(0), "_above": F.lit(None).cast("int"), "_below": F.lit(None).cast("int"), "_reason": F.lit(None).cast("string")}), "work")
+    blank = rows.where("_blank").select(*wanted, *[F.lit("").alias(c) for c in columns], F.lit(SKIP).alias("status"), F.lit("empty").alias("details"))
+    done, log, turn = [blank], [], 0
+    ranges = work.select(*keys).distinct().count()
+    while ranges:
+        tried = materialize(_try_ranges(work, ranges, value, model, columns, keys, seconds), "trials")
+        per_range = [F.lit(turn).alias("round"), F.count("*").alias("rows"), F.first("_verdict").alias("outcome"), F.first("_why").alias("details"), F.first("_task").alias("task")]
+        log.append(tried.groupBy(*keys, F.col("_start").alias("start"), F.col("_end").alias("end")).agg(*per_range))
+        # A part that passes is reproduced if a part of the same range does not.
+        broken = tried.where(F.col("_verdict") != OK).where("_above is not null").select(*keys, "_above", "_below").distinct().withColumn("_with", F.lit(True))
+        passed = tried.where(F.col("_verdict") == OK).join(broken, [*keys, "_above", "_below"], "left")
+        alone = F.col("_above").isNotNull() & F.col("_with").isNull()
+        passed = passed.withColumns({"status": F.when(alone, UNREPRODUCED).otherwise(OK), "details": F.when(alone, F.col("_reason")).otherwise("")})
+        failed = tried.where(F.col("_verdict") == FAIL).withColumns({"status": F.lit(FAIL), "details": F.col("_why")})
+        done += [f.select(*wanted, *columns, "status", "details") for f in (passed, failed)]
+        start, end = _pieces(fanout)
+        parts = tried.where(F.col("_verdict") == SPLIT).withColumns({"_a": start.cast("int"), "_b": end.cast("int")})
+        work = parts.select(*wanted, "_pos", F.col("_b").alias("_end"), F.col("_a").alias("_start"), F.col("_start").alias("_above"), F.col("_end").alias("_below"), F.col("_why").alias("_reason"))
+        ranges = work.select(*keys, "_start").distinct().count()
+        turn += 1
+    if not log:
+        log = [work.groupBy(*keys, F.col("_start").alias("start"), F.col("_end").alias("end")).agg(F.lit(0).alias("round"), F.count("*").alias("rows"), F.lit("").alias("outcome"), F.lit("").alias("details"), F.lit(0).alias("task"))]
+    return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, log)

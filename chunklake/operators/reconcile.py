@@ -75,3 +75,38 @@ def preview(rows: DataFrame, by: str, item: str, first: int = 20) -> DataFrame:
     counts = rows.groupBy(by).agg(F.greatest(F.count(item) - first, F.lit(0)).alias("more")).withColumnRenamed(by, "_by")
     none = F.array().cast(some.schema["items"].dataType)
     return counts.join(some, F.col("_by").eqNullSafe(some[by]), "left").select(F.col("_by").alias(by), F.coalesce("items", none).alias("items"), "more")
+
+
+def verdict(rows: DataFrame, done: Column) -> DataFrame:
+    """One row for a run: how many were to be done, how many are, and whether some are not.  No rows: nothing is missing."""
+    incomplete = F.coalesce(F.bool_or(~F.coalesce(done, F.lit(False))), F.lit(False))
+    return rows.agg(F.count("*").alias("ran"), F.count_if(done).alias("done"), incomplete.alias("incomplete"))
+
+
+def vector_counts(rows: DataFrame, by: str, vector: str, width: int) -> DataFrame:
+    """Per group: vectors, the longest one's length, and those that are not of ``width``, nulls among them."""
+    size = F.size(vector)
+    return rows.groupBy(by).agg(F.count("*").alias("n"), F.max(size).alias("dim"), F.count_if(F.coalesce(size, F.lit(-1)) != width).alias("wrong"))
+
+
+def fingerprint(rows: DataFrame, columns: list[str], *keys: str) -> DataFrame:
+    """(keys, n, sum, xor): what a group's rows are, in whatever order they come, in one aggregation.
+
+    Two groups whose rows differ agree with a probability of about 2^-128.  Null differs from every value; repeated rows count.
+    """
+    values = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    one, two = F.xxhash64(F.lit(0), *values), F.xxhash64(F.lit(1), *values)
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(one.cast("decimal(38,0)")).alias("sum"), F.bit_xor(two).alias("xor"))
+
+
+def validity(inputs: DataFrame, results: DataFrame, *keys: str) -> DataFrame:
+    """(keys, status): whether results are of the inputs that there are now.
+
+    Both are fingerprints: of the inputs, and those kept with the results when they were made.
+    VALID where they agree, STALE where the inputs have changed since, MISSING without a result, ORPHANED without an input.
+    """
+    marks = ("n", "sum", "xor")
+    a = inputs.select(*keys, F.struct(*marks).alias("_now"))
+    b = results.select(*keys, F.struct(*marks).alias("_then"))
+    status = F.when(F.col("_then").isNull(), "MISSING").when(F.col("_now").isNull(), "ORPHANED").when(F.col("_now") != F.col("_then"), "STALE").otherwise("VALID")
+    return a.join(b, list(keys), "full").select(*keys, status.alias("status"))

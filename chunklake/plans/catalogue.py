@@ -16,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.functions.text import CHUNK_FILE, all_empty, message, number_in, relative, shorten
-from chunklake.operators import chunking, merge, models, reconcile
+from chunklake.operators import chunking, fragments, merge, models, reconcile
 from chunklake.operators.columns import extract
-from chunklake.sources import text_files
-from chunklake.sources.archive import Layout, read_archive
+from chunklake.operators.runners import Command
+from chunklake.sources import chunk_sink, text_files
+from chunklake.sources.archive import Layout, archives_of, read_archive
 from chunklake.sources.catalog import Catalogue
-from chunklake.sources.shared import shared_dir
+from chunklake.sources.shared import materialize, shared_dir
+from chunklake.streaming import incremental
 from chunklake.streaming.incremental import checkpoint_rows, ingest, pending, until_complete
 
 QUERIES: dict = {}
@@ -125,16 +127,31 @@ def _nations(spark, d):
     return [(r.n_regionkey, r.n_name, r.n_nationkey) for r in _t(spark, d, "nation").orderBy("n_nationkey").collect()]
 
 
-@_query("SELECT n_name AS smiles, n_nationkey::VARCHAR AS collection_id, 0 AS member FROM nation WHERE n_regionkey <= (SELECT max(n_regionkey) FROM nation)")
-def Q10_member_select(spark, d):
-    """Member k of an archive has the nations of the regions up to k: the last is the largest."""
-    held, rows = io.BytesIO(), _nations(spark, d)
+def _write_zip(path: str, rows: list[tuple[str, str]]) -> None:
+    """An archive whose largest member has the rows, beside one with half of them and one of another kind."""
+    held, lines = io.BytesIO(), [f"{i},\" {u.replace('"', '""')}\"\r\n" for u, i in rows]
     with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
-        z.writestr("__MACOSX/big.csv", "x" * 100_000)
-        for k in sorted({r[0] for r in rows}, reverse=True):
-            z.writestr(f"part{k}.smiles", "sep=,\r\n Catalog ID,smiles\r\n" + "".join(f"{i},\" {n}\"\r\n" for r, n, i in rows if r <= k))
-    path = _write(f"{_folder(spark)}/a.zip", held.getvalue())
-    return read_archive(spark, path, Layout("largest", ",", "SMILES", "CATALOG ID")).select("smiles", "collection_id", "member")
+        z.writestr("__MACOSX/big.csv", "x" * 500_000)
+        for name, some in (("half.smiles", lines[: len(lines) // 2]), ("all.smiles", lines)):
+            z.writestr(name, "sep=,\r\n Catalog ID,smiles\r\n" + "".join(some))
+    _write(path, held.getvalue())
+
+
+@_query("SELECT trim(url) AS smiles, page_id::VARCHAR AS collection_id, 0 AS member FROM pages WHERE trim(url) <> ''")
+def Q10_member_select(spark, d):
+    """Archives of some hundred pages each, written by tasks; the largest member of each counts."""
+    folder = _folder(spark)
+    pages = _t(spark, d, "pages").where("trim(url) <> ''").select(F.expr("page_id div 500").alias("part"), F.trim("url").alias("url"), "page_id")
+
+    def write(frame):
+        path = f"{folder}/{frame['part'].iloc[0]}.zip"
+        _write_zip(path, [(u, str(i)) for u, i in zip(frame["url"], frame["page_id"], strict=True)])
+        return frame[["part"]].head(1).assign(path=path)[["path"]]
+
+    # Written before it is read: a repeated task writes the same archive.
+    paths = materialize(pages.groupBy("part").applyInPandas(write, "path string"), "archives")
+    found = archives_of(paths, Layout("largest", ",", "SMILES", "CATALOG ID"))
+    return found.select("smiles", "collection_id", "member")
 
 
 @_query("""SELECT n_nationkey, n_name, CASE lower(n_name) WHEN 'fr' THEN 'FRANCE' WHEN 'france' THEN 'FRANCE' WHEN 'us' THEN 'UNITED STATES'
@@ -227,7 +244,7 @@ def Q21_list_preview(spark, d):
 
 @_query("""SELECT count(*) AS ran, count(*) FILTER (quality IS NOT NULL) AS done, bool_or(quality IS NULL) AS incomplete FROM documents LEFT JOIN labels USING (doc_id)""")
 def Q22_run_verdict(spark, d):
-    return _labelled(spark, d).agg(F.count("*").alias("ran"), F.count("quality").alias("done"), F.bool_or(F.col("quality").isNull()).alias("incomplete"))
+    return reconcile.verdict(_labelled(spark, d), F.col("quality").isNotNull())
 
 
 def _ranges(spark, d):
@@ -281,8 +298,7 @@ def Q29_error_details(spark, d):
 
 @_query("SELECT label, count(*) AS n, max(len(embedding))::INT AS dim, count(*) FILTER (len(embedding) <> 64) AS wrong FROM embeddings GROUP BY label")
 def Q30_vector_check(spark, d):
-    size = F.size("embedding")
-    return _t(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"), F.max(size).alias("dim"), F.count_if(size != 64).alias("wrong"))
+    return reconcile.vector_counts(_t(spark, d, "embeddings"), "label", "embedding", 64)
 
 
 @_query("SELECT p_name, p_brand, p_type FROM part UNION ALL SELECT p_name, '' AS p_brand, p_type FROM part")
@@ -354,7 +370,7 @@ def Q37_chunk_lines(spark, d):
     """Lines after the header in each file; an empty chunk has a file as well."""
     path, parts = _folder(spark), _parts(spark, d)
     labels = parts.select("chunk_no").union(parts.agg((F.max("chunk_no") + 1).alias("chunk_no")))
-    text_files.export_chunks(parts, path, "part", "smiles", labels=labels)
+    chunk_sink.export_chunks(parts, path, "part", "smiles", labels=labels)
     return text_files.physical_lines(spark, path).select(number_in(F.substring_index("path", "/", -1)).alias("chunk_no"), F.col("rows").alias("lines"))
 
 
@@ -383,15 +399,23 @@ def Q40_sep_line(spark, d):
     return text_files.read_csv(spark, _write(f"{_folder(spark)}/d.csv", data.encode()))
 
 
-@_query(f"WITH {_F} SELECT chunk_no, min(idx // 10 * 10)::BIGINT AS start, p_brand, (idx)::BIGINT AS idx FROM n WHERE chunk_no = 0 GROUP BY ALL")
+def _ranges_as_files(rows, path, label, start, end, *columns):
+    """``rows`` as files result_START_END.csv, in a folder for each chunk."""
+    chunk_sink.export_files(rows, path, label, F.format_string("chunk_%03d/result_%d_%d.csv", "chunk_no", start, end), "idx", *columns)
+
+
+def _read_ranges(spark, path):
+    return text_files.read_ranges(spark, path).withColumn("chunk_no", F.regexp_extract("file", r"chunk_(\d+)/", 1).cast("int"))
+
+
+@_query(f"WITH {_F} SELECT chunk_no, (idx // 10 * 10)::BIGINT AS start, p_brand, idx::BIGINT AS idx FROM n")
 def Q41_range_fragments(spark, d):
-    """Sub-results of ten rows, named by their range."""
-    path, rows = _folder(spark), _parts(spark, d).where("chunk_no = 0").orderBy("idx").limit(50).select("p_brand", "idx").collect()
-    for a in range(0, len(rows), 10):
-        some = rows[a : a + 10]
-        _write(f"{path}/result_{a}_{a + len(some) - 1}.csv", ("brand\n" + "".join(f"{r.p_brand}\n" for r in some)).encode())
-    _write(f"{path}/result_0_9.checkpoint.csv", b"brand\nno\n")
-    return text_files.read_ranges(spark, path).where(F.col("brand") != "no").select(F.lit(0).alias("chunk_no"), "start", F.col("brand").alias("p_brand"), "idx")
+    """Sub-results of ten rows, named by their range; a checkpoint is none of them."""
+    path, rows = _folder(spark), _parts(spark, d)
+    start = F.expr("idx div 10 * 10")
+    _ranges_as_files(rows, path, "fragments", start, start + 9, "p_brand")
+    chunk_sink.export_files(rows, path, "other", F.format_string("chunk_%03d/result_0_9.checkpoint.csv", "chunk_no"), "idx", "p_brand")
+    return _read_ranges(spark, path).select("chunk_no", "start", "p_brand", "idx")
 
 
 @_query("""SELECT (user_id % 50)::INT AS __idx__, max_by(event_type, event_id) AS event_type FROM events WHERE event_id % 7 <> 3 GROUP BY 1""")
@@ -417,7 +441,7 @@ def Q43_discovered_status(spark, d):
 def Q44_chunk_listing(spark, d):
     """Numbers of the files in a folder, and of a folder that is not there."""
     path = _folder(spark)
-    text_files.export_chunks(_parts(spark, d), path, "part", "smiles")
+    chunk_sink.export_chunks(_parts(spark, d), path, "part", "smiles")
     return text_files.chunk_numbers(spark, path).union(text_files.chunk_numbers(spark, f"{path}-none"))
 
 
@@ -477,7 +501,7 @@ def Q49_incremental_ingest(spark, d):
     for part in range(2):
         rows.where(F.col("o_orderkey") % 2 == part).write.mode("append").parquet(f"{root}/in")
         ingest(spark, f"{root}/in", "o_orderkey long, o_orderstatus string", f"{root}/out", f"{root}/checkpoint", lambda s: s.select("o_orderkey", F.concat("o_orderstatus", F.lit("!")).alias("s"))).awaitTermination()
-    return spark.read.schema("o_orderkey long, s string").parquet(f"{root}/out")
+    return spark.read.schema("o_orderkey long, s string").parquet(f"{root}/out").drop("batch")
 
 
 @_query("SELECT doc_id, substr(text, 1, 50) AS shown, source || '/x.csv' AS relative FROM documents")
@@ -498,5 +522,117 @@ def Q51_first_column(spark, d):
 def Q52_numbered_files(spark, d):
     """Chunks written as numbered files, found by their names and read back."""
     path = _folder(spark)
-    text_files.export_chunks(_parts(spark, d), path, "part", "smiles", "p_brand")
+    chunk_sink.export_chunks(_parts(spark, d), path, "part", "smiles", "p_brand")
     return text_files.read_chunks(spark, path, CHUNK_FILE).select("chunk_no", "smiles", "p_brand")
+
+
+# Models that fail, over the cluster and as commands.
+
+
+def _many(spark, d):
+    return chunking.chunk(_t(spark, d, "documents").select("doc_id", "text"), "doc_id", size=500)
+
+
+@_query(f"SELECT doc_id, status, CASE status WHEN 'OK' THEN length(text)::VARCHAR ELSE '' END AS n, CASE status WHEN 'FAIL' THEN 'bad row' WHEN 'SKIP' THEN 'empty' ELSE '' END AS details FROM ({_V})")
+def Q53_spread_isolation(spark, d):
+    """Several failing rows in a chunk, isolated by rounds of ranges over all tasks."""
+    scored, _ = models.score_spread(_many(spark, d), "text", length_model, ["n", "h"], carry=("doc_id",))
+    return scored.select("doc_id", "status", "n", "details")
+
+
+@_query("""WITH RECURSIVE r AS (SELECT doc_id, text, ((row_number() OVER (ORDER BY doc_id) - 1) // 500)::INT AS chunk_no FROM documents),
+l AS (SELECT chunk_no, (row_number() OVER (PARTITION BY chunk_no ORDER BY doc_id) - 1)::BIGINT AS pos, contains(text, '&&&') AS bad FROM r WHERE trim(text) <> ''),
+t AS (SELECT 0 AS round, chunk_no, 0::BIGINT AS a, max(pos) AS b, bool_or(bad) AS bad FROM l GROUP BY chunk_no
+UNION ALL SELECT round, s.chunk_no, s.a, s.b, (SELECT bool_or(bad) FROM l WHERE l.chunk_no = s.chunk_no AND pos BETWEEN s.a AND s.b) AS bad
+FROM (SELECT round + 1 AS round, chunk_no, a + i * p AS a, least(a + (i + 1) * p - 1, b) AS b FROM (SELECT *, unnest(range((b - a) // p + 1)) AS i FROM (SELECT *, (b - a + least(b - a + 1, 10)) // least(b - a + 1, 10) AS p FROM t WHERE bad AND b > a))) s)
+SELECT round, CASE WHEN NOT bad THEN 'OK' WHEN a = b THEN 'FAIL' ELSE 'SPLIT' END AS outcome, count(*) AS trials, sum(b - a + 1)::BIGINT AS "rows" FROM t GROUP BY 1, 2""")
+def Q54_isolation_trials(spark, d):
+    """The log of the trials that find the failing rows, by round and outcome."""
+    _, log = models.score_spread(_many(spark, d), "text", length_model, ["n", "h"])
+    return log.groupBy("round", "outcome").agg(F.count("*").alias("trials"), F.sum("rows").alias("rows"))
+
+
+# A command in place of a real model: CSV in, CSV out; a row with the poison ends it with an exit code.
+_COMMAND = """
+import csv, sys
+csv.field_size_limit(10**8)
+rows = list(csv.DictReader(open(sys.argv[1], newline="", encoding="utf-8")))
+out = csv.writer(open(sys.argv[2], "w", newline="", encoding="utf-8"))
+out.writerow(["input", "n"])
+for row in rows:
+    if "&&&" in row["text"]:
+        sys.exit("bad row")
+    out.writerow([row["text"], len(row["text"])])
+"""
+
+
+@_query(f"SELECT doc_id, status, CASE status WHEN 'OK' THEN length(text)::VARCHAR ELSE '' END AS n, CASE status WHEN 'FAIL' THEN 'EXIT 1: bad row' WHEN 'SKIP' THEN 'empty' ELSE '' END AS details FROM ({_V})")
+def Q55_command_model(spark, d):
+    """A command run on each chunk's file, and on files of parts where it exits with a code."""
+    command = Command(("{python}", "-c", _COMMAND, "{input}", "{output}"), "text")
+    scored, _ = models.score_spread(_many(spark, d), "text", command, ["n"], seconds=120, carry=("doc_id",))
+    return scored.select("doc_id", "status", "n", "details")
+
+
+@_query(f"""WITH {_F} SELECT chunk_no, idx::BIGINT AS idx, CASE WHEN idx BETWEEN 20 AND 24 THEN 'narrow' WHEN idx BETWEEN 10 AND 29 THEN 'middle' WHEN idx BETWEEN 40 AND 44 THEN 'part' ELSE 'whole' END AS by_, p_brand
+FROM n WHERE chunk_no < (SELECT max(chunk_no) FROM n) AND (idx < 35 OR idx BETWEEN 40 AND 44)""")
+def Q56_overlapping_fragments(spark, d):
+    """Of each whole chunk a result that broke off after 35 rows, and complete and partial ones of ranges
+    in it: one row for each index that any covers, by the fragment that counts there."""
+    path, rows = _folder(spark), _parts(spark, d)
+    last = rows.agg(F.max("chunk_no").alias("_last"))
+    rows = rows.join(last, F.col("chunk_no") < F.col("_last")).drop("_last")
+    for label, start, end, most in (("whole", 0, 49, 34), ("middle", 10, 29, 29), ("narrow", 20, 24, 24), ("part", 40, 48, 44)):
+        some = rows.where((F.col("idx") >= start) & (F.col("idx") <= most)).withColumn("by_", F.lit(label))
+        _ranges_as_files(some, path, label, F.lit(start), F.lit(end), "by_", "p_brand")
+    return fragments.merge_fragments(_read_ranges(spark, path), "chunk_no").select("chunk_no", "idx", "by_", "p_brand")
+
+
+@_query("""SELECT c AS chunk_no, doc_id::VARCHAR AS doc_id, CASE WHEN c % 3 < 2 THEN source ELSE '' END AS source, CASE WHEN c % 3 = 1 THEN lang ELSE '' END AS lang, CASE WHEN c % 3 = 2 THEN n_chars::VARCHAR ELSE '' END AS n_chars
+FROM (SELECT *, ((row_number() OVER (ORDER BY doc_id) - 1) // 50)::INT AS c FROM documents)""")
+def Q57_open_schemas(spark, d):
+    """Result files of three headers, read as one table in one scan."""
+    path = _folder(spark)
+    docs = chunking.chunk(_t(spark, d, "documents").select("doc_id", "source", "lang", "n_chars"), "doc_id", size=50)
+    for k, names in enumerate((("doc_id", "source"), ("source", "lang", "doc_id"), ("n_chars", "doc_id"))):
+        chunk_sink.export_files(docs.where(F.col("chunk_no") % 3 == k), path, f"header{k}", F.format_string("m_results_%03d.csv", "chunk_no"), "idx", *names)
+    return text_files.read_chunks(spark, path).select("chunk_no", "doc_id", "source", "lang", "n_chars")
+
+
+@_query("""SELECT o_orderkey::VARCHAR AS o_orderkey, CASE o_custkey % 8 WHEN 3 THEN 'second' ELSE 'first' END AS load FROM orders WHERE o_custkey % 8 <> 5 AND (o_custkey % 8 <> 3 OR o_orderkey % 2 = 0)""")
+def Q58_changed_files(spark, d):
+    """CSV files read twice: between, one was written anew with half its rows, one deleted and one added."""
+    root, rows = _folder(spark), _t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 8).cast("int").alias("chunk_no"), F.lit("first").alias("load"))
+    read = incremental.csv_rows(["o_orderkey", "load"])
+    name = F.format_string("orders_%d.csv", "chunk_no")
+    chunk_sink.export_files(rows.where("chunk_no <> 7"), f"{root}/in", "first", name, "o_orderkey", "o_orderkey", "load")
+    incremental.ingest_files(spark, f"{root}/in", f"{root}/out", read)
+    again = rows.where("chunk_no = 3 and o_orderkey % 2 = 0").withColumn("load", F.lit("second")).union(rows.where("chunk_no = 7"))
+    chunk_sink.export_files(again, f"{root}/in", "second", name, "o_orderkey", "o_orderkey", "load")
+    store, folder = chunk_sink.store_of(f"{root}/in")
+    store.delete_file(f"{folder}/orders_5.csv")
+    incremental.ingest_files(spark, f"{root}/in", f"{root}/out", read)
+    return incremental.ingested(spark, f"{root}/out").select("o_orderkey", "load")
+
+
+@_query("""SELECT doc_id // 20 AS chunk, CASE WHEN doc_id // 20 % 9 = 4 THEN 'MISSING' WHEN bool_or(doc_id % 97 = 7) THEN 'STALE' ELSE 'VALID' END AS status FROM documents GROUP BY 1""")
+def Q59_stale_results(spark, d):
+    """Results of chunks of which some have been overwritten since, and some have none."""
+    now = _t(spark, d, "documents").select(F.expr("doc_id div 20").alias("chunk"), "doc_id", "text", "lang")
+    then = now.where("chunk % 9 <> 4").withColumn("text", F.when(F.col("doc_id") % 97 == 7, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    kept = materialize(reconcile.fingerprint(then, ["doc_id", "text", "lang"], "chunk"), "fingerprints")
+    return reconcile.validity(reconcile.fingerprint(now, ["doc_id", "text", "lang"], "chunk"), kept, "chunk")
+
+
+@_query("""SELECT c_custkey, CASE c_custkey % 10 WHEN 3 THEN 3 WHEN 5 THEN 1 ELSE 0 END::BIGINT AS tries, CASE c_custkey % 10 WHEN 3 THEN 'QUARANTINED' ELSE 'DONE' END AS state FROM customer""")
+def Q60_attempts(spark, d):
+    """Rows that fail always, at first or never, run until none is due."""
+    target, rows, turn = f"{_folder(spark)}/attempts", _t(spark, d, "customer").select("c_custkey"), 0
+
+    def run(due):
+        bad = (F.col("c_custkey") % 10 == 3) | (F.lit(turn == 0) & (F.col("c_custkey") % 10 == 5))
+        return due.select("c_custkey", (~bad).alias("ok"), F.when(bad, "refused").otherwise("").alias("details"))
+
+    while incremental.attempt(rows, "c_custkey", run, target):
+        turn += 1
+    return incremental.attempt_states(rows, "c_custkey", spark.read.parquet(target)).select("c_custkey", "tries", "state")

@@ -2,36 +2,55 @@
 
 from __future__ import annotations
 
-import csv
 import re
-import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.functions.text import CHUNK_FILE, RANGE_FILE, RESULT_FILE, number_in
+from chunklake.sources.chunk_sink import store_of
+from chunklake.sources.open_files import read_open, separator
 
 # Doubled quotes, a backslash is data, fields of up to 10 MB.
 OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True, "maxCharsPerColumn": 10485760, "enforceSchema": False}
+#: Bytes in which a line that names a delimiter is looked for.
+FIRST_LINE = 64
+
+
+def _peek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which of the files begin with a line that names the delimiter."""
+    for batch in batches:
+        marked = []
+        for path in batch.column("path").to_pylist():
+            store, inner = store_of(path)
+            with store.open_input_stream(inner) as f:
+                start = f.read(FIRST_LINE).decode("utf-8-sig", "replace")
+            marked.append(separator(start.splitlines()[0] if start else "") is not None)
+        yield pa.record_batch({"path": batch.column("path"), "marked": pa.array(marked, pa.bool_())})
 
 
 def read_csv(spark: SparkSession, path: str | list[str], sep: str = ",", **options) -> DataFrame:
     """All columns as strings, '' where a field is empty or missing.
 
-    A first line ``sep=`` names the delimiter and is no header; the line after it is.
+    In each file a first line ``sep=`` names the delimiter and is no header; the line after it is.
+    Such files are parsed each by one task that holds the file whole, and their columns united by name with those of the others.
+    Spark reads the others; as quotes may hold line ends, each of them in one task too, unless ``multiLine=False``
+    says that they hold none, which lets large files be split.
     """
-    first = [r.value for r in spark.read.text(path).head(2)]
-    mark = first[0].lstrip("\ufeff").strip() if first else ""
-    if not mark.lower().startswith("sep="):
-        return spark.read.options(**(OPTIONS | {"sep": sep} | options)).csv(path).fillna("")
-    sep = mark[4:] or sep
-    names = next(csv.reader(first[1:], delimiter=sep), [])
-    schema = ", ".join(f"`{n}` string" for n in names)
-    rows = spark.read.options(**(OPTIONS | {"sep": sep, "header": False} | options)).schema(schema).csv(path).fillna("")
-    header = reduce(lambda a, b: a & b, [F.col(f"`{n}`") == n for n in names])
-    return rows.where(~(F.lower(F.trim(F.col(f"`{names[0]}`"))).startswith("sep=") | header))
+    listing = spark.read.format("binaryFile").options(recursiveFileLookup=True, **{k: v for k, v in options.items() if k == "pathGlobFilter"})
+    peeked = listing.load(path).where("length > 0").select("path").mapInArrow(_peek, "path string, marked boolean")
+    marked = [r.path for r in peeked.where("marked").toLocalIterator()]
+    plain = spark.read.options(**(OPTIONS | {"sep": sep} | options))
+    if not marked:
+        return plain.csv(path).fillna("")
+    frames = [read_open(spark, marked, ".", sep).drop("_path", "_idx")]
+    if others := [r.path for r in peeked.where("not marked").toLocalIterator()]:
+        frames.append(plain.csv(others))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).fillna("")
 
 
 def first_column(df: DataFrame, name: str = "smiles") -> DataFrame:
@@ -40,16 +59,16 @@ def first_column(df: DataFrame, name: str = "smiles") -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, pattern: str, missing_ok: bool = False) -> DataFrame:
-    """(path, length) of the files below ``path`` whose name matches; contents are not read.
+    """(path, length, modificationTime) of the files below ``path`` whose name matches; contents are not read.
 
     A folder that is not there is an error, or with ``missing_ok`` has no files.
     """
     try:
-        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
     except AnalysisException as e:
         if not missing_ok or e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "path string, length long")
+        return spark.createDataFrame([], "path string, length long, modificationTime timestamp")
     return found.where(F.regexp_extract(F.substring_index("path", "/", -1), pattern, 0) != "")
 
 
@@ -74,24 +93,19 @@ def libraries(spark: SparkSession, root: str, model: str | None = None) -> DataF
 
 
 def read_chunks(spark: SparkSession, path: str, pattern: str = RESULT_FILE) -> DataFrame:
-    """Numbered files under one schema, with ``chunk_no``.
+    """Numbered files under one schema, with ``chunk_no``, whatever header each of them has.
 
-    Files with the same header are read together; groups are united by name,
-    so that another order of columns does not swap them.
+    Columns are united by name, so that another order of columns does not swap them.
     """
-    files = [r.path for r in list_files(spark, path, pattern).select("path").orderBy("path").toLocalIterator()]
-    if not files:
-        return spark.createDataFrame([], "chunk_no int")
-    heads: dict[str, list[str]] = {}
-    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), "value").where("b = 0")
-    for r in lines.groupBy("f").agg(F.first("value").alias("h")).orderBy("f").collect():  # one row for each file
-        heads.setdefault(r.h, []).append(r.f)
-    parts = [read_csv(spark, fs).withColumn("chunk_no", number_in(F.col("_metadata.file_name"), pattern)) for fs in heads.values()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).fillna("")
+    rows = read_open(spark, path, pattern)
+    return rows.withColumn("chunk_no", number_in(F.substring_index("_path", "/", -1), pattern)).drop("_path", "_idx")
 
 
 def write_chunks(chunked: DataFrame, path: str, *columns: str, **options) -> None:
-    """One file for each chunk below library= and chunk_no=, rows in order."""
+    """One folder for each chunk below library= and chunk_no=, rows in order.
+
+    Spark writes them; numbered files are written by :func:`chunk_sink.export_chunks`.
+    """
     keys = [c for c in ("library", "chunk_no") if c in chunked.columns]
     placed = chunked.repartition(*keys).sortWithinPartitions(*keys, "idx").select(*keys, *columns)
     writer = placed.write.partitionBy(*keys).mode("overwrite").options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **options)
@@ -100,43 +114,13 @@ def write_chunks(chunked: DataFrame, path: str, *columns: str, **options) -> Non
     writer.csv(path)
 
 
-def export_chunks(chunked: DataFrame, path: str, library: str, *columns: str, labels: DataFrame | None = None) -> None:
-    """Files ``<library>_chunk_NNN.csv`` in ``path``, as the csv module writes them: CRLF, an
-    empty value quoted where it stands alone.
-
-    Spark writes the chunks; the files then get their names.  Chunks of ``labels``
-    (chunk_no) without rows get a file with the header alone.
-    """
-    spark = chunked.sparkSession
-    temporary = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
-    write_chunks(chunked.drop("library"), temporary, *columns, lineSep="\r\n")
-    path_, store = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, None
-    store = path_(temporary).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    written = set()
-    for status in store.globStatus(path_(f"{temporary}/chunk_no=*/part-*")):  # names, not rows
-        number = int(status.getPath().getParent().getName().partition("=")[2])
-        written.add(number)
-        target = path_(f"{path}/{library}_chunk_{number:03d}.csv")
-        store.delete(target, False)
-        store.rename(status.getPath(), target)
-    for r in labels.select("chunk_no").distinct().collect() if labels is not None else ():
-        if r.chunk_no not in written:
-            out = store.create(path_(f"{path}/{library}_chunk_{r.chunk_no:03d}.csv"), True)
-            out.write(bytearray((",".join(columns) + "\r\n").encode()))
-            out.close()
-    store.delete(path_(temporary), True)
-
-
 def read_ranges(spark: SparkSession, path: str) -> DataFrame:
-    """Fragments ``result_START_END.csv`` under one schema, with ``start``, ``end`` and ``idx``,
+    """Fragments ``result_START_END.csv`` under one schema, with ``file``, ``start``, ``end`` and ``idx``,
     the row's place in the chunk: START and its place in the file."""
-    name = F.col("_metadata.file_name")
-    number = lambda group: F.regexp_extract(name, RANGE_FILE, group).try_cast("bigint")
-    rows = read_csv(spark, path, pathGlobFilter="result_*_*.csv")
-    rows = rows.select("*", name.alias("_file"), number(1).alias("start"), number(2).alias("end"), F.monotonically_increasing_id().alias("_at")).where("start is not null")
-    # A fragment is as long as a sub-chunk at most.
-    place = F.row_number().over(Window.partitionBy("_file").orderBy("_at")) - 1
-    return rows.withColumn("idx", F.col("start") + place).drop("_file", "_at")
+    rows = read_open(spark, path, RANGE_FILE)
+    number = lambda group: F.regexp_extract(F.substring_index("_path", "/", -1), RANGE_FILE, group).cast("bigint")
+    rows = rows.withColumns({"start": number(1), "end": number(2)}).withColumn("idx", F.col("start") + F.col("_idx"))
+    return rows.withColumnRenamed("_path", "file").drop("_idx")
 
 
 def physical_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from chunklake.functions.text import all_empty, label, number_in, strip
 from chunklake.operators import chunking, merge, models, reconcile
 from chunklake.operators.columns import extract, resolve, result_columns
-from chunklake.sources import text_files
+from chunklake.sources import chunk_sink, open_files, text_files
 from chunklake.sources.archive import Layout, read_archive
 from chunklake.streaming import incremental
 
@@ -28,7 +28,8 @@ def test_resolve_prefers_the_exact_name_and_strips():
 def test_extract_drops_blank_rows_and_fills_a_missing_id(spark):
     df = spark.createDataFrame([(" C ",), (" \x1c",), (None,), ("",)], "smiles string")
     assert [tuple(r) for r in extract(df, "SMILES", "nothing").collect()] == [("C", "")]
-    assert extract(df, "nothing", None).count() == 0
+    some, none = (extract(df, name, None, F.col("smiles").alias("raw"), F.lit(1).alias("member")) for name in ("smiles", "nothing"))
+    assert none.columns == some.columns and none.count() == 0 and some.count() == 1
 
 
 def test_strip_agrees_with_python(spark):
@@ -211,11 +212,36 @@ def test_sep_lines_and_ragged_rows(spark, tmp_path):
     assert [tuple(r) for r in text_files.read_csv(spark, f"file://{tmp_path}/a.csv").collect()] == [("C", "1", ""), ("", "2", "y"), ("N", "3", "z")]
     (tmp_path / "b.csv").write_text("smiles,id\nC\n")
     assert [tuple(r) for r in text_files.first_column(text_files.read_csv(spark, f"file://{tmp_path}/b.csv"), "s").collect()] == [("C",)]
+    # Only the first line and the header are no data, in whichever file they are.
+    (tmp_path / "c.csv").write_text('sep=;\na;b\na;b\nsep=x;1\n"two\nlines";2\n')
+    got = text_files.read_csv(spark, [f"file://{tmp_path}/b.csv", f"file://{tmp_path}/c.csv"])
+    assert sorted(map(tuple, got.select("a", "b", "smiles", "id").collect())) == [("", "", "C", ""), ("a", "b", "", ""), ("sep=x", "1", "", ""), ("two\nlines", "2", "", "")]
+    (tmp_path / "none.csv").write_text("")
+    assert text_files.read_csv(spark, [f"file://{tmp_path}/none.csv", f"file://{tmp_path}/c.csv"]).count() == 3
+
+
+def test_files_of_any_header_are_one_table(spark, tmp_path):
+    heads = (("a", "b"), ("b", "c", "a"), ("d e.f'\"", "a"))
+    for i in range(1001):
+        names = heads[i % 3]
+        with (tmp_path / f"m_results_{i:03d}.csv").open("w", newline="") as f:
+            csv.writer(f).writerows([names, *([f"{n}{i}-{k}" for n in names] for k in range(i % 4))])
+    path = f"file://{tmp_path}"
+    got = text_files.read_chunks(spark, path)
+    assert set(got.columns) == {"a", "b", "c", "d e.f'\"", "chunk_no"}
+    want = {(i, *[f"{n}{i}-{k}" if n in heads[i % 3] else "" for n in ("a", "b", "c", "d e.f'\"")]) for i in range(1001) for k in range(i % 4)}
+    assert {(r["chunk_no"], r["a"], r["b"], r["c"], r["d e.f'\""]) for r in got.collect()} == want
+    rows = open_files.open_rows(spark, path)
+    assert rows.count() == len(want)
+    schema = open_files.merged_schema(rows).first().schema
+    assert all(f"{n}: STRING" in schema for n in "abc")
+    by_file = open_files.merged_schema(rows.where("path like '%_003.csv' or path like '%_001.csv'"), "path").collect()
+    assert {r.path[-7:-4]: r.schema for r in by_file} == {"003": "OBJECT<a: STRING, b: STRING>", "001": "OBJECT<a: STRING, b: STRING, c: STRING>"}
 
 
 def test_exported_chunks_are_those_of_the_csv_module(spark, tmp_path):
     rows = spark.createDataFrame([(0, 0, ' a"b'), (0, 1, ""), (1000, 0, "F/C=C\\F")], "chunk_no int, idx int, smiles string")
-    text_files.export_chunks(rows, f"file://{tmp_path}", "lib", "smiles", labels=spark.createDataFrame([(0,), (7,)], "chunk_no int"))
+    chunk_sink.export_chunks(rows, f"file://{tmp_path}", "lib", "smiles", labels=spark.createDataFrame([(0,), (7,)], "chunk_no int"))
     for name, values in (("000", [' a"b', ""]), ("007", []), ("1000", ["F/C=C\\F"])):
         with io.StringIO(newline="") as want:
             writer = csv.writer(want)

@@ -1,3 +1,4 @@
+import bz2
 import csv
 import zipfile
 
@@ -16,6 +17,9 @@ def test_catalogue(spark, tmp_path):
     with pytest.warns(UserWarning):
         got = known.read(spark, str(tmp_path), ["a.zip", "b.zip"]).collect()
     assert [(r.library, r.smiles, r.collection_id) for r in got] == [("A", "C", "2")]
+    (tmp_path / "c.bz2").write_bytes(bz2.compress(b"other\tid\nC\t7\n"))
+    known.files["c.bz2"], known.formats["w"] = ("B", "w"), Layout("whole", "\t", "S", "id")
+    assert [r.library for r in known.read(spark, str(tmp_path)).collect()] == ["A"]  # the other has no structures
     assert known.library("aY") == "A" and known.library("B") == "B"
 
 
