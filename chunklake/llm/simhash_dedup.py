@@ -42,10 +42,12 @@ BLOCK = 1 << 16
 #: Groups with more nodes than this are split further before nodes are paired.
 CROWD = 32
 #: Bands of minimum hashes, and hashes in each.
-BANDS, ROWS = 24, 6
+BANDS, ROWS = 40, 6
 
 _RANDOM = np.random.default_rng(6)
 _XOR, _TIMES = (_RANDOM.integers(0, 1 << 64, BANDS * ROWS, np.uint64) | np.uint64(odd) for odd in (0, 1))
+#: Columns of the bits of minimum hashes.
+_WORDS_OF_BITS = ("b0", "b1", "b2", "b3")
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -217,10 +219,11 @@ def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.concatenate([np.zeros(0, np.uint64), *_hashes(text, shingle)]))
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A key for each band: a hash of the band's least values over ``hashes``; none without hashes."""
+def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a set of hashes a key for each band, which is a hash of the band's least values, and a bit for each
+    least value, in four words; no keys without hashes."""
     if not len(hashes):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(4, np.uint64)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(hashes), 1024):
         np.minimum(least, ((hashes[i : i + 1024, None] ^ _XOR) * _TIMES).min(axis=0), out=least)
@@ -228,20 +231,26 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     for column in least.reshape(BANDS, ROWS).T:
         keys = (keys ^ column) * np.uint64(0x9E3779B97F4A7C15)
         keys ^= keys >> np.uint64(29)
-    return keys
+    mixed = (least ^ (least >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    bits = np.zeros(256, np.uint8)
+    bits[: len(mixed)] = mixed >> np.uint64(63)
+    return keys, np.packbits(bits).view(np.uint64)
 
 
 def _sketches(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = [shingle_set(t, shingle) for t in batch.column("text").to_pylist()]
+        made = [sketch(s) for s in sets]
+        bits = np.array([b for _, b in made], np.uint64).view(np.int64).reshape(len(sets), 4)
         columns = [
             batch.column("doc_id"),
             pa.array([len(s) for s in sets], pa.int64()),
             pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
             pa.array(np.array([_fingerprint([s]) for s in sets], np.uint64).view(np.int64)),
-            pa.array([band_keys(s).view(np.int64) for s in sets], pa.list_(pa.int64())),
+            pa.array([k.view(np.int64) for k, _ in made], pa.list_(pa.int64())),
+            *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(4)],
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "digest", "fp", "bands"])
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "size", "digest", "fp", "bands", *_WORDS_OF_BITS])
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -260,6 +269,13 @@ def allowance(similarity: float) -> int:
     return min(64, math.ceil(64 * p + 5 * math.sqrt(64 * p * (1 - p))))
 
 
+def bits_allowed(similarity: float) -> int:
+    """Bits in which sets of that similarity differ of those of their least values, and five deviations more:
+    a least value is shared with a probability of the similarity, and otherwise its bit is by chance."""
+    n, p = BANDS * ROWS, (1 - similarity) / 2
+    return math.ceil(n * p + 5 * math.sqrt(n * p * (1 - p)))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Those of ``pairs`` (a, b) whose shingle sets have the similarity, by whole sets."""
     pairs = materialize(pairs.distinct(), "candidates")
@@ -280,32 +296,35 @@ def similar_classes(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     shingle, and texts without a word are one class.  Texts with equal sets are
     one node.  At such similarities fingerprints differ in more bits than chain
     keys can hold, so nodes meet by bands of minimum hashes: at 0.8 a pair shares
-    one of the 24 with a probability of 0.9993.  Of those that meet, sizes and the pigeonring
-    filter prune before all 64 bits are compared, and whole sets decide.
+    two of the 40 with a probability of 0.9999.  Of those that meet, sizes and the pigeonring
+    filter prune before all 64 bits are compared; then 240 bits of the minimum hashes, which differ
+    more the less alike the sets are, so that few pairs under 0.6 are left, and whole sets decide.
 
     In each band's group all nodes are compared with the one that has most
     documents; then only pairs that are in different components yet, one of them
     not in that node's, are compared.  Groups with over ``CROWD`` such nodes are
-    first split by a second shared band (probability 0.993 at 0.8, 0.9999 at 0.9).
+    first split by a second shared band, which the pairs that count have in any case.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = allowance(similarity)
     docs = texts(docs)
-    made = docs.mapInArrow(lambda it: _sketches(it, shingle), "doc_id long, size long, digest binary, fp long, bands array<long>")
+    made = docs.mapInArrow(lambda it: _sketches(it, shingle), "doc_id long, size long, digest binary, fp long, bands array<long>, b0 long, b1 long, b2 long, b3 long")
     made = materialize(made, "sketches")
     members = materialize(made.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count("*").alias("n")), "shingle-nodes")
-    nodes = made.drop("digest").join(members.select("node", "n"), F.col("doc_id") == F.col("node")).select("node", "n", "size", "fp", "bands")
+    nodes = made.drop("digest").join(members.select("node", "n"), F.col("doc_id") == F.col("node")).select("node", "n", "size", "fp", "bands", *_WORDS_OF_BITS)
     nodes = materialize(nodes.repartition(parts, "node"), "sketch-nodes")
-    keyed = nodes.select("node", "n", "size", "fp", F.explode("bands").alias("key"))
+    keyed = nodes.select("node", "n", "size", "fp", *_WORDS_OF_BITS, F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").count().where("count > 1").select("key")
     met = materialize(keyed.join(shared, "key"), "bands")
 
     def near(a: str, b: str):
         sizes = F.least(f"{a}.size", f"{b}.size") >= F.greatest(f"{a}.size", f"{b}.size") * similarity
-        return sizes & _chain(F.col(f"{a}.fp"), F.col(f"{b}.fp"), limit) & _near(F.col(f"{a}.fp"), F.col(f"{b}.fp"), limit)
+        apart = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in _WORDS_OF_BITS])
+        return sizes & _chain(F.col(f"{a}.fp"), F.col(f"{b}.fp"), limit) & _near(F.col(f"{a}.fp"), F.col(f"{b}.fp"), limit) & (apart <= bits_allowed(similarity))
 
-    pivots = met.groupBy("key").agg(F.max(F.struct("n", "size", "fp", "node")).alias("p"))
-    stars = met.join(pivots, "key").select("key", "p", F.struct("size", "fp", "node").alias("m"))
+    held = ("size", "fp", "node", *_WORDS_OF_BITS)
+    pivots = met.groupBy("key").agg(F.max(F.struct("n", *held)).alias("p"))
+    stars = met.join(pivots, "key").select("key", "p", F.struct(*held).alias("m"))
     stars = stars.where((F.col("m.node") != F.col("p.node")) & near("p", "m"))
     links_ = _verified(stars.select(F.col("p.node").alias("a"), F.col("m.node").alias("b")), docs, shingle, similarity)
 
@@ -318,8 +337,8 @@ def similar_classes(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     rows = materialize(labelled.join(crowds, "key"), "rest-bands")
 
     def pairs(rows: DataFrame, on: list[str]) -> DataFrame:
-        a = rows.where("left").select(*on, F.struct("size", "fp", "node", "label").alias("x"))
-        b = rows.select(*on, F.struct("size", "fp", "node", "label", "left").alias("y"))
+        a = rows.where("left").select(*on, F.struct(*held, "label").alias("x"))
+        b = rows.select(*on, F.struct(*held, "label", "left").alias("y"))
         apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.left") | (F.col("x.node") < F.col("y.node")))
         return a.join(b, on).where(apart & near("x", "y")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 

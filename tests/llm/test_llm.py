@@ -455,7 +455,19 @@ def test_similar_prunes_no_pair():
             one, two = (np.concatenate([both, rng.integers(0, 1 << 64, own, np.uint64)]) for _ in range(2))
             a, b = (simhash_dedup._fingerprint([x]) for x in (one, two))
             assert bin(a ^ b).count("1") <= simhash_dedup.allowance(0.8)
-            assert (simhash_dedup.band_keys(one) == simhash_dedup.band_keys(two)).any()
+            (keys, bits), (others, other) = simhash_dedup.sketch(one), simhash_dedup.sketch(two)
+            # Two bands: that is what pairs in crowded groups need.
+            assert (keys == others).sum() >= 2
+            assert bin(int.from_bytes((bits ^ other).tobytes(), "little")).count("1") <= simhash_dedup.bits_allowed(0.8)
+
+
+def test_bits_of_minimum_hashes_tell_half_alike_sets():
+    rng, left = np.random.default_rng(2), 0
+    for _ in range(200):
+        both = rng.integers(0, 1 << 64, 200, np.uint64)
+        (_, a), (_, b) = (simhash_dedup.sketch(np.concatenate([both, rng.integers(0, 1 << 64, 100, np.uint64)])) for _ in range(2))
+        left += bin(int.from_bytes((a ^ b).tobytes(), "little")).count("1") <= simhash_dedup.bits_allowed(0.8)
+    assert left < 20  # of pairs at 0.5
 
 
 def test_similar_keeps_one_row_of_each_class(spark, docs, empty):
@@ -528,63 +540,76 @@ def test_substrings_odd_rows(docs, empty):
 # 8
 
 
+def _arrays(counts):
+    return np.array([*counts], np.int64), np.array([*counts.values()], np.int64)
+
+
 def _dense(index, rows, counts):
     """Cosines with all examples, from their counts."""
 
     def vector(c):
-        v = {f: (1 + np.log(n)) * index.idf[f] for f, n in c.items()}
+        v = {f: (1 + np.log(n)) * index.factor[f] for f, n in c.items()}
         size = np.sqrt(sum(x * x for x in v.values()))
         return {f: x / size for f, x in v.items()}
 
     own = vector(counts)
-    return {i: sum(x * vector(c).get(f, 0) for f, x in own.items()) if c else 0.0 for i, _, c in rows}
+    return {i: sum(x * w for f, w in vector(c).items() if (x := own.get(f))) if c else 0.0 for i, _, c in rows}
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("common", [16, 3, 1, 10**6])
+def test_block_max_search_is_exact(monkeypatch, common):
+    monkeypatch.setattr(toxicity, "COMMON", common)
     rng = np.random.default_rng(1)
-    rows = [(i, int(rng.random() < 0.2), {int(f): int(n) for f, n in zip(rng.choice(50, 5, replace=False), rng.integers(1, 4, 5), strict=True)} if i % 9 else {}) for i in range(500)]
-    index = toxicity.Index({f"f{i}": i for i in range(50)}, rng.integers(1, 400, 50).astype(float), 500, rows, 0.2)
+    chance = 1 / np.arange(1, 51)
+    rows = [(i, int(rng.random() < 0.2), {int(f): int(n) for f, n in zip(rng.choice(50, 5, replace=False, p=chance / chance.sum()), rng.integers(1, 4, 5), strict=True)} if i % 9 else {}) for i in range(500)]
+    index = toxicity.Index({f"f{i}": i for i in range(50)}, rng.integers(1, 400, 50).astype(float), 500, [(i, y, _arrays(c)) for i, y, c in rows], 0.2, tie=rng.random(50) ** 4 + 0.01)
     for _, _, counts in rows[:60]:
         if counts:
             all_ = _dense(index, rows, counts)
-            at, sims = index.nearest(counts)
+            at, sims = index.nearest(_arrays(counts))
             assert np.allclose(sims, sorted(all_.values(), reverse=True)[: len(sims)]) and len(sims) == toxicity.NEAREST
             assert np.allclose(sims, [all_[i] for i in index.ids[at]])
-            got, evidence = index.score(counts)
+            got, evidence = index.score(_arrays(counts))
             assert got == pytest.approx(_vote(index, rows, counts)) and evidence == index.ids[at[:3]].tolist()
     # No other slope or shift fits the examples, each scored without itself, better.
-    x = np.array([index._logit(*index.nearest(c, skip=i)) for i, _, c in rows if c])
+    x = np.array([index._logit(*index.nearest(_arrays(c), skip=i)) for i, _, c in rows if c])
     y = np.array([t for _, t, c in rows if c])
     loss = lambda a, b: (index.weight[y] * np.log1p(np.exp(-(2 * y - 1) * (a * x + b)))).sum() + ((a - 1) ** 2 + b * b) / 2
     best = loss(index.slope, index.shift)
     assert index.slope == 1 or all(best <= loss(index.slope + da, index.shift + db) for da in (-0.01, 0, 0.01) for db in (-0.01, 0, 0.01))
 
 
-def test_telling_features():
-    from fractions import Fraction
-    from math import comb
-
-    counts, n1, n0 = {(0, 1): 500, (1, 0): 200, (6, 0): 8, (0, 30): 3, (4, 1): 2, (30, 70): 1}, 40, 60
-
-    def p(a, b):
-        bias, n = Fraction(n1, n1 + n0), a + b
-        tail = lambda ks: sum(comb(n, k) * bias**k * (1 - bias) ** (n - k) for k in ks)
-        return min(1, 2 * min(tail(range(a, n + 1)), tail(range(a + 1))))
-
-    ps = sorted(p(*k) for k, n in counts.items() for _ in range(n))
-    most = max((x for i, x in enumerate(ps, 1) if x <= 0.2 * i / len(ps)), default=-1)
-    assert toxicity.telling(counts, n1, n0, 0.2) == {k for k in counts if p(*k) <= most} != set()
-    assert toxicity.telling({}, 3, 4) == set() and toxicity.telling(counts, 0, 5) == set()
+def test_ties_grow_with_evidence():
+    p, q = np.array([0.0, 1, 5, 30, 30, 0, 3]), np.array([0.0, 0, 0, 30, 0, 30, 3])
+    got = toxicity.ties(p, q, 40, 60)
+    assert (got >= toxicity.LEAST).all() and got[0] < 0.02 and got[1] < 0.05 < got[2] < got[4]
+    assert got[4] > 10 and got[5] > 3 and got[3] < 0.5 and got[6] < 0.02  # half the others hold the fourth, too
+    a, b, z = np.log(30.5 / 10.5) - np.log(0.5 / 60.5), 1 / 30.5 + 1 / 10.5 + 2 + 1 / 60.5, toxicity.HALF**4
+    assert got[4] == pytest.approx(toxicity.LEAST + a * a * (a * a / b) ** 2 / ((a * a / b) ** 2 + z))
+    assert len(toxicity.ties(np.zeros(0), np.zeros(0), 0, 0)) == 0
 
 
 def test_counts_are_those_of_features():
     rng = random.Random(2)
-    texts_ = [" ".join("".join(rng.choice("abAé") for _ in range(rng.randint(1, 10))) for _ in range(200)) for _ in range(20)]
+    texts_ = [" ".join("".join(rng.choice("abAé") for _ in range(rng.randint(1, 3))) for _ in range(200)) for _ in range(20)]
     every = sorted({f for t in texts_[:10] for f in toxicity.features(t)})
-    vocabulary = {f: i for i, f in enumerate(rng.sample(every, 60))}
+    vocabulary = {f: i for i, f in enumerate(rng.sample(every, 30))}
     count = toxicity.counter(vocabulary)
     for t in texts_:
-        assert count(t) == {vocabulary[f]: n for f, n in toxicity.features(t).items() if f in vocabulary}
+        assert dict(zip(*(x.tolist() for x in count(t)), strict=True)) == {vocabulary[f]: n for f, n in toxicity.features(t).items() if f in vocabulary}
+
+
+def test_very_long_texts_are_scored_whole(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("klmnop") for _ in range(4))
+    rows = [(i, " ".join([word() for _ in range(30)] + ["scumbag"] * 2 * (i % 2))) for i in range(200)]
+    long = " ".join(word() for _ in range(60_000))
+    rows += [(1000, long), (1001, long + " scumbag" * 9000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(1001, 1)], "doc_id long, toxic int")
+    index = toxicity.fit(table(spark, rows), labels)
+    got = {r.doc_id: r.score for r in toxicity.score(table(spark, rows), index).collect()}
+    assert len(index.ids) == 200  # the long one is no example
+    assert got[1001] > got[1000] and got[1001] == pytest.approx(index.score(toxicity.counter(index.vocabulary)(rows[-1][1]))[0])
 
 
 def test_toxicity(spark, docs, empty):
@@ -602,7 +627,7 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.score(docs, index).where("score >= 0 and score <= 1").count() == len(ODD)
     # A repeated id gives an example for each row, and no more than the bound.
     twice = toxicity.fit(table(spark, rows + rows[:50]), labels, examples=100)
-    assert sum(y for _, y, _ in toxicity.learn(toxicity.keyed_rows(table(spark, rows + rows[:50])), labels, 100).rows) == 50 and twice.vocabulary
+    assert sum(y for _, y, _ in toxicity.learn(toxicity.keyed_rows(table(spark, rows + rows[:50])), labels, 100).rows) == 50 and len(twice.ids) == 100
     nothing = toxicity.fit(empty, labels.where("false"))
     assert toxicity.score(empty, nothing).count() == 0 and toxicity.score(docs, nothing).count() == len(ODD)
 
