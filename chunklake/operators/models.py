@@ -17,8 +17,8 @@ from chunklake.sources.shared import materialize
 OK, FAIL, SKIP, UNREPRODUCED = "OK", "FAIL", "SKIP", "UNREPRODUCED"
 #: A range of several rows that failed and is split in the next round.
 SPLIT = "SPLIT"
-#: Tasks of a round at most.
-TASKS = 10_000
+#: Tasks of a round for each core, at most: enough to even out ranges that take long, and few where they don't.
+TASKS = 3
 
 
 def as_text(out: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
@@ -79,7 +79,7 @@ def score(chunked: DataFrame, value: str, model: Model, columns: list[str], keys
 
 
 def _try_ranges(work: DataFrame, ranges: int, value: str, model: Model, columns: list[str], keys: tuple[str, ...], seconds: float | None) -> DataFrame:
-    """Each range of ``work`` (keys, _start, _end) run once, in as many tasks as there are ranges."""
+    """Each range of ``work`` (keys, _start, _end) run once; ranges are dealt out over all cores."""
     spark = work.sparkSession
 
     def one(frame: pd.DataFrame) -> pd.DataFrame:
@@ -90,7 +90,7 @@ def _try_ranges(work: DataFrame, ranges: int, value: str, model: Model, columns:
         got = as_text(pd.DataFrame(index=frame.index) if out is None else out, columns)
         return pd.concat([frame, got], axis=1).assign(_verdict=verdict, _why=why, _task=TaskContext.get().partitionId())
 
-    tasks = max(1, min(TASKS, max(spark.sparkContext.defaultParallelism, ranges)))
+    tasks = max(1, min(ranges, TASKS * spark.sparkContext.defaultParallelism))
     # A given number of partitions: ranges are few bytes and much work, and are not to be put together.
     dealt = work.repartition(tasks, *keys, "_start")
     return dealt.groupBy(*keys, "_start", "_end").applyInPandas(one, _schema(work, *[f"`{c}` string" for c in columns], "_verdict string", "_why string", "_task int"))

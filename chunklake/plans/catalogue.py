@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.functions.text import CHUNK_FILE, all_empty, message, number_in, relative, shorten
-from chunklake.operators import chunking, fragments, merge, models, reconcile
+from chunklake.operators import chunking, fragments, merge, models, reconcile, runs
 from chunklake.operators.columns import extract
 from chunklake.operators.runners import Command
 from chunklake.sources import chunk_sink, text_files
@@ -636,3 +636,23 @@ def Q60_attempts(spark, d):
     while incremental.attempt(rows, "c_custkey", run, target):
         turn += 1
     return incremental.attempt_states(rows, "c_custkey", spark.read.parquet(target)).select("c_custkey", "tries", "state")
+
+
+@_query(f"""SELECT doc_id, chunk_no, status, n, CASE WHEN fresh THEN 'second' ELSE 'first' END AS run FROM (
+SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // 100)::INT AS chunk_no, status, CASE status WHEN 'OK' THEN length(text)::VARCHAR ELSE '' END AS n FROM ({_V}))
+JOIN (SELECT chunk_no, chunk_no % 4 = 1 OR bool_or(doc_id % 301 = 2) AS fresh FROM (SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // 100)::INT AS chunk_no FROM documents) GROUP BY 1) USING (chunk_no)""")
+def Q61_results_up_to_date(spark, d):
+    """A model run twice: between, chunks came and some rows changed; only those chunks are run again."""
+    target = f"{_folder(spark)}/results"
+    docs = chunking.chunk(_t(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id", size=100)
+    before = docs.where("chunk_no % 4 <> 1").withColumn("text", F.when(F.col("doc_id") % 301 == 2, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+
+    def tagged(run):
+        return lambda values: length_model(values).assign(run=run)
+
+    for rows, run in ((before, "first"), (docs, "second")):
+        runs.bring_up_to_date(rows, target, "text", tagged(run), ["n", "run"], carry=("doc_id",))
+    found = runs.results(spark, target)
+    # Rows that fail or are skipped have no model's columns: their chunk tells the run.
+    ran = found.where("run <> ''").groupBy("chunk_no").agg(F.min("run").alias("run"))
+    return found.drop("run").join(ran, "chunk_no").select("doc_id", "chunk_no", "status", "n", "run")

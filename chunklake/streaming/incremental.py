@@ -30,14 +30,15 @@ def write_batch(batch: DataFrame, number: int, target: str) -> None:
     batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
 
-def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+def ingest(spark: SparkSession, source: str, schema: str, target: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], at_once: int | None = None) -> StreamingQuery:
     """Read the parquet files below ``source`` that are new since the last run, and add
     ``transform`` of them to ``target``, each row once.  Ends when all are read.
 
-    ``target`` has the column ``batch`` besides.  A file rewritten under its name is not read again:
+    ``target`` has the column ``batch`` besides.  A batch has ``at_once`` files at most.  A file rewritten under its name is not read again:
     :func:`ingest_files` does that.
     """
-    stream = transform(spark.readStream.schema(schema).parquet(source))
+    options = {} if at_once is None else {"maxFilesPerTrigger": at_once}
+    stream = transform(spark.readStream.schema(schema).options(**options).parquet(source))
     writer = stream.writeStream.foreachBatch(lambda batch, number: write_batch(batch, number, target))
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

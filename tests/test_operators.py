@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from chunklake.functions.text import all_empty, label, number_in, strip
 from chunklake.operators import chunking, merge, models, reconcile
-from chunklake.operators.columns import extract, resolve, result_columns
-from chunklake.sources import chunk_sink, open_files, text_files
+from chunklake.operators.columns import detect, extract, resolve, result_columns
+from chunklake.sources import archive, chunk_sink, open_files, text_files
 from chunklake.sources.archive import Layout, read_archive
 from chunklake.streaming import incremental
 
@@ -25,6 +25,20 @@ def test_resolve_prefers_the_exact_name_and_strips():
     assert result_columns(["Key", " input", "x", "SMILES"]) == ["x"]
 
 
+def test_structure_columns_are_found_by_name():
+    assert detect(["id", " SMILES ", "input"]) == " SMILES " and detect(["Input", "canonical_smiles"]) == "Input"
+    assert detect(["id", "name"]) is None and detect([]) is None and detect(["x", "Name"], ("name",)) == "Name"
+
+
+def test_members_by_their_suffixes(tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for name in ("b.TXT.GZ", "a.txt.gz", "c.txt", "__MACOSX/d.txt.gz", "e/f.txt.gz", "dir.txt.gz/"):
+            z.writestr(name, b"x")
+    names = lambda layout: [m.name for m in archive.members(str(tmp_path / "a.zip"), layout)]
+    assert names(Layout("each", ",", "s", "i", (".txt.gz",))) == ["a.txt.gz", "b.TXT.GZ", "e/f.txt.gz"]
+    assert names(Layout("largest", ",", "s", "i", (".none",))) == [] and len(names(Layout("largest", ",", "s", "i"))) == 1
+
+
 def test_extract_drops_blank_rows_and_fills_a_missing_id(spark):
     df = spark.createDataFrame([(" C ",), (" \x1c",), (None,), ("",)], "smiles string")
     assert [tuple(r) for r in extract(df, "SMILES", "nothing").collect()] == [("C", "")]

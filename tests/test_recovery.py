@@ -10,11 +10,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from chunklake.operators import fragments, models, reconcile
+from chunklake.operators import fragments, models, reconcile, runs
 from chunklake.operators.runners import Command, ModelFailure, trials
 from chunklake.sources import chunk_sink, published
 from chunklake.sources.archive import Layout, archives_of
-from chunklake.streaming import incremental
+from chunklake.streaming import incremental, progress
 
 
 def command(code, **options):
@@ -324,6 +324,29 @@ def test_a_stream_ended_between_write_and_commit(spark, tmp_path, monkeypatch):
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(9))
 
 
+def test_progress_of_a_stream_and_of_a_query(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    src, told = f"file://{tmp_path}/src", []
+    for n in (3, 40, 7, 5):
+        spark.range(n).select(F.when(F.col("id") % 4 == 0, "A").when(F.col("id") % 4 == 1, "B").when(F.col("id") % 4 == 2, "C").alias("lib")).coalesce(1).write.mode("append").parquet(src)
+    listener = progress.Progress(lambda name, n: told.append((name, n)), every=5)
+    spark.streams.addListener(listener)
+    try:
+        incremental.ingest(spark, src, "lib string", f"file://{tmp_path}/out", f"file://{tmp_path}/ck", lambda s: progress.observed(s, "lib", ["A", "B"]), at_once=1).awaitTermination()
+        for _ in range(100):
+            if sum(listener.counts.values()) == 55 and told and dict(told).keys() == {"A", "B", ""} and told[-1][1] == listener.counts[told[-1][0]]:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.counts == {"A": 15, "B": 14, "": 26} and spark.read.parquet(f"{tmp_path}/out").count() == 55
+    assert dict(told) == listener.counts and len(told) >= 3  # the last report of each is what it has
+    seen = Observation()
+    progress.observed(spark.read.parquet(src), "lib", ["A", "B"], seen).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"A": 15, "B": 14, "": 26}
+
+
 def test_attempts_end_done_or_quarantined(spark, tmp_path):
     target, rows, seen = f"file://{tmp_path}/t", spark.range(6).withColumnRenamed("id", "k"), []
 
@@ -357,3 +380,24 @@ def test_verdict_and_vector_counts(spark):
     assert tuple(reconcile.verdict(rows, F.col("v").isNotNull()).first()) == (3, 2, True)
     assert tuple(reconcile.verdict(rows, F.col("g").isNotNull()).first()) == (3, 3, False)
     assert tuple(reconcile.verdict(rows.limit(0), F.col("g").isNotNull()).first()) == (0, 0, False)
+
+
+def test_results_are_kept_up_to_date(spark, tmp_path, monkeypatch):
+    target, model = f"file://{tmp_path}/t", _make_model()
+    schema = "chunk_no int, idx int, v string"
+    first = [(c, i, f"v{c}{i}") for c in range(4) for i in range(5)] + [(4, 0, "bad"), (4, 1, "ok")]
+    up = lambda rows: runs.bring_up_to_date(spark.createDataFrame(rows, schema).repartition(3), target, "v", model, ["n"])
+    got = lambda: sorted((r.chunk_no, r.idx, r.v, r.n, r.status) for r in runs.results(spark, target).collect())
+    want = lambda rows: sorted((c, i, v, "" if v == "bad" else str(len(v)), "FAIL" if v == "bad" else "OK") for c, i, v in rows)
+    assert up(first) == {"VALID": 0, "STALE": 0, "MISSING": 5, "ORPHANED": 0} and got() == want(first)
+    assert up(first[::-1]) == {"VALID": 5, "STALE": 0, "MISSING": 0, "ORPHANED": 0}
+    second = [(c, i, v + "!" if (c, i) == (1, 3) else v) for c, i, v in first if c != 2] + [(9, 0, "new")]
+    second = [(c, {0: 1, 1: 0}.get(i, i) if c == 3 else i, v) for c, i, v in second]  # rows changed places
+    with monkeypatch.context() as m:
+        m.setattr(runs, "publish", lambda *_, **__: (_ for _ in ()).throw(RuntimeError("ended")))
+        with pytest.raises(RuntimeError):
+            up(second)
+    assert got() == want(first)
+    states = {r.chunk_no: r.status for r in runs.due(spark.createDataFrame(second, schema), target, "v").collect()}
+    assert states == {0: "VALID", 1: "STALE", 2: "ORPHANED", 3: "STALE", 4: "VALID", 9: "MISSING"}
+    assert up(second) == {"VALID": 2, "STALE": 2, "MISSING": 1, "ORPHANED": 1} and got() == want(second)
