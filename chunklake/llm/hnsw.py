@@ -1,9 +1,9 @@
 """Nearest neighbours by a hierarchical navigable small-world graph per shard (operator 1).
 
 Vectors are dealt by hash into shards of bounded size.  A shard's graph is built
-in one task: each node, in the order of insertion, is linked to neighbours among
-the nodes before it, found exactly by blocks of distances and thinned so that
-links go in different directions; layers above hold geometrically fewer nodes.
+in one task, from the top layer down: nodes are inserted block by block, each linked to
+neighbours that a walk through the graph as it is so far finds, or that are before it in its
+block, thinned so that links go in different directions; layers above hold geometrically fewer nodes.
 Graphs are stored as flat neighbour arrays.  Blocks of queries walk each shard's
 graph together, and the shards' results are merged.
 """
@@ -25,6 +25,8 @@ SHARD = 8192
 QUERIES_TOGETHER, QUERIES_A_COPY = 1024, 1 << 15
 LINKS = 16
 BUILD, BEAM = 48, 128
+#: Nodes that are inserted together: at first, and at most.
+FIRST, INSERTED = 128, 1024
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -49,50 +51,65 @@ def _thin(vectors: np.ndarray, near: np.ndarray, dist: np.ndarray, limit: int) -
     return np.take_along_axis(near, first, 1)
 
 
-def _layer(vectors: np.ndarray, links: int, most: int) -> np.ndarray:
-    """Neighbours of each vector of a layer, in order of insertion; ``most`` columns, -1: none."""
-    n = len(vectors)
-    chosen = np.full((n, links), -1, np.int32)
-    for a in range(0, n, 256):
-        b = min(n, a + 256)
-        d = _distances(vectors[a:b], vectors[:b])
-        d[np.arange(b) >= np.arange(a, b)[:, None]] = np.inf
-        c = min(BUILD, b)
-        near = np.argpartition(d, c - 1, axis=1)[:, :c]
-        dist = np.take_along_axis(d, near, 1)
-        order = np.argsort(dist, axis=1, kind="stable")
-        near, dist = np.take_along_axis(near, order, 1), np.take_along_axis(dist, order, 1)
-        got = _thin(vectors, np.where(np.isinf(dist), -1, near), dist, links)
-        chosen[a:b, : got.shape[1]] = got
-    u, v = np.repeat(np.arange(n), links), chosen.ravel()
-    u, v = u[v >= 0], v[v >= 0]
-    u, v = np.concatenate([u, v]), np.concatenate([v, u])
-    d = ((vectors[u] - vectors[v]) ** 2).sum(1)
-    order = np.lexsort((v, d, u))
-    u, v, d = u[order], v[order], d[order]
-    place = np.arange(len(u)) - np.searchsorted(u, u)
+def _join(vectors: np.ndarray, near: np.ndarray, u: np.ndarray, v: np.ndarray) -> None:
+    """Add v to the neighbours of u, for each pair, and thin those of every u that gets more than it may have."""
+    most, at = near.shape[1], np.unique(u)
+    old = near[at]
+    one, two = np.concatenate([np.repeat(at, most)[old.ravel() >= 0], u]), np.concatenate([old[old >= 0], v])
+    d = ((vectors[one] - vectors[two]) ** 2).sum(1)
+    order = np.lexsort((two, d, one))
+    one, two, d = one[order], two[order], d[order]
+    row, place = np.searchsorted(at, one), np.arange(len(one)) - np.searchsorted(one, one)
     wide = min(int(place.max(initial=0)) + 1, 4 * most)
-    near, dist = np.full((n, wide), -1, np.int32), np.full((n, wide), np.inf, np.float32)
+    found, dist = np.full((len(at), wide), -1, np.int32), np.full((len(at), wide), np.inf, np.float32)
     keep = place < wide
-    near[u[keep], place[keep]], dist[u[keep], place[keep]] = v[keep], d[keep]
-    out = np.full((n, most), -1, np.int32)
-    for a in range(0, n, 256):
-        got = _thin(vectors, near[a : a + 256], dist[a : a + 256], most)
-        out[a : a + 256, : got.shape[1]] = got
-    return out
-
-
-def build(vectors: np.ndarray, levels: np.ndarray, links: int = LINKS) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(nodes, neighbours) of each layer, the lowest first."""
-    layers = []
-    for level in range(int(levels.max(initial=0)) + 1):
-        nodes = np.flatnonzero(levels >= level).astype(np.int32)
-        near = _layer(vectors[nodes], links, 2 * links if level == 0 else links)
-        layers.append((nodes, np.where(near < 0, -1, nodes[near]).astype(np.int32)))
+    found[row[keep], place[keep]], dist[row[keep], place[keep]] = two[keep], d[keep]
+    for a in range(0, len(at), 256):
+        got = _thin(vectors, found[a : a + 256], dist[a : a + 256], most)
+        near[at[a : a + 256], : got.shape[1]] = got
+        near[at[a : a + 256], got.shape[1] :] = -1
+
+
+def _grow(vectors: np.ndarray, upper: list[np.ndarray], links: int, most: int) -> np.ndarray:
+    """Neighbours of each node of a layer, ``most`` at most (-1: none), inserted block by block.
+
+    A new node's candidates are what a walk through the ``upper`` layers and the layer as it is so far finds,
+    and the nodes before it in its own block.
+    """
+    n, near, have = len(vectors), np.full((len(vectors), most), -1, np.int32), 0
+    while have < n:
+        end = min(n, have + max(FIRST, min(have // 2, INSERTED)))
+        d = _distances(vectors[have:end], vectors[have:end])
+        d[np.triu_indices(end - have)] = np.inf
+        c = min(BUILD, end - have)
+        found = np.argpartition(d, c - 1, axis=1)[:, :c]
+        dist = np.take_along_axis(d, found, 1)
+        found = np.where(np.isinf(dist), -1, found + have).astype(np.int32)
+        if have:
+            # Nodes are in the order of their levels: an upper layer's are the first of this one.
+            walked = search(vectors[:have], [near[:have], *(upper if upper and len(upper[0]) <= have else [])], vectors[have:end], BUILD)
+            to = ((vectors[np.maximum(walked, 0)] - vectors[have:end, None]) ** 2).sum(2)
+            found, dist = np.concatenate([found, walked], 1), np.concatenate([dist, np.where(walked < 0, np.inf, to)], 1)
+        order = np.argsort(dist, axis=1, kind="stable")[:, :BUILD]
+        chosen = np.concatenate([_thin(vectors, f, x, links) for f, x in ((np.take_along_axis(found, order, 1)[a : a + 256], np.take_along_axis(dist, order, 1)[a : a + 256]) for a in range(0, end - have, 256))])
+        u, v = np.repeat(np.arange(have, end), chosen.shape[1]), chosen.ravel()
+        u, v = u[v >= 0], v[v >= 0]
+        if len(u):
+            _join(vectors, near, np.concatenate([u, v]), np.concatenate([v, u]))
+        have = end
+    return near
+
+
+def build(vectors: np.ndarray, sizes: list[int], links: int = LINKS) -> list[np.ndarray]:
+    """Neighbours in each layer, the lowest first.  A layer has the first of the nodes, as many as
+    ``sizes`` says; the lowest has all."""
+    layers: list[np.ndarray] = []
+    for level in reversed(range(len(sizes))):
+        layers.insert(0, _grow(vectors[: sizes[level]], layers, links, links if level else 2 * links))
     return layers
 
 
-def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], queries: np.ndarray, beam: int = BEAM) -> np.ndarray:
+def search(vectors: np.ndarray, layers: list[np.ndarray], queries: np.ndarray, beam: int = BEAM) -> np.ndarray:
     """The ``beam`` nearest nodes that each query's walk finds, nearest first (-1: none)."""
     q, n = len(queries), len(vectors)
     squares = (vectors * vectors).sum(1)
@@ -102,20 +119,18 @@ def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], que
         d = squares[at] - 2 * np.matmul(vectors[at], queries[:, :, None])[:, :, 0]
         return np.where(nodes < 0, np.inf, d)
 
-    here = np.full((q, 1), layers[-1][0][0], np.int32)
+    here = np.zeros((q, 1), np.int32)
     best = to(here)
-    for nodes, near in reversed(layers[1:]):
-        where = np.zeros(n, np.int32)
-        where[nodes] = np.arange(len(nodes))
+    for near in reversed(layers[1:]):
         while True:
-            around = near[where[here[:, 0]]]
+            around = near[here[:, 0]]
             d = to(around)
             k = d.argmin(1)[:, None]
             closer = np.take_along_axis(d, k, 1) < best
             if not closer.any():
                 break
             here, best = np.where(closer, np.take_along_axis(around, k, 1), here), np.where(closer, np.take_along_axis(d, k, 1), best)
-    near = layers[0][1]
+    near = layers[0]
     seen = np.zeros((q, n + 1), bool)
     rows = np.arange(q)[:, None]
     seen[rows, here] = True
@@ -141,7 +156,7 @@ def search(vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray]], que
     return nodes
 
 
-_GRAPH = "dim int, shard long, width int, vectors binary, offsets binary, ids binary, sizes array<int>, nodes array<binary>, near array<binary>"
+_GRAPH = "dim int, shard long, width int, vectors binary, offsets binary, ids binary, sizes array<int>, near array<binary>"
 
 
 def _walked(vectors: np.ndarray) -> np.ndarray:
@@ -152,7 +167,8 @@ def _walked(vectors: np.ndarray) -> np.ndarray:
 
 
 def _build(frame: pd.DataFrame, k: int) -> pd.DataFrame:
-    """One shard: equal vectors are one node, with its k + 1 least ids."""
+    """One shard: equal vectors are one node, with 2 k rows of its least ids, at most k of one id, so that
+    k are left without those of any one id."""
     frame = frame.sort_values("vec_id")
     all_ = np.stack(frame["embedding"].to_numpy()).astype(np.float64) + 0.0
     # Vectors are kept as they are given: in 4 bytes a component where that is exact.
@@ -162,20 +178,21 @@ def _build(frame: pd.DataFrame, k: int) -> pd.DataFrame:
     _, first, node = np.unique(all_.view(f"V{all_.shape[1] * all_.itemsize}").ravel(), return_index=True, return_inverse=True)
     vectors = all_[first]
     order = np.argsort(node, kind="stable")
-    place = np.arange(len(node)) - np.searchsorted(node[order], node[order])
-    order = order[place <= k]
+    own = frame["vec_id"].to_numpy()[order]
+    first_of_id = np.flatnonzero(np.concatenate([[True], (np.diff(node[order]) != 0) | (np.diff(own) != 0)]))
+    order = order[np.arange(len(order)) - np.repeat(first_of_id, np.diff(np.append(first_of_id, len(order)))) < k]
+    order = order[np.arange(len(order)) - np.searchsorted(node[order], node[order]) < 2 * k]
     offsets = np.searchsorted(node[order], np.arange(len(first) + 1))
-    # Nodes are inserted in a fixed random order, which also gives their levels.
-    mix = np.random.default_rng(1).permutation(len(first))
-    vectors = vectors[mix]
+    # Nodes get levels at random, always the same, and are in the order of their levels.
+    levels = np.floor(-np.log(np.maximum(np.random.default_rng(2).random(len(first)), 1e-12)) / math.log(LINKS)).astype(int)
+    mix = np.lexsort((np.random.default_rng(1).permutation(len(first)), -levels))
+    vectors, levels = vectors[mix], levels[mix]
     ids = [frame["vec_id"].to_numpy()[order[offsets[i] : offsets[i + 1]]] for i in mix]
-    u = np.random.default_rng(2).random(len(mix))
-    levels = np.floor(-np.log(np.maximum(u, 1e-12)) / math.log(LINKS)).astype(int)
-    layers = build(_walked(vectors), levels)
+    layers = build(_walked(vectors), [int((levels >= k).sum()) for k in range(levels[0] + 1)])
     return pd.DataFrame([{
         "dim": vectors.shape[1], "shard": frame["shard"].iloc[0], "width": vectors.itemsize, "vectors": vectors.tobytes(),
         "offsets": np.cumsum([0, *map(len, ids)]).astype(np.int64).tobytes(), "ids": np.concatenate(ids).astype(np.int64).tobytes(),
-        "sizes": [len(n) for n, _ in layers], "nodes": [n.tobytes() for n, _ in layers], "near": [m.tobytes() for _, m in layers],
+        "sizes": [len(m) for m in layers], "near": [m.tobytes() for m in layers],
     }])
 
 
@@ -185,7 +202,7 @@ def _search(queries: pd.DataFrame, graphs: pd.DataFrame, k: int) -> pd.DataFrame
         g = graphs.iloc[0]
         vectors = np.frombuffer(g["vectors"], f"f{g['width']}").reshape(-1, g["dim"])
         offsets, ids = np.frombuffer(g["offsets"], np.int64), np.frombuffer(g["ids"], np.int64)
-        layers = [(np.frombuffer(n, np.int32), np.frombuffer(m, np.int32).reshape(s, -1)) for s, n, m in zip(g["sizes"], g["nodes"], g["near"], strict=True)]
+        layers = [np.frombuffer(m, np.int32).reshape(s, -1) for s, m in zip(g["sizes"], g["near"], strict=True)]
         most = float(np.abs(vectors).max(initial=0))
         walked, scale = _walked(vectors), most if most > 1e15 else 1.0
         owns, all_asked = queries["query_id"].to_numpy(), queries["embedding"].to_numpy()
@@ -226,7 +243,7 @@ def nearest(queries: DataFrame, vectors: DataFrame, k: int = 10, shard: int = SH
 
     Null, zero and non-finite vectors take no part.  Vectors meet queries of
     their own dimension.  Rows that share a vec_id are candidates each; of equal
-    vectors in a shard, the k + 1 least ids.  Scores are in double precision on
+    vectors in a shard, as many of the least ids as k neighbours of any row may need.  Scores are in double precision on
     the vectors as given, float or double.
     """
     graphs, shards = index(vectors, shard, k)
