@@ -55,6 +55,8 @@ def mix(docs: DataFrame, seed: int = 4, weights: tuple[int, ...] = WEIGHTS, most
     ones before it end, so that no source has to fit into a task.
     """
     sized = texts(docs, "source").select("doc_id", "source", F.regexp_count("text", F.lit(WORD)).cast("long").alias("size"), F.xxhash64("text").alias("h"))
+    # Written first: sorting reads its rows twice, and words are counted once.
+    sized = materialize(sized, "word-counts")
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = ["source", "size", "doc_id", "h"]
     placed = sized.repartitionByRange(parts, *order).sortWithinPartitions(*order)
