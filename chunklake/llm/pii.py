@@ -80,7 +80,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-_SECRET = re.compile(r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{16,128}|AKIA[0-9A-Z]{16}")
+_SECRET = re.compile(r"(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{16,}|AKIA[0-9A-Z]{16}")
 _NAMED = re.compile(r"[A-Za-z][A-Za-z0-9_.-]*[=:]+")
 _PREFIX = re.compile(r"[A-Za-z]{2,4}[_-]?")
 _RUNS = re.compile(r"[^\W\d_]+|\d+|\s+")
@@ -162,7 +162,8 @@ def tokens(text: str, base: list[tuple[int, int, int]]) -> list[dict]:
             while start < end and not text[start].isalnum():
                 start += 1
             note(BASE if _SECRET.fullmatch(text, start, end) else None, start, end)
-            more = [f"{text[name.start() : start].lower()}_"] if name and len(name.group()) <= SPELLED else []
+            named = text[name.start() : start].lower() if name else ""
+            more = [f"{named if len(named) <= SPELLED else '#' + _hash(named)}_"] if name else []
             prefix = _PREFIX.match(text, start, end)
             out[-1]["patterns"] += [*more, *([f"{prefix.group()}..."] if prefix and prefix.end() < end else [])]
     return out
