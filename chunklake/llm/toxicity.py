@@ -33,7 +33,7 @@ from chunklake.llm.common import keyed_rows, materialize, table
 #: Labelled texts that are kept as examples, at most, half of them toxic; longer ones, in characters, are no examples.
 EXAMPLES, LONGEST = 4096, 1 << 16
 NEAREST = 15
-BLOCK = 64
+BLOCK = 16
 #: Words that more than one in so many examples hold have a row in the matrix.
 COMMON = 16
 #: Weight of a word without a tie to the label; log odds of so many deviations keep half their weight.
@@ -57,8 +57,9 @@ def counter(vocabulary: dict[str, int]):
     """A function that counts a text's words that the vocabulary has."""
 
     def count(text: str) -> Counts:
-        found = [(f, n) for w, n in features(text).items() if (f := vocabulary.get(w)) is not None]
-        return np.array([f for f, _ in found], np.int64), np.array([n for _, n in found], np.int64)
+        found = Counter(map(vocabulary.get, _WORDS.findall(text.lower())))
+        found.pop(None, None)
+        return np.fromiter(found.keys(), np.int64, len(found)), np.fromiter(found.values(), np.int64, len(found))
 
     return count
 
