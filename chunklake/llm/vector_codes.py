@@ -26,7 +26,7 @@ from chunklake.llm.common import materialize, table
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 #: Bits of a cell, and table values that a block of queries may have.
-BITS, BLOCK = 6, 1 << 22
+BITS, BLOCK = 4, 1 << 22
 #: Integers are held to this size on either side, so that all sums fit into 64 bits.
 LARGEST = 1 << 24
 
@@ -43,6 +43,7 @@ class Cells:
     def __init__(self, entries: np.ndarray, bits: int = BITS):
         self.entries = entries = entries.astype(np.int64)
         k, self.width = entries.shape
+        self.reach = int(np.abs(entries).max(initial=0))
         count = min(1 << bits, k)
         order = np.argsort(entries, axis=0, kind="stable")
         ranked = np.take_along_axis(entries, order, 0)
@@ -53,10 +54,14 @@ class Cells:
 
     def _bounds(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(queries, entries): squared distances are at least and at most this."""
-        below, above = self.low[None] - queries[:, :, None], queries[:, :, None] - self.high[None]
+        # In 32 bits where no sum can be larger.
+        reach = int(np.abs(queries).max(initial=0)) + self.reach
+        kind = np.int32 if reach * reach * self.width < 1 << 31 else np.int64
+        queries, low, high = (x.astype(kind) for x in (queries, self.low, self.high))
+        below, above = low[None] - queries[:, :, None], queries[:, :, None] - high[None]
         least = np.maximum(np.maximum(below, above), 0) ** 2
         most = np.maximum(-below, -above) ** 2
-        lower, upper = (np.zeros((len(queries), len(self.entries)), np.int64) for _ in range(2))
+        lower, upper = (np.zeros((len(queries), len(self.entries)), kind) for _ in range(2))
         for d in range(self.width):
             lower += least[:, d].take(self.cell[:, d], 1)
             upper += most[:, d].take(self.cell[:, d], 1)

