@@ -30,7 +30,7 @@ from itertools import combinations, islice
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunklake.llm.common import keyed_rows, materialize, table, texts, whole_rows
@@ -288,6 +288,30 @@ def _verified(pairs: DataFrame, docs: DataFrame, shingle: int, similarity: float
     return materialize(pairs.join(two, "b").join(one, "a").where(share >= similarity).select("a", "b"), "similar-links")
 
 
+def _by_prefix(nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``nodes`` with ``token``, a shingle's hash, its ``place`` and ``left``: a row for each of a node's rarest shingles, one more than it may
+    lack of a set that similar; of two sets with the similarity one is common to both.
+
+    Shingles are in the order of how many of the nodes hold them.  Texts that are edited at random have
+    shingles of their own at the first places, so that the first which two half-alike texts have in common leaves too few
+    after it.  ``left`` says
+    that a node is not in the component that most nodes of the token are in.
+    """
+    nodes = materialize(nodes, "crowd-nodes")
+    sets = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text")
+    sets = materialize(sets.mapInArrow(lambda it: _sets(it, shingle), "doc_id long, hashes array<long>"), "crowd-sets")
+    tokens = sets.select(F.col("doc_id").alias("node"), F.explode("hashes").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("holders"))
+    # A text's shingles are in one task, as its text is.
+    place = F.row_number().over(Window.partitionBy("node").orderBy("holders", "token"))
+    ranked = tokens.join(counts, "token").withColumn("place", place).join(nodes, "node")
+    # Tokens that one node holds take up places, but bring it together with none.
+    prefix = materialize(ranked.where((F.col("place") <= F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1) & (F.col("holders") > 1)).drop("holders"), "rarest")
+    labels = prefix.groupBy("token", "label").agg(F.count("*").alias("n"))
+    homes = labels.groupBy("token").agg(F.max(F.struct("n", "label")).alias("home"), F.count("*").alias("labels")).where("labels > 1")
+    return prefix.join(homes.select("token", F.col("home.label").alias("home")), "token").withColumn("left", F.col("label") != F.col("home")).drop("home")
+
+
 def similar_classes(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """(doc_id, component_id) for ``docs``, whose doc_id is unique and not null.
 
@@ -296,14 +320,14 @@ def similar_classes(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     shingle, and texts without a word are one class.  Texts with equal sets are
     one node.  At such similarities fingerprints differ in more bits than chain
     keys can hold, so nodes meet by bands of minimum hashes: at 0.8 a pair shares
-    two of the 40 with a probability of 0.9999.  Of those that meet, sizes and the pigeonring
+    one of the 40 with a probability of 0.99999.  Of those that meet, sizes and the pigeonring
     filter prune before all 64 bits are compared; then 240 bits of the minimum hashes, which differ
     more the less alike the sets are, so that few pairs under 0.6 are left, and whole sets decide.
 
     In each band's group all nodes are compared with the one that has most
     documents; then only pairs that are in different components yet, one of them
-    not in that node's, are compared.  Groups with over ``CROWD`` such nodes are
-    first split by a second shared band, which the pairs that count have in any case.
+    not in that node's, are compared.  Where a group with such nodes has over ``CROWD`` nodes, those of all such
+    groups meet by their rarest shingles instead (:func:`_by_prefix`), which loses no pair.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     limit = allowance(similarity)
@@ -333,20 +357,22 @@ def similar_classes(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     labelled = materialize(labelled, "labelled-bands")
     at = labelled.join(pivots, "key").where("node = p.node").select("key", F.col("label").alias("home"))
     labelled = labelled.join(at, "key").withColumn("left", F.col("label") != F.col("home"))
-    crowds = labelled.where("left").groupBy("key").agg(F.count("*").alias("lefts"))
+    crowds = labelled.groupBy("key").agg(F.count_if("left").alias("lefts"), F.count("*").alias("members")).where("lefts > 0")
     rows = materialize(labelled.join(crowds, "key"), "rest-bands")
 
-    def pairs(rows: DataFrame, on: list[str]) -> DataFrame:
-        a = rows.where("left").select(*on, F.struct(*held, "label").alias("x"))
-        b = rows.select(*on, F.struct(*held, "label", "left").alias("y"))
+    def pairs(rows: DataFrame, on: list[str], more: Column | None = None) -> DataFrame:
+        a = rows.where("left").select(*on, F.struct(*held, "label", "place").alias("x"))
+        b = rows.select(*on, F.struct(*held, "label", "left", "place").alias("y"))
         apart = (F.col("x.label") != F.col("y.label")) & (~F.col("y.left") | (F.col("x.node") < F.col("y.node")))
-        return a.join(b, on).where(apart & near("x", "y")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        return a.join(b, on).where((apart if more is None else apart & more) & near("x", "y")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
 
-    more = pairs(rows.where(F.col("lefts") <= CROWD), ["key"])
-    crowded = rows.where(F.col("lefts") > CROWD)
+    more = pairs(rows.where(F.col("members") <= CROWD).withColumn("place", F.lit(0)), ["key"])
+    crowded = rows.where(F.col("members") > CROWD)
     if not crowded.isEmpty():
-        split = crowded.join(nodes.select("node", "bands"), "node").withColumn("sub", F.explode(F.expr("filter(bands, b -> b > key)")))
-        more = more.union(pairs(split, ["key", "sub"]))
+        # From the first common shingle on there must be as many as the similarity asks for.
+        rest = 1 + F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+        enough = rest >= (F.col("x.size") + F.col("y.size")) * (similarity / (1 + similarity)) - 1e-6
+        more = more.union(pairs(_by_prefix(crowded.select(*held, "label").distinct(), docs, shingle, similarity), ["token"], enough))
     parted = components(links_.union(_verified(more, docs, shingle, similarity)))
     found = made.select("doc_id", "digest").join(members.select("digest", "node"), "digest").select("doc_id", "node")
     return found.join(parted, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
