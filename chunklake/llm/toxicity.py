@@ -16,6 +16,7 @@ among the nearest are completed: the neighbours are exact.
 
 from __future__ import annotations
 
+import copy
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -106,7 +107,8 @@ class Index:
         vectors = [self.vector(c) for _, _, c in rows]
         f = np.concatenate([np.zeros(0, np.int64), *[v for v, _ in vectors]])
         w = np.concatenate([np.zeros(0), *[x for _, x in vectors]])
-        at = np.repeat(np.arange(len(rows)), [len(v) for v, _ in vectors])
+        at = np.repeat(np.arange(len(rows), dtype=np.int32), [len(v) for v, _ in vectors])
+        del vectors
         common = np.bincount(f, minlength=len(vocabulary)) * COMMON > len(rows)
         #: A common word's row, -1 for others.
         self.row = np.where(common, np.cumsum(common) - 1, -1)
@@ -254,7 +256,10 @@ def matches(keyed: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
 
 def _scored(keyed: DataFrame, found: DataFrame, index: Index) -> DataFrame:
     """(_row, doc_id, score, evidence) of each row of ``keyed``, from its matches."""
-    shared = keyed.sparkSession.sparkContext.broadcast(index)
+    # Words have their numbers by now.
+    bare = copy.copy(index)
+    bare.vocabulary = {}
+    shared = keyed.sparkSession.sparkContext.broadcast(bare)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
