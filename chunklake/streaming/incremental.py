@@ -20,8 +20,8 @@ DONE, DUE, WAITING, QUARANTINED = "DONE", "DUE", "WAITING", "QUARANTINED"
 
 
 def pending(rows: DataFrame, done: DataFrame, on: str | list[str]) -> DataFrame:
-    """The rows that have no result yet."""
-    return rows.join(done.select(on), on, "left_anti")
+    """The rows that have no result yet.  Results are about as many as rows, so their keys are never sent to the driver to be broadcast."""
+    return rows.join(done.select(on).hint("merge"), on, "left_anti")
 
 
 def write_batch(batch: DataFrame, number: int, target: str) -> None:
@@ -106,11 +106,14 @@ def until_complete(rows: DataFrame, on: str, run: Callable[[DataFrame], DataFram
 
     ``target`` is a table that exists.  Returns the rows that remain and the rounds taken.
     """
-    spark, left, turns = rows.sparkSession, None, 0
-    while turns < most and (now := pending(rows, spark.read.parquet(target), on).count()) not in (0, left):
-        resume(rows, spark.read.parquet(target), on, run, target)
-        left, turns = now, turns + 1
-    return pending(rows, spark.read.parquet(target), on), turns
+    left, turns = None, 0
+    remain = materialize(pending(rows, rows.sparkSession.read.parquet(target), on), "pending")
+    while turns < most and (now := remain.count()) not in (0, left):
+        # A round is over what the one before left: all rounds together take little more than the first.
+        made = materialize(run(remain), "round")
+        made.write.mode("append").parquet(target)
+        remain, left, turns = materialize(pending(remain, made, on), "pending"), now, turns + 1
+    return remain, turns
 
 
 def attempt_states(rows: DataFrame, on: str, attempts: DataFrame, most: int = 3, wait: float = 0.0) -> DataFrame:

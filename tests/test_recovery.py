@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import threading
 import time
 from pathlib import Path
 
@@ -157,6 +158,42 @@ def test_commands_are_isolated_over_the_cluster(spark):
     assert got == {i: ("", "FAIL", "EXIT 1: bad row") if i in (3, 17) else (str(len(f"v{i}")), "OK", "") for i in range(20)}
 
 
+def test_the_end_of_a_command_is_told_and_not_asked_for(monkeypatch):
+    ours, sleep = threading.current_thread(), time.sleep
+    monkeypatch.setattr(time, "sleep", lambda s: pytest.fail("asks again and again") if threading.current_thread() is ours else sleep(s))
+    out, why = run(command(COPY), ["a"], 30)
+    assert why == "" and out["n"].tolist() == ["1"]
+    assert run(command("time.sleep(60)"), ["a"], 0.2) == (None, "TIMEOUT after 0.2 s")
+
+
+def test_ranges_of_a_task_share_its_process(spark):
+    def model(values):
+        import os
+
+        if "bad" in values:
+            raise ValueError("bad row")
+        return pd.DataFrame({"pid": [os.getpid()] * len(values)})
+
+    df = spark.createDataFrame([(c, i, "bad" if i == 3 else f"v{i}") for c in range(40) for i in range(20)], "chunk_no int, idx int, v string")
+    scored, log = models.score_spread(df, "v", model, ["pid"], seconds=60)
+    tasks, trials = log.select("round", "task").distinct().count(), log.count()
+    assert scored.where("status = 'OK'").select("pid").distinct().count() <= tasks < trials / 4
+
+
+@pytest.mark.parametrize("most", [1, 7])
+def test_ranges_that_go_over_batches(spark, most):
+    model = _make_model()
+    values = {c: [random.Random(c).choice(["x", "yy", "zzz", "bad", "pair", " "]) for _ in range(n)] for c, n in enumerate((30, 7, 1, 50, 14))}
+    df = spark.createDataFrame([(c, i, v) for c, held in values.items() for i, v in enumerate(held)], "chunk_no int, idx int, v string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+    try:
+        got = {(r.chunk_no, r.idx): (r.n, r.status, r.details) for r in models.score_spread(df, "v", model, ["n"])[0].collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {c: models.isolate(model, held, ["n"]) for c, held in values.items()}
+    assert got == {(c, i): tuple(want[c].iloc[i][["n", "status", "details"]]) for c, held in values.items() for i in range(len(held))}
+
+
 # files that are whole or not there
 
 
@@ -256,6 +293,25 @@ def test_fragments_against_all_of_them_at_each_index(spark, seed):
 # changed inputs, attempts, stale results
 
 
+def test_what_is_pending_is_found_without_a_broadcast(spark):
+    left = incremental.pending(spark.range(100), spark.range(50), "id")
+    assert left.count() == 50 and "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rounds_are_over_what_is_left(spark, tmp_path):
+    target, given = f"file://{tmp_path}/t", []
+    spark.range(3).write.parquet(target)
+
+    def run(p):
+        given.append((p.count(), len(p.inputFiles()) > 0))
+        return p.where("id % 2 = 0 or id < 10").withColumn("id", F.col("id"))
+
+    left, turns = incremental.until_complete(spark.range(30), "id", run, target)
+    # What a round is given is written, and not found anew from the whole table each time.
+    assert given == [(27, True), (10, True)] and turns == 2 and left.count() == 10
+    assert sorted(r.id for r in spark.read.parquet(target).collect()) == sorted({*range(10), *range(10, 30, 2)})
+
+
 def _load(spark, tmp_path, read=None):
     return incremental.ingest_files(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out", read or incremental.csv_rows(["a", "b"]))
 
