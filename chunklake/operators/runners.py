@@ -7,12 +7,13 @@ so that what a model has started ends with it.
 from __future__ import annotations
 
 import csv
+import math
 import os
+import select
 import signal
 import subprocess
 import sys
 import tempfile
-import time
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -48,15 +49,15 @@ def told(e: Exception) -> str:
 
 
 def _exited(pid: int, seconds: float | None) -> bool:
-    """Whether a child has ended within ``seconds``.  It stays known to the system, so that
+    """Whether a child has ended within ``seconds``, told as soon as it has.  It stays known to the system, so that
     its number, which is its group's, can't be another process's yet."""
-    until, pause = None if seconds is None else time.monotonic() + seconds, 0.002
-    while os.waitid(os.P_PID, pid, os.WEXITED | os.WNOHANG | os.WNOWAIT) is None:
-        if until is not None and time.monotonic() >= until:
-            return False
-        time.sleep(pause)
-        pause = min(0.05, pause * 1.5)
-    return True
+    line = os.pidfd_open(pid)
+    try:
+        ended = select.poll()
+        ended.register(line, select.POLLIN)
+        return bool(ended.poll(None if seconds is None else math.ceil(seconds * 1000)))
+    finally:
+        os.close(line)
 
 
 def _end(process: subprocess.Popen) -> int:

@@ -569,7 +569,8 @@ for row in rows:
 @_query(f"SELECT doc_id, status, CASE status WHEN 'OK' THEN length(text)::VARCHAR ELSE '' END AS n, CASE status WHEN 'FAIL' THEN 'EXIT 1: bad row' WHEN 'SKIP' THEN 'empty' ELSE '' END AS details FROM ({_V})")
 def Q55_command_model(spark, d):
     """A command run on each chunk's file, and on files of parts where it exits with a code."""
-    command = Command(("{python}", "-c", _COMMAND, "{input}", "{output}"), "text")
+    # The command needs no installed packages, and does not look for them at each start.
+    command = Command(("{python}", "-I", "-S", "-c", _COMMAND, "{input}", "{output}"), "text")
     scored, _ = models.score_spread(_many(spark, d), "text", command, ["n"], seconds=120, carry=("doc_id",))
     return scored.select("doc_id", "status", "n", "details")
 
