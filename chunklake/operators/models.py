@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,9 +23,16 @@ SPLIT = "SPLIT"
 TASKS = 3
 
 
+def texts(out: pd.DataFrame, column: str) -> list[str]:
+    """A model's results in one of the declared columns, as strings; what is missing is ''."""
+    if column not in out.columns:
+        return [""] * len(out)
+    return ["" if gone else str(v) for v, gone in zip(out[column].astype(object), out[column].isna(), strict=True)]
+
+
 def as_text(out: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
-    """A model's results in the declared columns, as strings; what is missing is ''."""
-    return out.reindex(columns=columns).astype(object).where(lambda f: f.notna(), "").astype(str)
+    """A model's results in all declared columns."""
+    return pd.DataFrame({c: texts(out, c) for c in columns}, index=out.index, dtype=object)
 
 
 def isolate(model: Model, values: list[str], columns: list[str], fanout: int = 10, seconds: float | None = None) -> pd.DataFrame:
@@ -82,18 +91,40 @@ def _try_ranges(work: DataFrame, ranges: int, value: str, model: Model, columns:
     """Each range of ``work`` (keys, _start, _end) run once; ranges are dealt out over all cores."""
     spark = work.sparkSession
 
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_pos").reset_index(drop=True)
+    names = [f.name for f in work.schema.fields]
+
+    def tried(table: pa.Table, firsts: list[int], trial: Trial, task: int) -> Iterator[pa.RecordBatch]:
+        """The ranges that begin at ``firsts``, with what their trials gave."""
+        values = ["" if v is None or v != v else v for v in table.column(value).to_pylist()]
+        got, verdicts, reasons = {c: [] for c in columns}, [], []
+        for at, end in zip(firsts, [*firsts[1:], len(values)], strict=True):
+            out, why = trial(values[at:end])
+            for c in columns:
+                got[c] += [""] * (end - at) if out is None else texts(out, c)
+            verdicts += [OK if out is not None else FAIL if end - at == 1 else SPLIT] * (end - at)
+            reasons += [why] * (end - at)
+        more = [*(pa.array(got[c], pa.string()) for c in columns), pa.array(verdicts, pa.string()), pa.array(reasons, pa.string()), pa.array([task] * len(values), pa.int32())]
+        yield from pa.table([*table.columns, *more], [*names, *columns, "_verdict", "_why", "_task"]).combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, task = None, TaskContext.get().partitionId()
         with trials(model, seconds) as trial:
-            out, why = trial(frame[value].fillna("").tolist())
-        verdict = OK if out is not None else FAIL if len(frame) == 1 else SPLIT
-        got = as_text(pd.DataFrame(index=frame.index) if out is None else out, columns)
-        return pd.concat([frame, got], axis=1).assign(_verdict=verdict, _why=why, _task=TaskContext.get().partitionId())
+            for batch in batches:
+                new = pa.Table.from_batches([batch])
+                table = new if rest is None else pa.concat_tables([rest, new])
+                firsts = np.flatnonzero(table.column("_pos").to_numpy() == table.column("_start").to_numpy()).tolist()
+                # The last range may go on in the next batch.
+                if len(firsts) > 1:
+                    yield from tried(table.slice(0, firsts[-1]), firsts[:-1], trial, task)
+                rest = table.slice(firsts[-1]) if firsts else table
+            if rest is not None and rest.num_rows:
+                yield from tried(rest, [0], trial, task)
 
     tasks = max(1, min(ranges, TASKS * spark.sparkContext.defaultParallelism))
-    # A given number of partitions: ranges are few bytes and much work, and are not to be put together.
-    dealt = work.repartition(tasks, *keys, "_start")
-    return dealt.groupBy(*keys, "_start", "_end").applyInPandas(one, _schema(work, *[f"`{c}` string" for c in columns], "_verdict string", "_why string", "_task int"))
+    # A given number of partitions: ranges are few bytes and much work, and are not to be put together.  Sorted rows
+    # go through a task as they come: a group of Spark's own for each range costs more than most trials.
+    dealt = work.repartition(tasks, *keys, "_start").sortWithinPartitions(*keys, "_start", "_pos")
+    return dealt.mapInArrow(run, _schema(work, *[f"`{c}` string" for c in columns], "_verdict string", "_why string", "_task int"))
 
 
 def _pieces(fanout: int) -> tuple[Column, Column]:
@@ -126,11 +157,14 @@ def score_spread(
     work = materialize(live.withColumns({"_start": F.lit(0), "_above": F.lit(None).cast("int"), "_below": F.lit(None).cast("int"), "_reason": F.lit(None).cast("string")}), "work")
     blank = rows.where("_blank").select(*wanted, *[F.lit("").alias(c) for c in columns], F.lit(SKIP).alias("status"), F.lit("empty").alias("details"))
     done, log, turn = [blank], [], 0
-    ranges = work.select(*keys).distinct().count()
+    first = F.col("_pos") == F.col("_start")
+    ranges = work.where(first).count()
     while ranges:
         tried = materialize(_try_ranges(work, ranges, value, model, columns, keys, seconds), "trials")
-        per_range = [F.lit(turn).alias("round"), F.count("*").alias("rows"), F.first("_verdict").alias("outcome"), F.first("_why").alias("details"), F.first("_task").alias("task")]
-        log.append(tried.groupBy(*keys, F.col("_start").alias("start"), F.col("_end").alias("end")).agg(*per_range))
+        # A range's first row tells of its trial.
+        size = (F.col("_end") - F.col("_start") + 1).cast("bigint")
+        told = [F.col("_start").alias("start"), F.col("_end").alias("end"), F.lit(turn).alias("round"), size.alias("rows"), F.col("_verdict").alias("outcome"), F.col("_why").alias("details"), F.col("_task").alias("task")]
+        log.append(tried.where(first).select(*keys, *told))
         # A part that passes is reproduced if a part of the same range does not.
         broken = tried.where(F.col("_verdict") != OK).where("_above is not null").select(*keys, "_above", "_below").distinct().withColumn("_with", F.lit(True))
         passed = tried.where(F.col("_verdict") == OK).join(broken, [*keys, "_above", "_below"], "left")
@@ -141,7 +175,7 @@ def score_spread(
         start, end = _pieces(fanout)
         parts = tried.where(F.col("_verdict") == SPLIT).withColumns({"_a": start.cast("int"), "_b": end.cast("int")})
         work = parts.select(*wanted, "_pos", F.col("_b").alias("_end"), F.col("_a").alias("_start"), F.col("_start").alias("_above"), F.col("_end").alias("_below"), F.col("_why").alias("_reason"))
-        ranges = work.select(*keys, "_start").distinct().count()
+        ranges = work.where(first).count()
         turn += 1
     if not log:
         log = [work.groupBy(*keys, F.col("_start").alias("start"), F.col("_end").alias("end")).agg(F.lit(0).alias("round"), F.count("*").alias("rows"), F.lit("").alias("outcome"), F.lit("").alias("details"), F.lit(0).alias("task"))]
