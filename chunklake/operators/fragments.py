@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunklake.operators.merge import gaps
+from chunklake.sources.shared import tasks
+
+#: Rows that go to Spark at once.
+TOGETHER = 4096
 
 
 def sweep(spans: list[tuple[int, int, tuple]]) -> list[tuple[int, int, tuple]]:
@@ -48,20 +54,36 @@ def choose(fragments: DataFrame, *keys: str) -> DataFrame:
     fragments are swept in one task; there are at most some for each row of the chunk.
     """
     held = fragments.where("rows > 0 and `end` >= start").select(*keys, "file", "start", "end", "rows")
-    fields = {f.name: f.dataType.simpleString() for f in held.schema.fields}
-
-    def one(frame: pd.DataFrame) -> pd.DataFrame:
-        spans = []
-        for r in frame.itertuples(index=False):
-            width = r.end - r.start + 1
-            spans.append((r.start, r.start + min(r.rows, width) - 1, (r.rows != width, width, r.start, r.file)))
-        got = sweep(spans)
-        out = pd.DataFrame({"file": [p[3] for _, _, p in got], "first": [a for a, _, _ in got], "last": [b for _, b, _ in got]})
-        for k in keys:
-            out[k] = frame[k].iloc[0]
-        return out[[*keys, "file", "first", "last"]]
-
-    return held.groupBy(*keys).applyInPandas(one, ", ".join([f"`{k}` {fields[k]}" for k in keys] + ["file string", "first long", "last long"]))
+    kinds = {f.name: f.dataType.simpleString() for f in held.schema.fields}
+
+    def swept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's chunks, one after another as they come sorted."""
+        types: list[pa.DataType] = []
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                types[:] = batch.schema.types[: len(keys)]
+                yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+        def table(out: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            return pa.record_batch([pa.array(c, t) for c, t in zip(columns, [*types, pa.string(), pa.int64(), pa.int64()], strict=True)], names=[*keys, "file", "first", "last"])
+
+        out: list[tuple] = []
+        for key, some in groupby(rows(), lambda r: r[: len(keys)]):
+            spans = []
+            for file, start, end, n in (r[len(keys) :] for r in some):
+                width = end - start + 1
+                spans.append((start, start + min(n, width) - 1, (n != width, width, start, file)))
+            out += [(*key, p[3], a, b) for a, b, p in sweep(spans)]
+            if len(out) >= TOGETHER:
+                yield table(out)
+                out = []
+        if out:
+            yield table(out)
+
+    dealt = held.repartition(tasks(held.sparkSession), *keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(swept, ", ".join([f"`{k}` {kinds[k]}" for k in keys] + ["file string", "first long", "last long"]))
 
 
 def merge_fragments(rows: DataFrame, *keys: str) -> DataFrame:

@@ -23,6 +23,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Tasks for each core, at least, where work is not told by its bytes.
+TASKS = 3
+
+
+def tasks(spark: SparkSession) -> int:
+    """A number of tasks for work of few bytes that takes long, such as many small files, which AQE would put into one."""
+    return max(TASKS * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def materialize(df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there."""
     spark = df.sparkSession
