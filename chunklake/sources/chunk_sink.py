@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from chunklake.sources.shared import tasks
+
 
 def store_of(path: str) -> tuple[FileSystem, str]:
     """The file system of a path or URI, and the path in it."""
@@ -49,14 +51,16 @@ class _Files:
 
     def __init__(self, folder: str, header: list[str]):
         self.store, self.folder = store_of(folder)
-        self.header, self.name = header, None
+        self.header, self.name, self.inner = header, None, None
         self.files = self.rows = 0
 
     def put(self, name: str, columns: list[list]) -> None:
         if name != self.name:
             self.close()
             inner, _, last = f"{self.folder}/{name}".rpartition("/")
-            self.store.create_dir(inner, recursive=True)
+            if inner != self.inner:
+                self.store.create_dir(inner, recursive=True)
+                self.inner = inner
             self.temporary = f"{inner}/.{last}-{uuid.uuid4().hex}"
             self.raw = self.store.open_output_stream(self.temporary, compression=None)
             self.text = io.TextIOWrapper(self.raw, "utf-8", errors="replace", newline="")
@@ -156,7 +160,7 @@ def export_files(rows: DataFrame, path: str, label: str, name: Column, order: st
     if headers is not None:
         out = out.union(headers.select(name.alias("_file")).distinct().select("_file", F.lit(None).cast("long"), *[F.lit("") for _ in columns]))
     rows.sparkSession.dataSource.register(ChunkSink)
-    placed = out.repartition("_file").sortWithinPartitions("_file", F.col("_place").asc_nulls_first())
+    placed = out.repartition(tasks(rows.sparkSession), "_file").sortWithinPartitions("_file", F.col("_place").asc_nulls_first())
     placed.write.format("chunks").mode("overwrite" if replace else "append").option("path", path).option("label", label).save()
 
 

@@ -5,18 +5,19 @@ from __future__ import annotations
 import csv
 import io
 from collections.abc import Iterator
+from itertools import islice
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunklake.functions.text import RESULT_FILE
 from chunklake.sources.chunk_sink import store_of
+from chunklake.sources.shared import materialize, tasks
 
 LONGEST_FIELD = 10485760
-#: Rows of a file that go to Spark at once.
-TOGETHER = 4096
+#: Rows that go to Spark at once, and characters of their files.
+TOGETHER, CHARS = 4096, 4 << 20
 _FIELDS = "path string, idx long, names array<string>, fields array<string>"
 
 
@@ -38,28 +39,51 @@ def records(text: str, sep: str) -> tuple[list[str], Iterator[list[str]]]:
     return next(rows, []), rows
 
 
-def _batch(path: str, first: int, names: list[str], rows: list[list[str]]) -> pa.RecordBatch:
-    strings = pa.list_(pa.string())
-    repeated = pa.array([names], strings).take(pa.array(np.zeros(len(rows), np.int64)))
-    return pa.record_batch({"path": pa.array([path] * len(rows), pa.string()), "idx": np.arange(first, first + len(rows)), "names": repeated, "fields": pa.array(rows, strings)})
+class _Rows:
+    """Records of one file after another, which go to Spark together."""
+
+    def __init__(self):
+        self.paths, self.places, self.heads, self.head, self.fields, self.chars = [], [], [], [], [], 0
+
+    def put(self, path: str, names: list[str], first: int, rows: list[list[str]], chars: int) -> None:
+        if not self.heads or self.heads[-1] != names:
+            self.heads.append(names)
+        self.paths += [path] * len(rows)
+        self.places += range(first, first + len(rows))
+        self.head += [len(self.heads) - 1] * len(rows)
+        self.fields += rows
+        self.chars += chars
+
+    def full(self) -> bool:
+        return len(self.fields) >= TOGETHER or self.chars >= CHARS
+
+    def batch(self) -> pa.RecordBatch:
+        strings = pa.list_(pa.string())
+        names = pa.array(self.heads, strings).take(pa.array(self.head, pa.int64()))
+        return pa.record_batch({"path": pa.array(self.paths, pa.string()), "idx": pa.array(self.places, pa.int64()), "names": names, "fields": pa.array(self.fields, strings)})
 
 
 def _parse(batches: Iterator[pa.RecordBatch], sep: str, headers_only: bool) -> Iterator[pa.RecordBatch]:
+    out = _Rows()
     for batch in batches:
-        for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-            header, rows = records(content.as_py().decode("utf-8-sig", "replace"), sep)
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+            text = content.as_py().decode("utf-8-sig", "replace")
+            header, rows = records(text, sep)
             places = {n: i for i, n in enumerate(header)}  # of columns with one name the last counts
             names, chosen = list(places), list(places.values())
-            yield _batch(path.as_py(), -1, names, [[""] * len(names)])
-            held: list[list[str]] = []
+            out.put(path, names, -1, [[""] * len(names)], len(text))
             at = 0
-            for row in () if headers_only else rows:
-                held.append([row[i] if i < len(row) else "" for i in chosen])
-                if len(held) == TOGETHER:
-                    yield _batch(path.as_py(), at, names, held)
-                    at, held = at + len(held), []
-            if held:
-                yield _batch(path.as_py(), at, names, held)
+            while held := [] if headers_only else list(islice(rows, TOGETHER)):
+                out.put(path, names, at, [[row[i] if i < len(row) else "" for i in chosen] for row in held], 0)
+                at += len(held)
+                if out.full():
+                    yield out.batch()
+                    out = _Rows()
+            if out.full():
+                yield out.batch()
+                out = _Rows()
+    if out.fields:
+        yield out.batch()
 
 
 def fields(spark: SparkSession, path: str | list[str], pattern: str = ".", sep: str = ",", headers_only: bool = False) -> DataFrame:
@@ -70,19 +94,23 @@ def fields(spark: SparkSession, path: str | list[str], pattern: str = ".", sep:
     files of bounded size, such as chunks.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    files = files.where(F.regexp_like("_metadata.file_name", F.lit(pattern))).select("path", "content")
+    # Spark puts some thirty small files into a task, whose start takes longer than they do.
+    files = files.where(F.regexp_like("_metadata.file_name", F.lit(pattern))).select("path", "content").coalesce(tasks(spark))
     return files.mapInArrow(lambda batches: _parse(batches, sep, headers_only), _FIELDS)
 
 
 def fields_of(paths: DataFrame, sep: str = ",") -> DataFrame:
     """:func:`fields` of the files in ``paths`` (path), opened by the tasks, so that only these are read."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 store, inner = store_of(path)
                 with store.open_input_stream(inner) as f:
-                    yield from _parse(iter([pa.record_batch({"path": [path], "content": [f.read()]})]), sep, False)
+                    yield pa.record_batch({"path": [path], "content": [f.read()]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _parse(contents(batches), sep, False)
 
     return paths.select("path").repartition("path").mapInArrow(run, _FIELDS)
 
@@ -98,16 +126,23 @@ def merged_schema(rows: DataFrame, *by: str) -> DataFrame:
     return rows.groupBy(*by).agg(F.schema_of_variant_agg("row").alias("schema"))
 
 
+def _named(heads: DataFrame) -> list[str]:
+    named = heads.select(F.posexplode("names").alias("at", "name")).groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name")
+    return [r.name for r in named.toLocalIterator()]  # as many as there are columns, not files
+
+
 def columns(spark: SparkSession, path: str | list[str], pattern: str = RESULT_FILE, sep: str = ",") -> list[str]:
     """The different columns of all files, by their first place in a header, then by name."""
-    heads = fields(spark, path, pattern, sep, headers_only=True).select(F.posexplode("names").alias("at", "name"))
-    named = heads.groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name")
-    return [r.name for r in named.toLocalIterator()]  # as many as there are columns, not files
+    return _named(fields(spark, path, pattern, sep, headers_only=True))
 
 
 def read_open(spark: SparkSession, path: str | list[str], pattern: str = RESULT_FILE, sep: str = ",") -> DataFrame:
     """``path`` and ``idx`` of each record, and the columns of all files as strings; '' where a
-    file has no such column.  Two passes: over the headers, then over the records."""
-    names = columns(spark, path, pattern, sep)
-    found = fields(spark, path, pattern, sep).where("idx >= 0").withColumn("_row", F.map_from_arrays("names", "fields"))
+    file has no such column.
+
+    Files are listed and opened once, as many small ones cost more than what is in them: records are kept in the shared folder.
+    """
+    kept = materialize(fields(spark, path, pattern, sep), "records")
+    names = _named(kept.where("idx = -1"))
+    found = kept.where("idx >= 0").withColumn("_row", F.map_from_arrays("names", "fields"))
     return found.select(F.col("path").alias("_path"), F.col("idx").alias("_idx"), *[F.coalesce(F.try_element_at("_row", F.lit(n)), F.lit("")).alias(n) for n in names])

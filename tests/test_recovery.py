@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from chunklake.operators import fragments, models, reconcile, runs
 from chunklake.operators.runners import Command, ModelFailure, trials
-from chunklake.sources import chunk_sink, published
+from chunklake.sources import chunk_sink, open_files, published
 from chunklake.sources.archive import Layout, archives_of
 from chunklake.streaming import incremental, progress
 
@@ -290,6 +290,25 @@ def test_fragments_against_all_of_them_at_each_index(spark, seed):
     assert fragments.merge_fragments(df.limit(0), "chunk_no").count() == 0
 
 
+def test_small_chunks_are_swept_by_many_tasks(spark):
+    df = spark.createDataFrame([(c, "f", 0, 4, 3 + c % 2) for c in range(200)], "chunk_no int, file string, start long, end long, rows long")
+    got = fragments.choose(df, "chunk_no").withColumn("task", F.spark_partition_id()).collect()
+    assert {(r.chunk_no, r.file, r.first, r.last) for r in got} == {(c, "f", 0, 2 + c % 2) for c in range(200)} and len(got) == 200
+    assert len({r.task for r in got}) > 4
+
+
+def test_files_are_read_once_and_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(200).select(F.col("id").alias("chunk_no"), F.lit(0).alias("idx"), F.concat(F.lit("é,"), F.col("id").cast("string")).alias("v"), F.spark_partition_id().alias("t"))
+    chunk_sink.export_files(rows.where("id < 100"), f"file://{tmp_path}/o", "a", F.format_string("d%d/m_results_%03d.csv", F.col("chunk_no") % 7, "chunk_no"), "idx", "v")
+    chunk_sink.export_files(rows.where("id >= 100"), f"file://{tmp_path}/o", "b", F.format_string("m_results_%03d.csv", "chunk_no"), "idx", "chunk_no", "v")
+    calls, fields = [], open_files.fields
+    monkeypatch.setattr(open_files, "fields", lambda *a, **k: calls.append(a) or fields(*a, **k))
+    monkeypatch.setattr(open_files, "TOGETHER", 3)
+    got = open_files.read_open(spark, f"file://{tmp_path}/o").collect()
+    assert len(calls) == 1 and len(got) == 200
+    assert {(r["_path"].rpartition("_")[2], r["_idx"], r.chunk_no, r.v) for r in got} == {(f"{i:03d}.csv", 0, str(i) if i >= 100 else "", f"é,{i}") for i in range(200)}
+
+
 # changed inputs, attempts, stale results
 
 
