@@ -28,8 +28,8 @@ from chunklake.llm.common import materialize, table, texts
 
 SEQUENCE = 2048
 END = 1
-#: Words whose ids a Python worker remembers, at most.
-REMEMBERED = 400_000
+#: Words whose ids a Python worker remembers, at most: some 30 MB, which it keeps when other tasks run in it. Frequent ones come early, and most later ones never again.
+REMEMBERED = 1 << 17
 #: Characters of text that are tokenised together, at most, but for one text.
 TOGETHER = 4_000_000
 

@@ -251,7 +251,9 @@ def matches(keyed: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
             found = [count(text or "") for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("_row"), *[pa.array([c[i].astype(np.int32) for c in found], ints) for i in range(2)]], ["_row", "f", "n"])
 
-    return materialize(keyed.select(F.col("_row").cast("long").alias("_row"), "text").mapInArrow(run, "_row long, f array<int>, n array<int>"), "matches")
+    found = materialize(keyed.select(F.col("_row").cast("long").alias("_row"), "text").mapInArrow(run, "_row long, f array<int>, n array<int>"), "matches")
+    shared.unpersist()
+    return found
 
 
 def _scored(keyed: DataFrame, found: DataFrame, index: Index) -> DataFrame:

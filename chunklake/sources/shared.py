@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,9 +34,29 @@ def tasks(spark: SparkSession) -> int:
     return max(TASKS * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+#: Bytes that go to a Python worker together, at most, but for one row.
+BATCH = 2 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within, Arrow batches for Python workers hold ``BATCH`` bytes: Spark's own bound is 64 MB, of which a task has
+    several copies, in the JVM and in its worker, and what a worker has once taken it gives back late.  A bound that the session sets itself holds."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is not None:
+        yield
+        return
+    spark.conf.set(name, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name)
+
+
 def materialize(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends there."""
+    """Write ``df`` to the shared folder and read it back: lineage ends there.  Python tasks on the way get small batches."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/chunklake/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -4,12 +4,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from conftest import rows_of
 from pyspark.sql import functions as F
 
 from chunklake.llm import hnsw, license_scan, line_dedup, lz_fingerprint, mixing, packing, pii, registry, simhash_dedup, substring_dedup, toxicity
+from chunklake.llm.common import materialize
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rank int, _x string, _row string, lines int, whole string"
 
@@ -849,3 +851,38 @@ def test_pipeline_stages_on_odd_rows(spark, sf_dir, docs, empty):
             assert len(after) == len(set(label))
             at = stage(spark, docs, sf_dir).union(docs.select(*columns))  # for the next stage: repeated rows again
             at = corpus_pipeline.materialize(at, "odd")
+
+
+# memory
+
+
+def test_python_workers_get_small_batches(spark):
+    """However many rows a partition has; a bound of the session's own holds, and none is left behind."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["n", "size"])
+
+    def run():
+        made = spark.range(0, 4000, 1, 1).selectExpr("id", "repeat('abcd', 1000) text").mapInArrow(sizes, "n long, size long")
+        found = materialize(made, "sizes").collect()
+        assert sum(r.n for r in found) == 4000
+        return max(r.size for r in found)
+
+    assert run() < 2.2 * 2**20 and spark.conf.get(name, None) is None
+    spark.conf.set(name, 6 << 20)
+    try:
+        assert 5 * 2**20 < run() < 6.2 * 2**20 and spark.conf.get(name) == str(6 << 20)
+    finally:
+        spark.conf.unset(name)
+
+
+def test_workers_remember_few_words():
+    path = packing.default_tokenizer()
+    words = [f"w{i}" for i in range(200_000)]
+    for i in (0, 100_000):
+        packing.encode([" ".join(words[i : i + 100_000])], path)
+    assert len(packing._known[path]) <= 1 << 17
+    again = packing.encode([" ".join(words[:3]), " ".join(words[-3:])], path)
+    assert again == [b"".join(packing._encoders[path]([w])[w] for w in some) for some in (words[:3], words[-3:])]
