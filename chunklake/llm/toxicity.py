@@ -16,7 +16,9 @@ among the nearest are completed: the neighbours are exact.
 
 from __future__ import annotations
 
+import contextlib
 import copy
+import ctypes
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -310,8 +312,19 @@ def fit_score(keyed: DataFrame, labels: DataFrame, examples: int = EXAMPLES) ->
     """:func:`fit` and :func:`score` of one table ``keyed`` (_row, doc_id, text), whose texts are
     read once for both; with ``_row``."""
     learned = learn(keyed, labels, examples)
+    _give_back()
     found = matches(keyed, learned.vocabulary)
-    return _scored(keyed, found, learned.index(_document_counts(found, len(learned.vocabulary)), keyed.count()))
+    scored = _scored(keyed, found, learned.index(_document_counts(found, len(learned.vocabulary)), keyed.count()))
+    del learned
+    _give_back()
+    return scored
+
+
+def _give_back() -> None:
+    """The driver's Python gives back to the system what it has freed: Arrow and the C library keep it for later, beside a JVM whose heap is still to grow."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def held_out():

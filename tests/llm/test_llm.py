@@ -886,3 +886,12 @@ def test_workers_remember_few_words():
     assert len(packing._known[path]) <= 1 << 17
     again = packing.encode([" ".join(words[:3]), " ".join(words[-3:])], path)
     assert again == [b"".join(packing._encoders[path]([w])[w] for w in some) for some in (words[:3], words[-3:])]
+
+
+def test_the_driver_gives_freed_memory_back():
+    used = lambda: next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith("RssAnon")) / 1024
+    held = [b"x" * 100_000 for _ in range(1500)]
+    kept, full = held[::100], used()
+    del held
+    toxicity._give_back()
+    assert full - used() > 100 and len(kept) == 15
