@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chunklake.sources.shared import materialize, shared_dir
+from chunklake.sources.shared import materialize, release, shared_dir
 
 #: A word is a run of bytes that are neither blank nor one of \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -15,7 +15,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["WORD", "drop_tables", "keyed_rows", "materialize", "shared_dir", "table", "texts", "whole_rows"]
+__all__ = ["WORD", "drop_tables", "keyed_rows", "materialize", "release", "shared_dir", "table", "texts", "whole_rows"]
 
 
 def drop_tables(spark: SparkSession) -> None:

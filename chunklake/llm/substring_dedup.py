@@ -14,11 +14,15 @@ byte by byte before it counts.  Sorted neighbours share the longest extensions
 to the right; a second sort gives those to the left; together they say which
 starts are repeated.  An anchor with more different regions than one task should
 hold is not sorted in one: its strings are counted start by start, over all tasks.
+
+Passages of 50 words, most of them shorter than 400 bytes, are not removed but
+reported where another document has them too: by the same anchors, over words.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from bisect import bisect
 from collections.abc import Iterator
 from functools import cmp_to_key
@@ -26,13 +30,16 @@ from functools import cmp_to_key
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chunklake.llm.common import keyed_rows, materialize, table
+from chunklake.llm.common import keyed_rows, materialize, release, table
 
 WIDTH = 400
 GRAM = 100
+#: Words of a passage that is reported, and of the grams that anchor it.
+WORDS = 50
+WORD_GRAM = 8
 #: Bytes that are hashed together.
 SLICE = 1 << 22
 #: Different regions at one anchor that one task sorts, at most: some 6 MB of text, and 100 MB while they are sorted.
@@ -42,6 +49,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _FULL = (1 << 64) - 1
 _LOW = (1 << 24) - 1
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 #: A random number for each byte.
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
 _powers: dict[str, np.ndarray] = {}
@@ -57,13 +65,26 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
-def prefix_hashes(data: bytes) -> np.ndarray:
-    """Polynomial hashes of the prefixes of ``data``, the empty one first."""
+def prefix_hashes(data: bytes | np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the prefixes of ``data``, bytes or numbers, the empty one first."""
     out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[np.frombuffer(data, np.uint8)] * _power(len(data))[0], out=out[1:])
+    values = _BYTES[np.frombuffer(data, np.uint8)] if isinstance(data, bytes) else data
+    np.cumsum(values * _power(len(data))[0], out=out[1:])
     return out
 
 
+def word_hashes(data: bytes) -> np.ndarray:
+    """A number for each word of ``data``, which is split in slices that end at blanks."""
+    out, at = [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        blank = _BLANK.search(data, at + SLICE)
+        end = blank.start() if blank else len(data)
+        words = data[at:end].split()
+        out.append(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+        at = end
+    return np.concatenate(out)
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` values in a row."""
     n = len(values)
@@ -75,9 +96,8 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def regions(data: bytes, width: int = WIDTH, gram: int = GRAM) -> list[tuple[int, int, int, int, int]]:
-    """(anchor hash, first start, last start, anchor's place, region hash) of ``data``'s anchors."""
-    out: list[tuple[int, int, int, int, int]] = []
+def _chosen(data: bytes | np.ndarray, width: int, gram: int) -> Iterator[tuple]:
+    """Anchors of ``data``, bytes or numbers, by slices: (place and content of the slice, its prefix hashes, and as arrays in it: anchor hashes, first and last starts, anchors' places)."""
     for base in range(0, max(0, len(data) - width + 1), SLICE):
         part = data[base : base + SLICE + width - 1]
         if len(part) < width:
@@ -94,7 +114,14 @@ def regions(data: bytes, width: int = WIDTH, gram: int = GRAM) -> list[tuple[int
         at = _LOW - (least & np.uint64(_LOW)).astype(np.int64)
         edge = np.flatnonzero(np.diff(at)) + 1
         first, last = np.concatenate([[0], edge]), np.concatenate([edge, [len(at)]]) - 1
-        for a, lo, hi, key in zip(at[first].tolist(), first.tolist(), last.tolist(), h[at[first]].view(np.int64).tolist(), strict=True):
+        yield base, part, s, h[at[first]].view(np.int64), first, last, at[first]
+
+
+def regions(data: bytes, width: int = WIDTH, gram: int = GRAM) -> list[tuple[int, int, int, int, int]]:
+    """(anchor hash, first start, last start, anchor's place, region hash) of ``data``'s anchors."""
+    out: list[tuple[int, int, int, int, int]] = []
+    for base, part, _, keys, first, last, at in _chosen(data, width, gram):
+        for a, lo, hi, key in zip(at.tolist(), first.tolist(), last.tolist(), keys.tolist(), strict=True):
             out.append((key, base + lo, base + hi, base + a, xxhash.xxh64_intdigest(part[lo : hi + width], a - lo) - (1 << 63)))
     return out
 
@@ -277,6 +304,7 @@ def repeats(keyed: DataFrame, width: int = WIDTH, together: int = TOGETHER) -> D
     same = found.groupBy("anchor", "region").agg(F.count("*").alias("n"), F.min(F.struct("_row", "lo", "hi", "at")).alias("one"))
     several = same.groupBy("anchor").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.min("n").alias("least")).where("total > 1")
     same = materialize(same.join(several, "anchor").select("anchor", "region", "n", "one", "kinds", "least"), "regions")
+    release(docs.sparkSession)
     whole = found.join(same.where("n > 1").select("anchor", "region"), ["anchor", "region"], "left_semi")
     whole = whole.select("_row", F.col("lo").alias("begin"), (F.col("hi") + width).alias("end"))
     # One region of each content, where anchors are alike and contents differ.
@@ -302,6 +330,70 @@ def repeats(keyed: DataFrame, width: int = WIDTH, together: int = TOGETHER) -> D
     return out if wanted.where(crowded).isEmpty() else out.union(_counted(fetched(wanted.where(crowded)), width))
 
 
+def _word_anchors(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """A row for each region of words and text: how many starts follow its first, and all places where the text has it."""
+    names = ["_row", "anchor", "region", "more", "lows"]
+    for batch in batches:
+        cols: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in names]
+        for row, text in zip(batch.column("_row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for base, part, s, keys, lo, hi, at in _chosen(word_hashes((text or "").encode()), words, min(words, WORD_GRAM)):
+                code = (s[hi + words] - s[lo]) * _power(len(part))[1][lo]
+                code = (code ^ (code >> np.uint64(31))) * np.uint64(_BASE) + ((at - lo) * (words + 1) + hi - lo).view(np.uint64) * np.uint64(_INVERSE)
+                for c, v in zip(cols, (np.full(len(lo), row), keys, code.view(np.int64), hi - lo, base + lo), strict=True):
+                    c.append(v)
+        row, anchor, region, more, lo = (np.concatenate(c) for c in cols)
+        order = np.lexsort((lo, region, anchor, row))
+        row, anchor, region, more, lo = row[order], anchor[order], region[order], more[order], lo[order]
+        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(row)), bool), (np.diff(row) != 0) | (np.diff(anchor) != 0) | (np.diff(region) != 0)]))
+        lows = pa.ListArray.from_arrays(pa.array(np.append(new, len(row)), pa.int32()), pa.array(lo, pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(row[new]), pa.array(anchor[new]), pa.array(region[new]), pa.array(more[new], pa.int32()), lows], names)
+
+
+def _word_codes(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """A row for each string of ``words`` words in the wanted regions, with a hash of it and the places where it starts."""
+    names = ["anchor", "code", "_row", "whole", "starts"]
+    for batch in batches:
+        cols: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(5)] + [[np.zeros(0, bool)]]
+        for row, text, want in zip(*(batch.column(c).to_pylist() for c in ("_row", "text", "wanted")), strict=True):
+            hashes = word_hashes(text.encode())
+            for w in want:
+                n, lows = w["more"] + 1, np.array(w["lows"])
+                h = prefix_hashes(hashes[lows[0] : lows[0] + n - 1 + words])
+                codes = (h[words:] - h[:n]) * _power(n)[1]
+                found = np.full(n, w["anchor"]), codes.view(np.int64), np.full(n, row), np.full(n, len(lows)), (np.arange(n)[:, None] + lows).ravel(), np.full(n, w["whole"])
+                for c, v in zip(cols, found, strict=True):
+                    c.append(v)
+        anchor, code, row, many, start, whole = (np.concatenate(c) for c in cols)
+        starts = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32()), pa.array(start, pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(code), pa.array(row), pa.array(whole), starts], names)
+
+
+def passages(keyed: DataFrame, words: int = WORDS) -> DataFrame:
+    """(_row, begin, end): ranges of words covered by strings of ``words`` words that another row has too, copies included.
+
+    Words are compared, not what is between them.  Regions that several rows
+    have are passages as they are.  Where regions at one anchor differ, one of
+    each content is fetched and its strings are compared start by start.
+    Equal are strings whose 64-bit hashes and whose anchors' are.  A text has
+    a row for each of its different regions, however often it repeats them.
+    """
+    docs = keyed.select("_row", "text")
+    found = docs.mapInArrow(lambda it: _word_anchors(it, words), "_row long, anchor long, region long, more int, lows array<int>")
+    anchor, region = Window.partitionBy("anchor"), Window.partitionBy("anchor", "region")
+    first, last = F.min("_row"), F.max("_row")
+    met = found.withColumn("met", first.over(anchor) < last.over(anchor)).where("met")
+    met = met.withColumn("first", first.over(region)).withColumn("whole", F.col("first") < last.over(region))
+    met = met.withColumn("fetch", F.max(~F.col("whole")).over(anchor) & (F.col("_row") == F.col("first")))
+    met = materialize(met.where("whole or fetch").select("_row", "anchor", "more", "lows", "whole", "fetch"), "met")
+    release(keyed.sparkSession)
+    wanted = met.where("fetch").groupBy("_row").agg(F.collect_list(F.struct("anchor", "more", "lows", "whole")).alias("wanted"))
+    strings = docs.join(wanted, "_row").select("_row", "text", "wanted").mapInArrow(lambda it: _word_codes(it, words), "anchor long, code long, _row long, whole boolean, starts array<int>")
+    same = Window.partitionBy("code", "anchor")
+    shared = strings.withColumn("shared", (first.over(same) < last.over(same)) | F.max("whole").over(same)).where("shared and not whole")
+    ranges = met.where("whole").select("_row", F.explode("lows").alias("begin"), "more").union(shared.select("_row", F.explode("starts").alias("begin"), F.lit(0)))
+    return ranges.select("_row", F.col("begin").cast("long").alias("begin"), (F.col("begin").cast("long") + F.col("more") + words).alias("end"))
+
+
 def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Ranges that do not touch, in order, for any ranges."""
     out: list[tuple[int, int]] = []
@@ -313,39 +405,45 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def dedup(docs: DataFrame, width: int = WIDTH, together: int = TOGETHER) -> DataFrame:
-    """(doc_id, n_bytes, kept, spans) for each row of ``docs``: the bytes left and the ranges removed.
+def dedup(docs: DataFrame, width: int = WIDTH, together: int = TOGETHER, words: int = WORDS) -> DataFrame:
+    """(doc_id, n_bytes, kept, spans, passages) for each row of ``docs``: the bytes left, the ranges removed and passages.
 
     A null text is empty.  Each byte goes that a string of ``width`` bytes
     covers which also starts elsewhere, in the same text or another; strings
     are those of the input.  Repeated rows lose all their long strings.
+    Passages are the ranges, counted in words, of strings of ``words`` words
+    that another row has too; nothing is removed for them.
     """
     keyed = keyed_rows(docs.select("doc_id", "text"))
-    ranges = materialize(repeats(keyed, width, together), "repeats")
-    ranges = ranges.groupBy("_row").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
+    ranges = repeats(keyed, width, together).withColumn("passage", F.lit(False)).union(passages(keyed, words).withColumn("passage", F.lit(True)))
+    ranges = materialize(ranges, "repeats")
+    release(docs.sparkSession)
+    lists = {"ranges": F.when(~F.col("passage"), F.struct("begin", "end")), "begins": F.when(F.col("passage"), F.col("begin")), "ends": F.when(F.col("passage"), F.col("end"))}
+    ranges = ranges.groupBy("_row").agg(*(F.collect_list(c).alias(name) for name, c in lists.items()))
 
     def cut(batches):
         for batch in batches:
-            ids, sizes, kept, spans = batch.column("doc_id"), [], [], []
-            for text, found in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
+            ids, sizes, kept, spans, passages_ = batch.column("doc_id"), [], [], [], []
+            for text, found, begins, ends in zip(*(batch.column(c).to_pylist() for c in ("text", "ranges", "begins", "ends")), strict=True):
                 data, at, left = (text or "").encode(), 0, []
                 spans.append(merge([(r["begin"], r["end"]) for r in found or ()]))
+                passages_.append(merge(list(zip(begins or (), ends or (), strict=True))))
                 for a, b in spans[-1]:
                     left.append(data[at:a])
                     at = b
                 sizes.append(len(data))
                 kept.append(b"".join([*left, data[at:]]))
-            pairs = pa.array([[{"begin": a, "end": b} for a, b in s] for s in spans], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), pairs], ["doc_id", "n_bytes", "kept", "spans"])
+            pairs = [pa.array([[{"begin": a, "end": b} for a, b in s] for s in x], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))) for x in (spans, passages_)]
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(kept, pa.binary()), *pairs], ["doc_id", "n_bytes", "kept", "spans", "passages"])
 
-    joined = keyed.join(ranges, "_row", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "ranges")
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, kept binary, spans array<struct<begin: long, end: long>>")
+    joined = keyed.join(ranges, "_row", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "text", *lists)
+    return joined.mapInArrow(cut, "doc_id long, n_bytes long, kept binary, spans array<struct<begin: long, end: long>>, passages array<struct<begin: long, end: long>>")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dedup(table(spark, sf_dir, "documents"))
     removed = F.col("n_bytes") - F.length("kept")
-    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), F.size("passages").cast("long").alias("n_passages"))
 
 
 def brute_force(texts_: list[str], width: int = WIDTH) -> list[tuple[int, int, int, str]]:
@@ -365,5 +463,14 @@ def brute_force(texts_: list[str], width: int = WIDTH) -> list[tuple[int, int, i
     return out
 
 
+def brute_force_passages(texts_: list[str], words: int = WORDS) -> list[list[tuple[int, int]]]:
+    """Passages of each text, by a table of all strings of ``words`` words."""
+    split, seen = [t.encode().split() for t in texts_], {}
+    for i, w in enumerate(split):
+        for k in range(len(w) - words + 1):
+            seen.setdefault(tuple(w[k : k + words]), set()).add(i)
+    return [merge([(k, k + words) for k in range(len(w) - words + 1) if len(seen[tuple(w[k : k + words])]) > 1]) for w in split]
+
+
 QUERIES = {"op7_substring_dedup": op7_substring_dedup}
 ORACLE_SQL: dict[str, str] = {}

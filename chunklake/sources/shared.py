@@ -60,3 +60,8 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     with small_batches(spark):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver's JVM collect garbage, so that Spark deletes the shuffle files of steps that are done; else they stay until a collection of its own."""
+    spark.sparkContext._jvm.System.gc()

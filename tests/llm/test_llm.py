@@ -542,6 +542,38 @@ def test_substrings(spark, together):
     assert [got[i] for i in range(len(rows))] == want
 
 
+def _passages(frame, **how):
+    return {r.doc_id: [(p.begin, p.end) for p in r.passages] for r in substring_dedup.dedup(frame, **how).collect()}
+
+
+def test_passages_shorter_than_a_removed_string(spark):
+    rng = random.Random(11)
+    prose = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(1000)) for _ in range(n)]
+    passage = prose(55)
+    assert len(" ".join(passage)) < 400
+    rows = [(0, " ".join(prose(70) + passage + prose(30))), (1, "\n".join(passage)), (2, " ".join(passage[:49] + prose(90))), (3, " ".join(prose(60)) + " x" * 300), (4, None)]
+    found = substring_dedup.dedup(table(spark, rows)).select("doc_id", F.size("spans"), F.size("passages")).where("doc_id < 3")
+    assert sorted(map(tuple, found.collect())) == [(0, 0, 1), (1, 0, 1), (2, 0, 0)]
+    assert _passages(table(spark, rows)) == {0: [(70, 125)], 1: [(0, 55)], 2: [], 3: [], 4: []}
+
+
+@pytest.mark.parametrize("words", [1, 6, 50])
+def test_passages(spark, words, monkeypatch):
+    rng = random.Random(words)
+    prose = lambda n: [rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(n)]
+    shared, twice = prose(160), prose(60)
+    parts = [[], shared, shared[:50], shared[20:69], twice + ["z"] + twice, prose(40) + shared[10:90] + prose(40), shared[:70] + ["y"] + shared[71:], ["x"] * 130, ["x"] * 51 + ["w"]]
+    # Of a region that several rows have, and one of the first row's own at the same anchor.
+    parts += [shared[:80] + prose(30) + shared[5:75] + prose(9), shared[:80] + prose(20), prose(200), prose(200), *([prose(60)] * 3)]
+    parts += [prose(rng.randint(0, 40)) + shared[rng.randint(0, 60) :][: rng.randint(30, 90)] + prose(20) for _ in range(30)]
+    texts_ = ["".join(w + rng.choice((" ", "\n", "\t ")) for w in p) for p in parts]
+    got = _passages(table(spark, list(enumerate(texts_))), words=words)
+    assert [got[i] for i in range(len(texts_))] == substring_dedup.brute_force_passages(texts_, words)
+    whole = [substring_dedup.word_hashes(t.encode()).tolist() for t in texts_]
+    monkeypatch.setattr(substring_dedup, "SLICE", 37)
+    assert [substring_dedup.word_hashes(t.encode()).tolist() for t in texts_] == whole
+
+
 def test_substrings_odd_rows(docs, empty):
     got = sorted((r.n_bytes, len(r.kept)) for r in substring_dedup.dedup(docs).collect())
     assert got == sorted((w[0], w[0] - w[1]) for w in substring_dedup.brute_force([t or "" for _, t in ODD]))
