@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -63,5 +64,10 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Have the driver's JVM collect garbage, so that Spark deletes the shuffle files of steps that are done; else they stay until a collection of its own."""
-    spark.sparkContext._jvm.System.gc()
+    """Have the driver's JVM collect garbage, so that Spark deletes the shuffle files of steps that are done; else they stay until a collection of its own.
+
+    Right after a step something still refers to it (measured: nothing is deleted), so there is a second collection a second later.
+    """
+    for wait in (1, 0):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(wait)
