@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["WORD", "drop_tables", "keyed_rows", "materialize", "release", "shared_dir", "table", "texts", "whole_rows"]
+__all__ = ["WORD", "drop_tables", "give_back", "keyed_rows", "materialize", "release", "shared_dir", "table", "texts", "whole_rows"]
 
 
 def drop_tables(spark: SparkSession) -> None:
@@ -25,6 +29,13 @@ def drop_tables(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """This Python gives back to the system what it has freed: Arrow and the C library keep it for later, beside a JVM whose heap is still to grow."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def texts(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` and ``text`` (null: empty) and the columns ``more``, no others."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *more)

@@ -10,31 +10,30 @@ their rank within their length, with one range join against the patterns.
 from __future__ import annotations
 
 import json
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import chain, islice
 from pathlib import Path
 from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chunklake.llm.common import materialize, table, texts
+from chunklake.llm.common import give_back, materialize, table, texts
 
 SEQUENCE = 2048
 END = 1
-#: Words whose ids a Python worker remembers, at most: some 30 MB, which it keeps when other tasks run in it. Frequent ones come early, and most later ones never again.
+#: Chunks whose ids a Python worker remembers, at most: some 5 MB, which it keeps when other tasks run in it.
 REMEMBERED = 1 << 17
-#: Characters of text that are tokenised together, at most, but for one text.
-TOGETHER = 4_000_000
+#: Bytes that are tokenised together, at most, but for one text; a row counts as ``ROW`` bytes more.
+TOGETHER, ROW = 4_000_000, 64
+#: The id that ends a chunk while it is tokenised, above all of a vocabulary's.
+_CHUNK_END = 1 << 31
 
-_CHUNKS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
-_known: dict[str, dict[str, bytes]] = {}
+_known: dict[str, pa.Table] = {}
 _encoders: dict = {}
 
 
@@ -48,8 +47,8 @@ class _Encoder:
     """Ids of blank-separated chunks, as the tokenizer file defines them.
 
     Chunks of Latin letters and signs, nearly all, go through the file's merges
-    in tiktoken, a few times faster; all others, and chunks that may hold a
-    special token, go to the tokenizer itself.  Tests hold both against it.
+    in tiktoken, all in one call; all others, and chunks that may hold a special
+    token, go to the tokenizer itself.  Tests hold both against it.
     """
 
     def __init__(self, path: str):
@@ -66,71 +65,106 @@ class _Encoder:
         for token, number in model["model"]["vocab"].items():
             if token not in special:
                 word = token.removesuffix("</w>")
-                ranks[bytes(map(byte.__getitem__, word)) + b"\xff" * (word != token)] = number
-        # No UTF-8 text holds the byte 255; it stands for the end of a word.
-        self.merge = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-        self.words = regex.compile(model["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
-        self.odd = regex.compile(r"[^\x00-\u024f]|<\|").search
+                ranks[bytes(map(byte.__getitem__, word)) + b" " * (word != token)] = number
+        # Words hold no white space: a blank stands for the end of a word, a line end for that of a chunk.
+        ranks[b"\n"] = _CHUNK_END
+        self.merge = tiktoken.Encoding("words", pat_str=r"[^ \n]+ |\n", mergeable_ranks=ranks, special_tokens={}).encode_to_numpy
+        self.words = regex.compile(model["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        # White space that does not part chunks would look like an end of a word.
+        self.odd = r"[^\x00-\x{24f}]|<\||[\s\x0b\x{85}\x{a0}]"
 
     def __call__(self, chunks: list[str]) -> dict[str, bytes]:
-        found, odd = {}, []
-        for chunk in chunks:
-            if self.odd(chunk):
-                odd.append(chunk)
-                continue
-            ids: list[int] = []
-            for word in self.words(normalize("NFC", chunk).lower()):
-                ids += self.merge(word.encode() + b"\xff")
-            found[chunk] = array("I", ids).tobytes()
-        for i in range(0, len(odd), 20_000):
-            part = odd[i : i + 20_000]
-            encoded = self.slow.encode_batch_fast(part, add_special_tokens=False)
-            found.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, encoded, strict=True))
-        return found
-
-
-def encode(texts_: list[str], path: str) -> list[bytes]:
+        return dict(zip(chunks, self.ids(pa.array(chunks, pa.large_string())).to_pylist(), strict=True))
+
+    def ids(self, chunks: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """The ids of each chunk, as little-endian unsigned 32-bit numbers."""
+        odd = pc.match_substring_regex(chunks, self.odd).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return self._merged(chunks)
+        found = [self._merged(chunks.filter(pa.array(~odd)))]
+        rest = chunks.filter(pa.array(odd))
+        for i in range(0, len(rest), 20_000):
+            encoded = self.slow.encode_batch_fast(rest[i : i + 20_000].to_pylist(), add_special_tokens=False)
+            found.append(pa.array([np.array(e.ids, "<u4").tobytes() for e in encoded], pa.large_binary()))
+        at = np.empty(len(chunks), np.int64)
+        at[np.argsort(odd, kind="stable")] = np.arange(len(chunks))
+        return pa.concat_arrays(found).take(pa.array(at))
+
+    def _merged(self, chunks: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        if not len(chunks):
+            return pa.array([], pa.large_binary())
+        joined = _joined(pa.ListArray.from_arrays(pa.array([0, len(chunks)], pa.int32()), chunks), "\n")[0].as_py()
+        text = self.words.sub(r"\g<0> ", normalize("NFC", joined + "\n").lower())
+        ids = self.merge(text, disallowed_special=()).astype("<u4")
+        ends = np.flatnonzero(ids == _CHUNK_END)
+        offsets = np.concatenate([[0], 4 * (ends - np.arange(len(ends)))]).astype(np.int64)
+        data = ids[ids != _CHUNK_END].tobytes()
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _joined(lists: pa.ListArray, by: str | bytes) -> pa.Array:
+    return pc.binary_join(lists, pa.scalar(by, lists.type.value_type))
+
+
+def encode(texts_: list[str] | pa.LargeStringArray, path: str) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit numbers, without an end.
 
     The tokenizer drops white space and never joins what it separates, so the
     ids of a text are those of its blank-separated chunks in a row, and each
-    distinct chunk is tokenised once.
+    distinct chunk is tokenised once.  Chunks stay in Arrow throughout; there is
+    no Python object for each of them.
     """
     if path not in _encoders:
-        _encoders[path], _known[path] = _Encoder(path), {}
+        _encoders[path], _known[path] = _Encoder(path), pa.table({"chunk": pa.array([], pa.large_string()), "ids": pa.array([], pa.large_binary())})
     known = _known[path]
-    split = [_CHUNKS.findall(t) for t in texts_]
-    found = _encoders[path](list({c for c in chain.from_iterable(split) if c not in known}))
-    both = known
-    if len(known) + len(found) > REMEMBERED:
-        both = known | found
-        found = dict(islice(found.items(), max(0, REMEMBERED - len(known))))
-    known.update(found)
-    return [b"".join(map(both.__getitem__, s)) for s in split]
+    split = pc.ascii_split_whitespace(texts_ if isinstance(texts_, pa.Array) else pa.array(texts_, pa.large_string()))
+    chunks = split.flatten().dictionary_encode()
+    use = chunks.indices.to_numpy()
+    at = pc.index_in(chunks.dictionary, value_set=known["chunk"]).fill_null(-1).to_numpy().astype(np.int64)
+    new = at < 0
+    found = pa.table({"chunk": chunks.dictionary.filter(pa.array(new))})
+    found = found.append_column("ids", _encoders[path].ids(found["chunk"].combine_chunks()))
+    at[new] = len(known) + np.arange(len(found))
+    ids = pa.concat_arrays([*known["ids"].chunks, *found["ids"].chunks]).take(pa.array(at[use]))
+    if len(known) < REMEMBERED:
+        # Most chunks that come once among these never come again.
+        often = found.filter(pa.array(np.bincount(use, minlength=len(at))[new] > 1))
+        _known[path] = pa.concat_tables([known, often[: REMEMBERED - len(known)]]).combine_chunks()
+    return _joined(pa.ListArray.from_arrays(split.offsets, ids), b"").to_pylist()
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in tables of ``TOGETHER`` bytes, at most, but for one text."""
+    held, size = [], 0
+    for batch in batches:
+        begin = 0
+        for at, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
+            if size and size + n + ROW > TOGETHER:
+                yield pa.Table.from_batches([*held, batch[begin:at]])
+                held, size, begin = [], 0, at
+            size += n + ROW
+        held.append(batch[begin:])
+    if size:
+        yield pa.Table.from_batches(held)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, size: int, end: int) -> Iterator[pa.RecordBatch]:
     part, seen = TaskContext.get().partitionId(), np.zeros(size + 1, np.int64)
     last = np.array([end], "<u4").tobytes()
-    for batch in batches:
-        ids, text = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-        begin = 0
-        while begin < len(text):
-            stop, chars = begin, 0
-            while stop < len(text) and (stop == begin or chars + len(text[stop]) <= TOGETHER):
-                chars += len(text[stop])
-                stop += 1
-            rows = []
-            for doc, data in zip(ids[begin:stop], encode(text[begin:stop], path), strict=True):
-                data += last
-                n = len(data) // 4
-                for at in range(0, n, size):
-                    piece = data[at * 4 : (at + size) * 4]
-                    length = len(piece) // 4
-                    rows.append((doc, at, length, zlib.crc32(piece), n, part, int(seen[length])))
-                    seen[length] += 1
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "seen"])
-            begin = stop
+    for table_ in _together(batches):
+        text = table_["text"].cast(pa.large_string()).combine_chunks()
+        rows = []
+        for doc, data in zip(table_["doc_id"].to_pylist(), encode(text, path), strict=True):
+            data += last
+            n = len(data) // 4
+            for at in range(0, n, size):
+                piece = data[at * 4 : (at + size) * 4]
+                length = len(piece) // 4
+                rows.append((doc, at, length, zlib.crc32(piece), n, part, int(seen[length])))
+                seen[length] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "part", "seen"])
+        del table_, text, rows
+    give_back()  # the worker stays, for other tasks
 
 
 def patterns(histogram: dict[int, int], size: int = SEQUENCE) -> list[tuple[int, list[int]]]:

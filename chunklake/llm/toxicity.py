@@ -16,9 +16,7 @@ among the nearest are completed: the neighbours are exact.
 
 from __future__ import annotations
 
-import contextlib
 import copy
-import ctypes
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chunklake.llm.common import give_back as _give_back
 from chunklake.llm.common import keyed_rows, materialize, table
 
 #: Labelled texts that are kept as examples, at most, half of them toxic; longer ones, in characters, are no examples.
@@ -320,13 +319,6 @@ def fit_score(keyed: DataFrame, labels: DataFrame, examples: int = EXAMPLES) ->
     return scored
 
 
-def _give_back() -> None:
-    """The driver's Python gives back to the system what it has freed: Arrow and the C library keep it for later, beside a JVM whose heap is still to grow."""
-    pa.default_memory_pool().release_unused()
-    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
-        ctypes.CDLL(None).malloc_trim(0)
-
-
 def held_out():
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 

@@ -203,6 +203,39 @@ def test_words_are_tokenised_as_the_tokenizer_does():
     assert packing.encode(texts_, path) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts_]
 
 
+def test_new_words_are_tokenised_in_one_call(monkeypatch):
+    """Not one by one, which took most of packing's time; repeated ones are remembered, odd ones keep their place."""
+    from tokenizers import Tokenizer
+
+    path = packing.default_tokenizer()
+    plain = Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "_encoders", {})
+    monkeypatch.setattr(packing, "_known", {})
+    packing.encode([""], path)
+    encoder, calls = packing._encoders[path], []
+    merge = encoder.merge
+    monkeypatch.setattr(encoder, "merge", lambda text, *a, **b: calls.append(text) or merge(text, *a, **b))
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts_ = [f" qz{i}x, twice{i} twice{i} " + "日 <|endoftext|>z a\x00b" * (i % 3 == 0) for i in range(3000)]
+    texts_ += [f"a{b}b{b}{b}É {b}c,{b}" for b in blanks] + ["", "\n", *(b * 3 for b in blanks)]
+    want = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch_fast(texts_, add_special_tokens=False)]
+    assert packing.encode(texts_, path) == want and len(calls) == 1
+    assert packing.encode([f"twice{i}" for i in range(3000)], path) == [np.array(plain.encode(f"twice{i}").ids, "<u4").tobytes() for i in range(3000)]
+    assert len(calls) == 1
+
+
+def test_texts_are_tokenised_together_in_bounds(monkeypatch):
+    """Rows of many small batches, or of a large one, in order; one text above the bound comes alone."""
+    monkeypatch.setattr(packing, "TOGETHER", 1000)
+    text = ["x" * n for n in [0, 10, 300, 500, 5000, 0, 900, 20, *[7] * 100]]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(len(text))), pa.array(text)], ["doc_id", "text"])
+    for batches in ([whole], [whole[i : i + 1] for i in range(len(text))], [whole[:0], whole[:50], whole[50:], whole[:0]]):
+        got = [t.to_pydict() for t in packing._together(iter(batches))]
+        assert [x for g in got for x in g["text"]] == text and [x for g in got for x in g["doc_id"]] == list(range(len(text)))
+        assert all(len(g["text"]) == 1 or sum(len(x) + packing.ROW for x in g["text"]) <= 1000 for g in got) and 10 < len(got) < 16
+    assert not list(packing._together(iter([]))) and not list(packing._together(iter([whole[:0]])))
+
+
 def test_patterns_hold_the_histogram():
     rng = random.Random(1)
     hist = {rng.randint(1, 2048): rng.randint(1, 9) for _ in range(300)}
