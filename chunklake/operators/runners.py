@@ -14,8 +14,9 @@ import signal
 import subprocess
 import sys
 import tempfile
+import time
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import closing, contextmanager
 from dataclasses import dataclass, replace
 from multiprocessing.connection import Connection
 from pathlib import Path
@@ -70,6 +71,13 @@ def _end(process: subprocess.Popen) -> int:
     return process.wait()
 
 
+@contextmanager
+def _scratch() -> Iterator[str]:
+    """A folder by its real name, which a command that works in it knows too: TMPDIR may be told from where a process works."""
+    with tempfile.TemporaryDirectory(prefix="attempt-", dir=os.path.realpath(tempfile.gettempdir()), ignore_cleanup_errors=True) as folder:
+        yield folder
+
+
 @dataclass(frozen=True)
 class Command:
     """A model that is a command: it reads a CSV file with the one column ``column`` and writes one.
@@ -78,18 +86,23 @@ class Command:
     written the file within ``seconds``; otherwise the reason is ``EXIT n: `` and what it
     wrote to standard error, or ``TIMEOUT after n s``.  What it wrote before it failed does not count.
     Each run has a folder of its own that goes with it.  Columns of the output that repeat the input are left out.
+
+    One that ``stays`` is told of its runs while it goes on, see :class:`Staying`.
     """
 
     argv: tuple[str, ...]
     column: str = "smiles"
     seconds: float | None = None
     inputs: tuple[str, ...] = INPUT_COLUMNS
+    stays: bool = False
 
     def __call__(self, values: list[str]) -> pd.DataFrame:
-        with tempfile.TemporaryDirectory(prefix="attempt-", ignore_cleanup_errors=True) as folder:
+        if self.stays:
+            with closing(Staying(self)) as run:
+                return run(values)
+        with _scratch() as folder:
             source, target, said = (Path(folder, n) for n in ("input.csv", "output.csv", "stderr.txt"))
-            with source.open("w", newline="", encoding="utf-8", errors="replace") as f:
-                csv.writer(f).writerows([[self.column], *([v] for v in values)])
+            self.give(source, values)
             names = {"{input}": str(source), "{output}": str(target), "{python}": sys.executable}
             with said.open("wb") as errors:
                 process = subprocess.Popen([names.get(a, a) for a in self.argv], cwd=folder, stdin=subprocess.DEVNULL, stdout=subprocess.DEVNULL, stderr=errors, start_new_session=True)
@@ -103,9 +116,13 @@ class Command:
                 raise ModelFailure(f"EXIT {code}: {one_line(said.read_text('utf-8', 'replace'))}")
             if not target.exists():
                 raise ModelFailure("EXIT 0: no output")
-            return self._read(target)
+            return self.take(target)
 
-    def _read(self, target: Path) -> pd.DataFrame:
+    def give(self, source: Path, values: list[str]) -> None:
+        with source.open("w", newline="", encoding="utf-8", errors="replace") as f:
+            csv.writer(f).writerows([[self.column], *([v] for v in values)])
+
+    def take(self, target: Path) -> pd.DataFrame:
         csv.field_size_limit(LONGEST_FIELD)
         with target.open(newline="", encoding="utf-8-sig", errors="replace") as f:
             rows = [r for r in csv.reader(f) if r]
@@ -114,6 +131,95 @@ class Command:
         return pd.DataFrame({n: [r[i] if i < len(r) else "" for r in rows[1:]] for n, i in places.items()}, index=range(len(rows) - 1 if rows else 0))
 
 
+class Staying:
+    """A command that is started once for many runs, as one that takes long to start may ask for, and anew once it has ended.
+
+    For each run it reads a line from its standard input, the names of input and output with a tab between them, and
+    when the output is whole it writes the output's name as a line to its standard output, where other lines are
+    ignored.  It fails by ending instead, with a code as any command; what it has written to standard error since the
+    run began is the reason.  Runs that succeed share the process: it reads on until its input ends, and carries nothing from one to the next.
+    """
+
+    def __init__(self, command: Command):
+        self.command, self.runs = command, 0
+        self.process: subprocess.Popen | None = None
+
+    def _start(self) -> None:
+        self.scratch = _scratch()
+        self.folder = Path(self.scratch.__enter__())
+        try:
+            # Appended to, so that it can be emptied between runs.
+            with (self.folder / "stderr.txt").open("ab") as errors:
+                argv = [sys.executable if a == "{python}" else a for a in self.command.argv]
+                self.process = subprocess.Popen(argv, cwd=self.folder, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=errors, bufsize=0, start_new_session=True)
+        except OSError:
+            self.scratch.__exit__(None, None, None)
+            raise
+        self.life, self.rest = os.pidfd_open(self.process.pid), b""
+        self.signs = select.poll()
+        for line in (self.life, self.process.stdout.fileno()):
+            self.signs.register(line, select.POLLIN)
+
+    def _answered(self, answer: bytes) -> bool | None:
+        """Whether the command has written ``answer`` in time; None if it has ended."""
+        out, seconds = self.process.stdout.fileno(), self.command.seconds
+        until = None if seconds is None else time.monotonic() + seconds
+        while True:
+            left = None if until is None else until - time.monotonic()
+            if left is not None and left <= 0:
+                return False
+            ready = {line for line, _ in self.signs.poll(None if left is None else math.ceil(left * 1000))}
+            if out in ready:
+                new = os.read(out, 1 << 16)
+                if not new:  # no answer can come any more; its end may still be to come
+                    self.signs.unregister(out)
+                    self.process.stdin.close()
+                *lines, self.rest = (self.rest + new).split(b"\n")
+                if answer in lines:
+                    return True
+            elif self.life in ready:
+                return None
+
+    def __call__(self, values: list[str]) -> pd.DataFrame:
+        if self.process is not None and _exited(self.process.pid, 0):
+            self.close()
+        if self.process is None:
+            self._start()
+        self.runs += 1
+        source, target, said = (self.folder / n for n in (f"input{self.runs}.csv", f"output{self.runs}.csv", "stderr.txt"))
+        try:
+            self.command.give(source, values)
+            os.truncate(said, 0)
+            try:
+                self.process.stdin.write(f"{source}\t{target}\n".encode())
+                answered = self._answered(str(target).encode())
+            except BrokenPipeError:
+                answered = None if _exited(self.process.pid, self.command.seconds) else False
+            if answered is False:
+                raise ModelFailure(f"TIMEOUT after {self.command.seconds:g} s")
+            if answered is None:
+                code = _end(self.process)
+                raise ModelFailure(f"EXIT {code}: {one_line(said.read_text('utf-8', 'replace')) or 'the command ended without an answer'}")
+            if not target.exists():
+                raise ModelFailure("no output")
+            out = self.command.take(target)
+        except BaseException:
+            self.close()
+            raise
+        for used in (source, target):
+            used.unlink(missing_ok=True)
+        return out
+
+    def close(self) -> None:
+        process, self.process = self.process, None
+        if process is not None:
+            _end(process)
+            os.close(self.life)
+            process.stdin.close()
+            process.stdout.close()
+            self.scratch.__exit__(None, None, None)
+
+
 class Limited:
     """A Python model in a process of its own, started anew once a run has been ended."""
 
@@ -182,14 +288,15 @@ def trials(model: Model, seconds: float | None = None) -> Iterator[Trial]:
     """A function that runs ``model`` once.  Success is as many rows out as in, within ``seconds``;
     otherwise it tells the exception, the exit code, the time limit or the numbers of rows.
 
-    A Python model under a time limit has one process for all runs that end by themselves.
+    A Python model under a time limit has one process for all runs that end by themselves, and so has a command that stays.
     """
-    limited = None
-    if seconds is not None:
-        if isinstance(model, Command):
-            model = replace(model, seconds=seconds)
-        else:
-            model = limited = Limited(model, seconds)
+    kept = None
+    if isinstance(model, Command):
+        model = model if seconds is None else replace(model, seconds=seconds)
+        if model.stays:
+            model = kept = Staying(model)
+    elif seconds is not None:
+        model = kept = Limited(model, seconds)
 
     def trial(values: list[str]) -> tuple[pd.DataFrame | None, str]:
         try:
@@ -203,5 +310,5 @@ def trials(model: Model, seconds: float | None = None) -> Iterator[Trial]:
     try:
         yield trial
     finally:
-        if limited:
-            limited.close()
+        if kept:
+            kept.close()

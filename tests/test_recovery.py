@@ -2,6 +2,7 @@
 
 import os
 import random
+import subprocess
 import sys
 import threading
 import time
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from chunklake.operators import fragments, models, reconcile, runs
 from chunklake.operators.runners import Command, ModelFailure, trials
+from chunklake.plans import catalogue
 from chunklake.sources import chunk_sink, open_files, published
 from chunklake.sources.archive import Layout, archives_of
 from chunklake.streaming import incremental, progress
@@ -194,6 +196,92 @@ def test_ranges_that_go_over_batches(spark, most):
     assert got == {(c, i): tuple(want[c].iloc[i][["n", "status", "details"]]) for c, held in values.items() for i in range(len(held))}
 
 
+# commands that stay
+
+
+def staying(code, **options):
+    """``code`` has a run's ``values`` and the names of its files."""
+    loop = "import csv, os, sys, time\nfor line in sys.stdin:\n    source, target = line.rstrip('\\n').split('\\t')\n    values = [r['smiles'] for r in csv.DictReader(open(source, newline=''))]\n"
+    return Command((sys.executable, "-c", loop + "".join(f"    {c}\n" for c in code)), stays=True, **options)
+
+
+WRITE = ["with open(target, 'w', newline='') as f: csv.writer(f).writerows([['pid', 'n'], *([os.getpid(), len(v)] for v in values)])"]
+ANSWER = ["print('noise'); print(target, flush=True)"]
+READ = "'bad' in values and sys.exit('bad\\nrow')"
+
+
+def test_a_command_that_stays_is_started_anew_only_where_it_has_ended():
+    values = ['a"b', " c,d ", "two\nlines", "e\r\n", "ü"]
+    with trials(staying(["print('for the', len(values), file=sys.stderr, flush=True)", READ, *WRITE, *ANSWER]), 30) as trial:
+        first, again = trial(values)[0], trial(["b"])[0]
+        assert first["n"].tolist() == [str(len(v)) for v in values] and again["pid"].tolist() == first["pid"].tolist()[:1]
+        folder = os.readlink(f"/proc/{again['pid'][0]}/cwd")
+        assert os.listdir(folder) == ["stderr.txt"]
+        assert trial(["x", "bad"]) == (None, "EXIT 1: for the 2 | bad | row")  # nothing of the runs before
+        assert not _alive(again["pid"][0]) and not os.path.exists(folder)
+        last = trial(["c"])[0]["pid"][0]
+        assert last != again["pid"][0] and _alive(last)
+    assert not _alive(last)
+    assert staying(WRITE + ANSWER)(["abc"])["n"].tolist() == ["3"]
+
+
+@pytest.mark.parametrize(
+    ("code", "why"),
+    [
+        (["sys.exit(3)"], "EXIT 3: the command ended without an answer"),
+        ([*WRITE, "sys.exit(7)"], "EXIT 7: the command ended without an answer"),  # whole output, but a failure
+        ([*WRITE, "sys.exit(0)"], "EXIT 0: the command ended without an answer"),
+        ([*WRITE, "os.close(1)"], "EXIT 0: the command ended without an answer"),
+        (["os.kill(os.getpid(), 9)"], "EXIT -9: the command ended without an answer"),
+        (ANSWER, "no output"),
+        (["open(target, 'w').write('n\\n1\\n')", *ANSWER], "3 rows in, 1 out"),
+        ([*WRITE, "time.sleep(60)"], "TIMEOUT after 0.7 s"),
+        ([*WRITE, "while True: print('noise', flush=True)"], "TIMEOUT after 0.7 s"),
+        (["import subprocess", "subprocess.Popen(['sleep', '60'])", "sys.exit(5)"], "EXIT 5: the command ended without an answer"),
+    ],
+)
+def test_failing_commands_that_stay_say_why(code, why):
+    began = time.time()
+    with trials(staying(code), 0.7 if why.startswith("TIMEOUT") else 30) as trial:
+        assert [trial(["a", "b", "c"]), trial(["a", "b", "c"])] == [(None, why)] * 2
+    assert time.time() - began < 20
+
+
+def test_commands_that_end_before_they_read_and_that_are_not_there():
+    assert run(Command((sys.executable, "-c", "import sys; sys.exit('broken')"), stays=True), ["a" * 99], 30) == (None, "EXIT 1: broken")
+    assert "/nowhere/at/all" in run(Command(("/nowhere/at/all",), stays=True), ["a"])[1]
+
+
+def test_commands_that_stay_are_isolated_over_the_cluster(spark):
+    df = spark.createDataFrame([(c, i, "bad" if i == 3 else f"v{i}") for c in range(40) for i in range(20)], "chunk_no int, idx int, v string")
+    scored, log = models.score_spread(df, "v", staying([READ, *WRITE, *ANSWER]), ["n", "pid"], seconds=60)
+    got = {(r.chunk_no, r.idx): (r.n, r.status, r.details) for r in scored.collect()}
+    assert got == {(c, i): ("", "FAIL", "EXIT 1: bad | row") if i == 3 else (str(len(f"v{i}")), "OK", "") for c in range(40) for i in range(20)}
+    ended = log.where("outcome <> 'OK'").count()
+    assert scored.where("status = 'OK'").select("pid").distinct().count() <= ended + log.select("round", "task").distinct().count() < log.count()
+
+
+def test_the_command_of_q55_is_not_started_for_each_trial(spark, sf_dir, monkeypatch):
+    given, started, popen = [], [], subprocess.Popen
+    monkeypatch.setattr(models, "score_spread", lambda chunked, value, model, columns, **more: given.append(model) or (chunked.selectExpr("doc_id", "'' AS status", "'' AS n", "'' AS details"), None))
+    catalogue.QUERIES["Q55_command_model"](spark, sf_dir)
+    monkeypatch.setattr(subprocess, "Popen", lambda *a, **b: started.append(a) or popen(*a, **b))
+    values = [f"text {i}" + "&&&" * (i in (3, 250, 251, 499)) for i in range(500)]
+    out = models.isolate(given[0], values, ["n"], seconds=120)
+    assert out["status"].tolist() == ["FAIL" if "&&&" in v else "OK" for v in values] and out["n"].tolist() == ["" if "&&&" in v else str(len(v)) for v in values]
+    assert out.loc[out["status"] == "FAIL", "details"].tolist() == ["EXIT 1: bad row"] * 4
+    # Of 1 + 10 + 3 * 10 + 3 * 5 trials, eleven end the command: the whole, 3 parts, 3 of theirs and 4 rows.
+    assert len(started) <= 12
+
+
+@pytest.mark.parametrize("model", [command(COPY), staying(WRITE + ANSWER)])
+def test_a_temporary_folder_told_from_where_a_process_works(tmp_path, monkeypatch, model):
+    monkeypatch.chdir(tmp_path)
+    monkeypatch.setattr("tempfile.tempdir", "/proc/self/cwd")
+    out, why = run(model, ["abc"], 30)
+    assert why == "" and out["n"].tolist() == ["3"] and not list(tmp_path.iterdir())
+
+
 # files that are whole or not there
 
 
