@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 # What counts as blank at the ends of a value, and file names.
 STRIP = r"^[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+$"
+SOLID = r"[^\s\x1c-\x1f\x85\p{Z}]"
 CHUNK_FILE = r"(?:^|_)chunk_(\d+)\.csv$"
 RESULT_FILE = r"_results_(\d+)\.csv$"
 RANGE_FILE = r"^result_(\d+)_(\d+)\.csv$"
@@ -17,6 +18,11 @@ def strip(value: Column) -> Column:
     return F.regexp_replace(F.coalesce(value, F.lit("")), STRIP, "")
 
 
+def blank(value: Column) -> Column:
+    """Whether :func:`strip` leaves nothing: told by the first character that is no blank, not by a pass over the whole value."""
+    return ~F.coalesce(value, F.lit("")).rlike(SOLID)
+
+
 def label(number: Column) -> Column:
     """A chunk number with at least three digits."""
     return F.format_string("%03d", number)

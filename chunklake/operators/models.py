@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunklake.functions.text import strip
+from chunklake.functions.text import blank
 from chunklake.operators.runners import Model, Trial, trials
 from chunklake.sources.shared import materialize
 
@@ -27,7 +27,7 @@ def texts(out: pd.DataFrame, column: str) -> list[str]:
     """A model's results in one of the declared columns, as strings; what is missing is ''."""
     if column not in out.columns:
         return [""] * len(out)
-    return ["" if gone else str(v) for v, gone in zip(out[column].astype(object), out[column].isna(), strict=True)]
+    return ["" if gone else str(v) for v, gone in zip(out[column].tolist(), out[column].isna().tolist(), strict=True)]
 
 
 def as_text(out: pd.DataFrame, columns: list[str]) -> pd.DataFrame:
@@ -150,13 +150,13 @@ def score_spread(
     not blank, ``round``, ``rows``, ``outcome`` (OK, FAIL or SPLIT), ``details`` and ``task``, its partition in the round.
     """
     wanted = [*keys, "idx", value, *carry]
-    rows = chunked.select(*wanted).withColumn("_blank", strip(F.col(value).cast("string")) == "")
+    rows = chunked.select(*wanted).withColumn("_blank", blank(F.col(value).cast("string")))
     place = Window.partitionBy(*keys)
     live = rows.where(~F.col("_blank")).drop("_blank")
     live = live.withColumn("_pos", F.row_number().over(place.orderBy("idx")) - 1).withColumn("_end", F.count("*").over(place).cast("int") - 1)
     work = materialize(live.withColumns({"_start": F.lit(0), "_above": F.lit(None).cast("int"), "_below": F.lit(None).cast("int"), "_reason": F.lit(None).cast("string")}), "work")
-    blank = rows.where("_blank").select(*wanted, *[F.lit("").alias(c) for c in columns], F.lit(SKIP).alias("status"), F.lit("empty").alias("details"))
-    done, log, turn = [blank], [], 0
+    skipped = rows.where("_blank").select(*wanted, *[F.lit("").alias(c) for c in columns], F.lit(SKIP).alias("status"), F.lit("empty").alias("details"))
+    done, log, turn = [skipped], [], 0
     first = F.col("_pos") == F.col("_start")
     ranges = work.where(first).count()
     while ranges:

@@ -136,8 +136,9 @@ class Staying:
 
     For each run it reads a line from its standard input, the names of input and output with a tab between them, and
     when the output is whole it writes the output's name as a line to its standard output, where other lines are
-    ignored.  It fails by ending instead, with a code as any command; what it has written to standard error since the
-    run began is the reason.  Runs that succeed share the process: it reads on until its input ends, and carries nothing from one to the next.
+    ignored.  A run fails if the command ends instead, with a code as any command; one that gives each run a process of
+    its own tells that process's code after the name and a tab, and goes on.  What has been written to standard error since the run
+    began is the reason.  The command reads on until its input ends, and carries nothing from one run to the next.
     """
 
     def __init__(self, command: Command):
@@ -160,14 +161,18 @@ class Staying:
         for line in (self.life, self.process.stdout.fileno()):
             self.signs.register(line, select.POLLIN)
 
-    def _answered(self, answer: bytes) -> bool | None:
-        """Whether the command has written ``answer`` in time; None if it has ended."""
-        out, seconds = self.process.stdout.fileno(), self.command.seconds
+    def _answer(self, source: Path, target: Path) -> int | None:
+        """The code with which a run has ended; None if the command has ended itself."""
+        try:
+            self.process.stdin.write(f"{source}\t{target}\n".encode())
+        except BrokenPipeError:
+            pass
+        out, seconds, wanted = self.process.stdout.fileno(), self.command.seconds, str(target).encode()
         until = None if seconds is None else time.monotonic() + seconds
         while True:
             left = None if until is None else until - time.monotonic()
             if left is not None and left <= 0:
-                return False
+                raise ModelFailure(f"TIMEOUT after {seconds:g} s")
             ready = {line for line, _ in self.signs.poll(None if left is None else math.ceil(left * 1000))}
             if out in ready:
                 new = os.read(out, 1 << 16)
@@ -175,8 +180,9 @@ class Staying:
                     self.signs.unregister(out)
                     self.process.stdin.close()
                 *lines, self.rest = (self.rest + new).split(b"\n")
-                if answer in lines:
-                    return True
+                for name, _, code in (line.partition(b"\t") for line in lines):
+                    if name == wanted:
+                        return int(code or 0)
             elif self.life in ready:
                 return None
 
@@ -185,30 +191,26 @@ class Staying:
             self.close()
         if self.process is None:
             self._start()
-        self.runs += 1
+        self.runs, goes_on = self.runs + 1, False
         source, target, said = (self.folder / n for n in (f"input{self.runs}.csv", f"output{self.runs}.csv", "stderr.txt"))
         try:
             self.command.give(source, values)
             os.truncate(said, 0)
-            try:
-                self.process.stdin.write(f"{source}\t{target}\n".encode())
-                answered = self._answered(str(target).encode())
-            except BrokenPipeError:
-                answered = None if _exited(self.process.pid, self.command.seconds) else False
-            if answered is False:
-                raise ModelFailure(f"TIMEOUT after {self.command.seconds:g} s")
-            if answered is None:
-                code = _end(self.process)
-                raise ModelFailure(f"EXIT {code}: {one_line(said.read_text('utf-8', 'replace')) or 'the command ended without an answer'}")
+            code = self._answer(source, target)
+            goes_on = code is not None
+            if not goes_on and not (code := _end(self.process)):
+                raise ModelFailure("EXIT 0: no answer")
+            if code:
+                raise ModelFailure(f"EXIT {code}: {one_line(said.read_text('utf-8', 'replace'))}")
             if not target.exists():
-                raise ModelFailure("no output")
-            out = self.command.take(target)
-        except BaseException:
-            self.close()
-            raise
-        for used in (source, target):
-            used.unlink(missing_ok=True)
-        return out
+                raise ModelFailure("EXIT 0: no output")
+            return self.command.take(target)
+        finally:
+            if goes_on:
+                for used in (source, target):
+                    used.unlink(missing_ok=True)
+            else:
+                self.close()
 
     def close(self) -> None:
         process, self.process = self.process, None

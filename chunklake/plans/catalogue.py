@@ -552,29 +552,33 @@ def Q54_isolation_trials(spark, d):
     return log.groupBy("round", "outcome").agg(F.count("*").alias("trials"), F.sum("rows").alias("rows"))
 
 
-# A command in place of a real model: CSV in, CSV out; a row with the poison ends it with an exit code.
+# A command in place of a real model: CSV in, CSV out; each run has a process, which a row with the poison ends with an exit code.
 # It needs the reader and the writer of csv only, whose other imports take as long as its start.
 _COMMAND = """
-import sys
+import os, sys
 from _csv import field_size_limit, reader, writer
 field_size_limit(10**8)
 for line in sys.stdin:
     source, target = line.rstrip("\\n").split("\\t")
-    with open(source, newline="", encoding="utf-8") as f, open(target, "w", newline="", encoding="utf-8") as g:
-        rows, out = reader(f), writer(g)
-        place = next(rows).index("text")
-        out.writerow(["input", "n"])
-        for row in rows:
-            if "&&&" in row[place]:
-                sys.exit("bad row")
-            out.writerow([row[place], len(row[place])])
-    print(target, flush=True)
+    run = os.fork()
+    if not run:
+        with open(source, newline="", encoding="utf-8") as f, open(target, "w", newline="", encoding="utf-8") as g:
+            rows, out = reader(f), writer(g)
+            place = next(rows).index("text")
+            out.writerow(["input", "n"])
+            for row in rows:
+                if "&&&" in row[place]:
+                    print("bad row", file=sys.stderr, flush=True)
+                    os._exit(1)
+                out.writerow([row[place], len(row[place])])
+        os._exit(0)
+    print(target, os.waitstatus_to_exitcode(os.waitpid(run, 0)[1]), sep="\\t", flush=True)
 """
 
 
 @_query(f"SELECT doc_id, status, CASE status WHEN 'OK' THEN length(text)::VARCHAR ELSE '' END AS n, CASE status WHEN 'FAIL' THEN 'EXIT 1: bad row' WHEN 'SKIP' THEN 'empty' ELSE '' END AS details FROM ({_V})")
 def Q55_command_model(spark, d):
-    """A command run on each chunk's file, and on files of parts where it exits with a code; it is started once for runs that succeed."""
+    """A command run on each chunk's file, and on files of parts where it exits with a code; its runs share a start."""
     # The command needs no installed packages, and does not look for them at each start.
     command = Command(("{python}", "-I", "-S", "-c", _COMMAND), "text", stays=True)
     scored, _ = models.score_spread(_many(spark, d), "text", command, ["n"], seconds=120, carry=("doc_id",))
