@@ -23,11 +23,11 @@ def number(df: DataFrame, *order: str, name: str = "ordinal") -> DataFrame:
     placed = materialize(placed.withColumn("_at", F.monotonically_increasing_id()), "numbered")
     placed = placed.withColumn("_part", F.shiftright("_at", 33))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each partition; the window and the join are over those.
+    # One row for each partition; the window is over those, and they go to where the rows are.
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     within = F.col("_at").bitwiseAND((1 << 33) - 1)
-    return placed.join(counts, "_part").withColumn(name, F.col("_before") + within).drop("_at", "_part", "_before")
+    return placed.join(F.broadcast(counts), "_part").withColumn(name, F.col("_before") + within).drop("_at", "_part", "_before")
 
 
 def chunk(df: DataFrame, *order: str, size: int = CHUNK) -> DataFrame:

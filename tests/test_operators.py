@@ -281,3 +281,14 @@ def test_checkpoint_rows_and_retries(spark, tmp_path):
     work.limit(0).write.parquet(target)
     left, turns = incremental.until_complete(work, "k", lambda p: p.where("k <> 3"), target)
     assert [r.k for r in left.collect()] == [3] and turns == 2
+
+
+def test_numbering_does_not_shuffle_rows_again(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = chunking.number(spark.range(1000).selectExpr("999 - id AS id"), "id")
+        assert "SortMergeJoin" not in numbered._jdf.queryExecution().executedPlan().toString()
+        assert all(r.id == r.ordinal for r in numbered.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
