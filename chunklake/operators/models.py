@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from chunklake.functions.text import blank
 from chunklake.operators.runners import Model, Trial, trials
-from chunklake.sources.shared import materialize
+from chunklake.sources.shared import drop, materialize
 
 OK, FAIL, SKIP, UNREPRODUCED = "OK", "FAIL", "SKIP", "UNREPRODUCED"
 #: A range of several rows that failed and is split in the next round.
@@ -161,6 +161,8 @@ def score_spread(
     ranges = work.where(first).count()
     while ranges:
         tried = materialize(_try_ranges(work, ranges, value, model, columns, keys, seconds), "trials")
+        if not turn:
+            drop(work)  # all its rows are in the trials
         # A range's first row tells of its trial.
         size = (F.col("_end") - F.col("_start") + 1).cast("bigint")
         told = [F.col("_start").alias("start"), F.col("_end").alias("end"), F.lit(turn).alias("round"), size.alias("rows"), F.col("_verdict").alias("outcome"), F.col("_why").alias("details"), F.col("_task").alias("task")]

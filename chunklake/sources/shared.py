@@ -63,6 +63,13 @@ def materialize(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(table: DataFrame) -> None:
+    """Delete a table of :func:`materialize` that nothing reads any more."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.inputFiles()[0].rpartition("/")[0])
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Have the driver's JVM collect garbage, so that Spark deletes the shuffle files of steps that are done; else they stay until a collection of its own.
 

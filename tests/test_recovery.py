@@ -16,7 +16,7 @@ from chunklake.functions import text
 from chunklake.operators import fragments, models, reconcile, runs
 from chunklake.operators.runners import Command, ModelFailure, trials
 from chunklake.plans import catalogue
-from chunklake.sources import chunk_sink, open_files, published
+from chunklake.sources import chunk_sink, open_files, published, shared
 from chunklake.sources.archive import Layout, archives_of
 from chunklake.streaming import incremental, progress
 
@@ -197,6 +197,17 @@ def test_ranges_that_go_over_batches(spark, most):
     assert got == {(c, i): tuple(want[c].iloc[i][["n", "status", "details"]]) for c, held in values.items() for i in range(len(held))}
 
 
+def test_ranges_of_the_first_round_are_not_kept_once_tried(spark):
+    def folders():
+        return set(Path(shared.shared_dir(spark).removeprefix("file:"), "chunklake", spark.sparkContext.applicationId).glob("work-*"))
+
+    kept = folders()
+    df = spark.createDataFrame([(0, i, "bad" if i == 3 else " " if i == 5 else "v") for i in range(20)], "chunk_no int, idx int, v string")
+    scored, log = models.score_spread(df, "v", _make_model(), ["n"])
+    assert folders() - kept == set()
+    assert {(r.status, r["count"]) for r in scored.groupBy("status").count().collect()} == {("OK", 18), ("FAIL", 1), ("SKIP", 1)} and log.count() > 1
+
+
 def test_blank_is_what_strip_leaves_nothing_of(spark):
     ends = [chr(c) for c in [*range(0x20), 0x20, 0x7F, 0x85, 0xA0, 0xAD, 0x1680, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF, 0x1F600]]
     values = [None, "", "a", *ends, *(f"{e}\n" for e in ends), *(f"{e}a " for e in ends), *(f" \n{e}{e}" for e in ends)]
